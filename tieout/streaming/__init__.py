@@ -1,0 +1 @@
+"""Empty on purpose: reconciliation runs over closed batches, so nothing here is a stream."""
