@@ -57,13 +57,20 @@ def message_text(content: Column) -> Column:
     return F.when(is_list, F.coalesce(F.array_join(texts, ""), content)).otherwise(content)
 
 
-def batch_code(number: Column) -> Column:
-    return F.format_string("BATCH-%06d", number)
+def _code(prefix: str, number: Column, digits: int = 6) -> Column:
+    """Prefix and number, padded with zeros to ``digits`` and never cut."""
+    text = number.cast("string")
+    width = F.greatest(F.length(text), F.lit(digits))
+    return F.concat(F.lit(prefix), F.lpad(text, width, F.lit("0")))
+
+
+def batch_code(number: Column, prefix: str = "BATCH-") -> Column:
+    return _code(prefix, number)
 
 
 def utr_code(number: Column) -> Column:
-    return F.format_string("UTR%06d", number)
+    return _code("UTR", number)
 
 
 def customer_code(number: Column) -> Column:
-    return F.format_string("CUST-%06d", number)
+    return _code("CUST-", number)

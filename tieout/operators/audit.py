@@ -158,6 +158,15 @@ def flatten_audit(audit: DataFrame) -> DataFrame:
     return audit.select(*own, *lifted)
 
 
+def nest_audit(flat: DataFrame) -> DataFrame:
+    """The record as a document again: ``evidence_*`` columns back into one struct."""
+    prefix = "evidence_"
+    figures = [c for c in flat.columns if c.startswith(prefix)]
+    evidence = F.struct(*[F.col(c).alias(c.removeprefix(prefix)) for c in figures])
+    whole = flat.withColumn("engine_evidence", evidence)
+    return whole.select(*audit_schema().names)
+
+
 def audit_order(audit: DataFrame) -> DataFrame:
     """Unmatched orders first, then the doubtful, then the exact; by id within."""
     return audit.orderBy(by_code(F.col("engine_match_tier"), TIER_RANK), "order_id")

@@ -85,8 +85,11 @@ def case_headers(
     headers = facts.join(line_evidence(lines), "order_id", "left").withColumn(
         "settlement_row_count", F.coalesce("settlement_row_count", F.lit(0).cast("bigint"))
     )
+    # an order is placed in the batch of one of its lines, so a batch has no more orders
+    # than lines
+    sizes = lines.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n"))
     placed = join_many_to_one(
-        headers, batch_context(bank_feed, lines), BATCH, ["order_id"], "left", rows_per_slice
+        headers, batch_context(bank_feed, lines), BATCH, sizes, ["order_id"], rows_per_slice
     )
     return placed.select(
         *CASE_FIELDS, BATCH, "settlement_row_count", case_fingerprint().alias("case_fingerprint")

@@ -15,16 +15,30 @@ def normalize_confidence(c: Column | str) -> Column:
     return F.when(c.isNotNull(), clamped)
 
 
-def _whole_json(text: Column) -> Column:
-    """The text as one JSON value, or null.
+REPLY_FIELDS = ("cause", "explanation", "confidence", "recommended_action")
+
+
+def _with_reply(responses: DataFrame) -> DataFrame:
+    """Replies with ``_reply``: the whole text as one JSON value, or null.
 
     The parser stops at the end of the first value and ignores what follows. Inside a list
-    and inside an object that is an error, so both must parse, with one element.
+    and inside an object that is an error, so both must parse, with one element. Each step
+    is a column of its own so that no text is parsed twice.
     """
-    in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    single = in_object.isNotNull() & F.try_variant_get(in_list, "$[1]", "variant").isNull()
-    return F.when(single, F.try_variant_get(in_list, "$[0]", "variant"))
+    text = F.col("_text")
+    single = F.col("_in_object").isNotNull() & (
+        F.try_variant_get("_in_list", "$[1]", "variant").isNull()
+    )
+    return (
+        responses.withColumn("_text", message_text(F.col("content")))
+        .withColumns(
+            {
+                "_in_list": F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))),
+                "_in_object": F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))),
+            }
+        )
+        .withColumn("_reply", F.when(single, F.try_variant_get("_in_list", "$[0]", "variant")))
+    )
 
 
 def parse_diagnosis(responses: DataFrame) -> DataFrame:
@@ -33,43 +47,43 @@ def parse_diagnosis(responses: DataFrame) -> DataFrame:
     All four fields must be there with the right JSON type and a known cause; further keys
     are ignored. A confidence that is not a number makes the reply invalid.
     """
+    fields = _with_reply(responses).select(
+        *responses.columns,
+        F.col("_reply").isNotNull().alias("_is_json"),
+        *[F.try_variant_get("_reply", f"$.{c}", "variant").alias(f"_{c}") for c in REPLY_FIELDS],
+    )
+    # the type as written, so that "5" is not taken for 5
+    typed = fields.withColumns(
+        {f"_{c}_type": F.schema_of_variant(F.col(f"_{c}")) for c in REPLY_FIELDS}
+    )
 
-    def kind(name: str) -> Column:
-        # the type as written, so that "5" is not taken for 5
-        return F.schema_of_variant(F.try_variant_get("_reply", f"$.{name}", "variant"))
+    def read(c: str, kind: str) -> Column:
+        return F.try_variant_get(f"_{c}", "$", kind)
 
-    def text_field(name: str) -> Column:
-        return F.when(kind(name) == "STRING", F.try_variant_get("_reply", f"$.{name}", "string"))
+    def text_field(c: str) -> Column:
+        return F.when(F.col(f"_{c}_type") == "STRING", read(c, "string")).alias(c)
 
-    number = kind("confidence").rlike("^(BIGINT|DECIMAL|DOUBLE)")
-    confidence = F.when(number, F.try_variant_get("_reply", "$.confidence", "double"))
-    read = responses.withColumn("_reply", _whole_json(message_text(F.col("content")))).select(
+    kind = F.col("_confidence_type")
+    number = kind.startswith("BIGINT") | kind.startswith("DECIMAL") | kind.startswith("DOUBLE")
+    values = typed.select(
         *responses.columns,
-        F.col("_reply").isNotNull().alias("_is_json"),
-        text_field("cause").alias("cause"),
-        text_field("explanation").alias("explanation"),
-        normalize_confidence(confidence).alias("confidence"),
-        text_field("recommended_action").alias("recommended_action"),
-    )
+        "_is_json",
+        text_field("cause"),
+        text_field("explanation"),
+        F.when(number, read("confidence", "double")).alias("confidence"),
+        text_field("recommended_action"),
+    ).withColumn("confidence", normalize_confidence("confidence"))
+    unknown = F.col("cause").isNull() | ~F.col("cause").isin(*CAUSES)
     error = F.coalesce(
         F.when(~F.col("_is_json"), F.lit("not JSON")),
-        F.when(
-            F.col("cause").isNull() | ~F.col("cause").isin(*CAUSES),
-            F.lit("invalid field: cause"),
-        ),
+        F.when(unknown, F.lit("invalid field: cause")),
         *[
             F.when(F.col(c).isNull(), F.lit(f"invalid field: {c}"))
             for c in ("explanation", "confidence", "recommended_action")
         ],
     )
-    return read.withColumn("error", error).select(
-        *responses.columns,
-        F.col("error").isNull().alias("valid"),
-        "cause",
-        "explanation",
-        "confidence",
-        "recommended_action",
-        "error",
+    return values.withColumn("error", error).select(
+        *responses.columns, F.col("error").isNull().alias("valid"), *REPLY_FIELDS, "error"
     )
 
 
@@ -79,8 +93,7 @@ def resolve_attempts(parsed: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> Dat
     ``latency_ms`` adds up the attempts made until the decision. Every aggregate combines
     map-side, so repeated rows of one order do not pile up in one task.
     """
-    answer = ("cause", "explanation", "confidence", "recommended_action")
-    first_valid = F.min(F.when(F.col("valid"), F.struct("attempt", *answer)))
+    first_valid = F.min(F.when(F.col("valid"), F.struct("attempt", *REPLY_FIELDS)))
     last_error = F.max(F.when(~F.col("valid"), F.struct("attempt", "error")))
     slots = [
         F.max(F.when(F.col("attempt") == i, F.col("latency_ms"))).alias(f"_ms_{i}")
@@ -110,7 +123,7 @@ def resolve_attempts(parsed: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> Dat
         "order_id",
         F.col("_answer").isNotNull().alias("diagnosed"),
         decided.alias("attempts_used"),
-        *[F.col(f"_answer.{c}").alias(c) for c in answer],
+        *[F.col(f"_answer.{c}").alias(c) for c in REPLY_FIELDS],
         F.when(F.col("_answer").isNull(), failed).alias("error"),
         latency.alias("latency_ms"),
         "model",

@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 ROWS_PER_SLICE = 1_000_000
 
 
-def hot_keys(counts: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def hot_keys(sizes: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Keys with more rows than one slice should hold, and the slices each is given.
 
-    ``counts`` has one row per key with its row count ``n``. At most ``total rows /
-    rows_per_slice`` keys can qualify, which is what makes the list safe to broadcast.
+    ``sizes`` has one row per key with its row count ``n``. At most ``total rows /
+    rows_per_slice`` keys can qualify, which is what makes the list safe to broadcast:
+    a hundred billion rows leave at most 100,000 keys.
     """
-    return counts.filter(F.col("n") > rows_per_slice).select(
+    return sizes.filter(F.col("n") > rows_per_slice).select(
         key, F.ceil(F.col("n") / F.lit(rows_per_slice)).cast("int").alias("_slices")
     )
 
@@ -21,22 +22,22 @@ def join_many_to_one(
     many: DataFrame,
     one: DataFrame,
     key: str,
+    sizes: DataFrame,
     spread_by: list[str],
-    how: str = "left",
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Join rows to the single row of their key, with hot keys cut into slices.
+    """Left join of rows to the single row of their key, with hot keys cut into slices.
 
-    Rows of a hot key are spread over slices by the hash of ``spread_by``, and only that
-    key's single row is repeated, once per slice. Rows without a key match nothing, so they
-    are spread freely. All other keys join as usual. The result is that of the plain join.
+    ``sizes`` bounds from above how many rows of ``many`` a key has; any cheap count will do,
+    so ``many`` itself is not computed twice. Rows of a hot key are spread over slices by the
+    hash of ``spread_by``, and only that key's single row is repeated, once per slice. Rows
+    without a key match nothing, so they are spread freely. All other keys join as usual, and
+    the result is that of the plain join.
     """
-    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = F.broadcast(hot_keys(counts, key, rows_per_slice))
+    hot = F.broadcast(hot_keys(sizes, key, rows_per_slice))
     slices = F.coalesce("_slices", F.lit(1))
-    spread = F.xxhash64(*spread_by)
     slice_no = F.when(F.col(key).isNull(), F.hash(*spread_by)).otherwise(
-        F.pmod(spread, slices).cast("int")
+        F.pmod(F.xxhash64(*spread_by), slices).cast("int")
     )
     left = many.join(hot, key, "left").withColumn("_slice", slice_no).drop("_slices")
     right = (
@@ -44,4 +45,4 @@ def join_many_to_one(
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("_slices")
     )
-    return left.join(right, [key, "_slice"], how).drop("_slice")
+    return left.join(right, [key, "_slice"], "left").drop("_slice")

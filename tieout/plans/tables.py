@@ -11,6 +11,8 @@ from tieout.operators import diagnosis as di
 from tieout.operators import grading as gr
 from tieout.operators import reconcile as re
 from tieout.operators import selection as se
+from tieout.plans.run import Inputs, Settings, audit_of, stored
+from tieout.session import scratch_path
 from tieout.sources import derived as de
 from tieout.sources.tables import scan_parquet
 
@@ -88,17 +90,14 @@ class Tables:
         return ca.assemble_cases(self.selection, self.ledger, self.lines, self.bank_feed)
 
     @cached_property
-    def opinions(self) -> DataFrame:
-        """Resolved replies with the fingerprint of the case they answer."""
-        headers = ca.case_headers(self.resolved, self.ledger, self.lines, self.bank_feed)
-        prints = headers.select("order_id", "case_fingerprint")
-        return self.resolved.join(prints, "order_id", "left")
+    def stored_result(self) -> DataFrame:
+        """The result as a written table, which the audit reads several times."""
+        return stored(self.result, scratch_path(self.spark, "result"))
 
     @cached_property
     def audit(self) -> DataFrame:
-        return au.audit_assembly(
-            se.mark_selection(self.result), self.opinions, RUN_ID, RUN_STARTED_AT
-        )
+        inputs = Inputs(self.ledger, self.lines, self.bank_feed, self.responses)
+        return audit_of(self.stored_result, inputs, Settings(RUN_ID, RUN_STARTED_AT))
 
     @cached_property
     def flat_audit(self) -> DataFrame:

@@ -156,7 +156,7 @@ def derive_bank_feed(ledger: DataFrame, lines: DataFrame) -> DataFrame:
         .cast("decimal(18,2)")
         .alias("bank_credit_amount"),
         "credit_date",
-        F.when(ghost, F.format_string("GHOST-%06d", n))
+        F.when(ghost, batch_code(n, "GHOST-"))
         .otherwise(batch_code(n))
         .alias("settlement_batch_id"),
     )
