@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import bank_df, d, ledger_df, line, lines_df, order
+from tieout.operators import batches as ba
 from tieout.operators import cases as ca
 from tieout.operators import selection as se
 from tieout.operators.lines import lines_per_order
@@ -45,6 +46,21 @@ def test_sliced_join_equals_plain_join(spark):
     )
 
 
+def test_hot_credits_join_in_place(spark):
+    rows = [("u", "1.00", "hot")] * 400 + [("u", "2.00", f"B{i}") for i in range(50)]
+    rows += [("u", "3.00", "lonely")] * 300
+    bank = bank_df(spark, *rows)
+    unkeyed = bank.filter("settlement_batch_id = 'B1'").withColumn(
+        "settlement_batch_id", F.lit(None).cast("string")
+    )
+    bank = bank.unionByName(unkeyed)
+    lines = lines_df(spark, line("a", batch="hot"), *[line(f"o{i}", batch=f"B{i}") for i in range(40)])
+    apart = ba.batch_check(bank, lines, rows_per_slice=100)
+    plain = ba.batch_balanced(bank.join(ba.batch_net(lines), "settlement_batch_id", "left"))
+    assert Counter(apart.select(*plain.columns).collect()) == Counter(plain.collect())
+    assert apart.count() == 751
+
+
 def test_hot_order_is_cut_into_parts_and_kept_whole(hot):
     ledger, lines, bank = hot
     cases = ca.assemble_cases(ledger, ledger, lines, bank, lines_per_part=100)
@@ -129,6 +145,15 @@ def test_large_sample_equals_the_sorted_one(tables, monkeypatch):
     assert se.control_sample(clean, 0).count() == 0
 
 
+def test_large_cap_equals_the_sorted_one(tables, monkeypatch):
+    held = se.flagged(tables.stored_result)
+    small = se.cap_flagged(held, 100)
+    monkeypatch.setattr(se, "HEAP_ROWS", 10)
+    large = se.cap_flagged(held, 100)
+    assert sorted(large.collect()) == sorted(small.collect())
+    assert se.cap_flagged(held, 10_000).count() == held.count() == se.cap_flagged(held, 0).count()
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tables):
     place = scratch_path(spark, "buckets")
     name = "tieout_" + place.rsplit("-", 1)[1]

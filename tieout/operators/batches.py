@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tieout.fixed_values import SETTLEMENT_LAG_DAYS, TOLERANCE
+from tieout.operators.skew import ROWS_PER_SLICE, join_hot_apart
 
 BATCH = "settlement_batch_id"
 
@@ -64,10 +65,14 @@ def batch_balanced(joined: DataFrame, tolerance: Decimal | float | str = TOLERAN
 
 
 def batch_check(
-    bank_feed: DataFrame, lines: DataFrame, tolerance: Decimal | float | str = TOLERANCE
+    bank_feed: DataFrame,
+    lines: DataFrame,
+    tolerance: Decimal | float | str = TOLERANCE,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Each bank credit with its batch's summed lines; null where the batch has no lines."""
-    return batch_balanced(bank_feed.join(batch_net(lines), BATCH, "left"), tolerance)
+    met = join_hot_apart(bank_feed, batch_net(lines), BATCH, rows_per_slice)
+    return batch_balanced(met, tolerance)
 
 
 def batch_check_rollup(checked: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from tieout.fixed_values import (
     FLAGGED,
     NOT_SELECTED,
 )
+from tieout.session import scratch_path
+from tieout.sources.sinks import stored
 
 # Up to here a top-n runs as one heap per task; above it the sample is cut by rank.
 HEAP_ROWS = 10_000
@@ -25,8 +27,20 @@ def clean(result: DataFrame) -> DataFrame:
 
 
 def cap_flagged(flagged_rows: DataFrame, cap: int | None) -> DataFrame:
-    """The first ``cap`` rows by order id; none or zero keeps them all."""
-    return flagged_rows.orderBy("order_id").limit(cap) if cap else flagged_rows
+    """The first ``cap`` rows by order id; none or zero keeps them all.
+
+    A large cap is cut by rank over stored ranges of ids instead of one heap.
+    """
+    if not cap:
+        return flagged_rows
+    if cap <= HEAP_ROWS:
+        return flagged_rows.orderBy("order_id").limit(cap)
+    ranges = flagged_rows.repartitionByRange("order_id").withColumn(
+        "_bucket", F.spark_partition_id()
+    )
+    # ranges are drawn from a sample, so they are fixed by writing them down
+    placed = stored(ranges, scratch_path(flagged_rows.sparkSession, "ranges"))
+    return _first_by_rank(placed, cap, ["order_id"]).select(*flagged_rows.columns)
 
 
 def control_sample(clean_rows: DataFrame, n: int, seed: int = CONTROL_SAMPLE_SEED) -> DataFrame:
@@ -42,28 +56,29 @@ def control_sample(clean_rows: DataFrame, n: int, seed: int = CONTROL_SAMPLE_SEE
     drawn = ids.withColumn("_draw", draw)
     if n <= HEAP_ROWS:
         return drawn.orderBy("_draw", "order_id").limit(n).select("order_id")
-    return _first_by_rank(drawn, n).select("order_id")
+    # draws fall evenly into 65,536 buckets by their first four digits
+    placed = drawn.withColumn("_bucket", F.substring("_draw", 1, 4))
+    return _first_by_rank(placed, n, ["_draw", "order_id"]).select("order_id")
 
 
-def _first_by_rank(drawn: DataFrame, n: int) -> DataFrame:
-    """The ``n`` least draws without sorting all of them.
+def _first_by_rank(placed: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The first ``n`` rows without sorting all of them.
 
-    Draws fall evenly into 65,536 buckets by their first four digits. Buckets below the
-    cut are taken whole; only the bucket the cut falls in is ranked.
+    ``_bucket`` rises with the order and takes few values, however many rows there are.
+    Buckets before the cut are taken whole; only the bucket the cut falls in is ranked.
     """
-    drawn = drawn.withColumn("_bucket", F.substring("_draw", 1, 4))
-    sizes = drawn.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    # at most 65,536 rows, by construction of the bucket
+    sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    # a window without partitions, over one row per bucket
     running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     reach = sizes.withColumn("_through", F.sum("_size").over(running)).withColumn(
         "_before", F.col("_through") - F.col("_size")
     )
-    placed = drawn.join(F.broadcast(reach.filter(F.col("_before") < n)), "_bucket")
-    whole = placed.filter(F.col("_through") <= n)
-    cut = placed.filter(F.col("_through") > n)
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_draw", "order_id"))
+    reached = placed.join(F.broadcast(reach.filter(F.col("_before") < n)), "_bucket")
+    whole = reached.filter(F.col("_through") <= n)
+    cut = reached.filter(F.col("_through") > n)
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
     partly = cut.withColumn("_rank", rank).filter(F.col("_rank") <= n - F.col("_before"))
-    return whole.select("order_id").unionByName(partly.select("order_id"))
+    return whole.unionByName(partly.drop("_rank"))
 
 
 def selection_union(flagged_ids: DataFrame, control_ids: DataFrame) -> DataFrame:

@@ -46,3 +46,28 @@ def join_many_to_one(
         .drop("_slices")
     )
     return left.join(right, [key, "_slice"], "left").drop("_slice")
+
+
+def join_hot_apart(
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Left join of stored rows to the single row of their key, hot keys joined in place.
+
+    For rows that may be exact copies of each other, which no hash can spread. Rows of hot
+    keys never move: the few rows of ``one`` they need are broadcast to them. Rows without a
+    key match nothing and do not move either. All other keys join as usual. ``many`` is read
+    once per part, so it should be a stored table.
+    """
+    sizes = many.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(sizes, key, rows_per_slice).select(key)
+    columns = [*many.columns, *[c for c in one.columns if c != key]]
+    keyed = many.filter(F.col(key).isNotNull())
+    cold = keyed.join(F.broadcast(hot), key, "left_anti").join(one, key, "left")
+    in_place = keyed.join(F.broadcast(hot.join(one, key, "left")), key)
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in one.schema.fields if f.name != key}
+    unkeyed = many.filter(F.col(key).isNull()).withColumns(missing)
+    parts = [part.select(*columns) for part in (cold, in_place, unkeyed)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

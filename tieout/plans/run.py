@@ -21,6 +21,7 @@ from tieout.operators.reconcile import reconcile
 from tieout.operators.selection import mark_selection
 from tieout.operators.summary import run_summary
 from tieout.sources import sinks
+from tieout.sources.sinks import stored
 
 
 @dataclass(frozen=True)
@@ -46,19 +47,13 @@ class Settings:
     data_source: str | None = None
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
-    """Write the frame and go on from what was written."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def opinions_on(selected: DataFrame, inputs: Inputs) -> DataFrame:
-    """Replies on the selected orders, resolved, with the fingerprint of each case.
+    """Resolved replies with the fingerprint of each selected case.
 
-    Replies are cut down to the selected orders before any of them is parsed.
+    Replies are resolved to one row per order, map-side first, before they meet another
+    table, so many replies on one order do not gather in one task.
     """
-    replies = inputs.responses.join(selected.select("order_id"), "order_id", "left_semi")
-    resolved = resolve_attempts(parse_diagnosis(replies))
+    resolved = resolve_attempts(parse_diagnosis(inputs.responses))
     headers = case_headers(selected, inputs.ledger, inputs.lines, inputs.bank_feed)
     return resolved.join(headers.select("order_id", "case_fingerprint"), "order_id", "left")
 

@@ -11,9 +11,10 @@ from tieout.operators import diagnosis as di
 from tieout.operators import grading as gr
 from tieout.operators import reconcile as re
 from tieout.operators import selection as se
-from tieout.plans.run import Inputs, Settings, audit_of, stored
+from tieout.plans.run import Inputs, Settings, audit_of
 from tieout.session import scratch_path
 from tieout.sources import derived as de
+from tieout.sources.sinks import stored
 from tieout.sources.tables import scan_parquet
 
 RUN_ID = "run-0001"

@@ -31,6 +31,12 @@ def sink_table(
     return name
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write the frame under a shared path and go on from what was written."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sink_audit_table(audit: DataFrame, path: str, replace_run: bool = False) -> None:
     """Append a run, partitioned by ``run_id``.
 
