@@ -4,6 +4,9 @@ Written apart from the DataFrame code and in other terms where there is a choice
 for least rows, list functions for text), so that equal answers mean something.
 """
 
+import re
+from string import Formatter
+
 from tieout import fixed_values as fv
 
 
@@ -11,6 +14,22 @@ def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def _sentence(template: str, **figures: str) -> str:
+    """A fixed text with its ``{name}`` marks as SQL concatenation."""
+    parts = []
+    for literal, name, _, _ in Formatter().parse(template):
+        if literal:
+            parts.append(_q(literal))
+        if name:
+            parts.append(f"CAST({figures[name]} AS VARCHAR)")
+    return " || ".join(parts)
+
+
+def _case_of(column: str, templates: dict, **figures: str) -> str:
+    whens = [f"WHEN '{code}' THEN {_sentence(t, **figures)}" for code, t in templates.items()]
+    return f"CASE {column} {' '.join(whens)} ELSE '' END"
+
+
 _CTES = [
     (
         "keyed",
@@ -98,17 +117,17 @@ SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY transaction_id NULLS
         "truth",
         """
 SELECT o.order_id, o.label AS exception_type,
-       CASE o.label WHEN 'clean_match' THEN 'Amounts reconcile exactly; no action needed.'
-         WHEN 'timing_lag_refund' THEN 'Refund of ' || o.refund_amount || ' issued on '
-           || o.refund_date
-           || ' was not netted in this settlement batch; expected in the next cycle.'
-         WHEN 'mdr_rate_mismatch' THEN 'MDR fee charged (' || l.mdr_fee
-           || ') does not match the agreed rate (expected '
-           || CAST(o.order_amount * o.expected_mdr_rate AS DECIMAL(18,2)) || ').'
-         WHEN 'duplicate_transaction' THEN
-           'Settlement contains a duplicate entry for transaction_id ' || l.transaction_id || '.'
-         WHEN 'missing_payout' THEN 'No settlement record found for this order in this batch.'
-         ELSE '' END AS expected_reasoning,
+       """
+        + _case_of(
+            "o.label",
+            fv.TRUTH_SENTENCES,
+            refund="o.refund_amount",
+            refund_date="o.refund_date",
+            fee="l.mdr_fee",
+            expected_fee="CAST(o.order_amount * o.expected_mdr_rate AS DECIMAL(18,2))",
+            transaction_id="l.transaction_id",
+        )
+        + """ AS expected_reasoning,
        l.transaction_id AS related_transaction_id
 FROM ledger_x o LEFT JOIN ranked_lines l ON o.order_id = l.order_id AND l.rn = 1""",
     ),
@@ -158,21 +177,20 @@ SELECT order_id,
             WHEN category IN ('missing_payout', 'duplicate_transaction') THEN 'no_match'
             ELSE 'fuzzy' END AS match_tier,
        category,
-       CASE category WHEN 'clean_match' THEN
-           'Settlement matches the expected MDR fee, GST, and refund adjustment exactly.'
-         WHEN 'mdr_rate_mismatch' THEN 'MDR fee charged (' || mdr_fee
-           || ') does not match the agreed rate (expected ' || expected_mdr_fee || ').'
-         WHEN 'timing_lag_refund' THEN 'Order has a refund of ' || expected_refund_adjustment
-           || ' not reflected in this settlement''s refund_adjustment; '
-           || 'likely pending the next cycle.'
-         WHEN 'duplicate_transaction' THEN 'Order has ' || settlement_row_count
-           || ' settlement lines for the same transaction. Investigate duplicate payout.'
-         WHEN 'missing_payout' THEN 'No settlement record found for this order in this batch.'
-         ELSE 'MDR fee and refund adjustment both tie out, but the settlement line does not add up '
-           || 'against itself: on a charged fee of ' || mdr_fee || ', GST should be '
-           || gst_on_charged_fee || ' (actual ' || gst_on_mdr || ') and net should be '
-           || identity_net_amount || ' (actual ' || net_amount
-           || '). No known exception type explains this; investigate.' END AS reasoning,
+       """
+        + _case_of(
+            "category",
+            fv.ENGINE_SENTENCES,
+            refund="expected_refund_adjustment",
+            fee="mdr_fee",
+            expected_fee="expected_mdr_fee",
+            row_count="settlement_row_count",
+            gst_on_charged="gst_on_charged_fee",
+            gst="gst_on_mdr",
+            identity_net="identity_net_amount",
+            net="net_amount",
+        )
+        + """ AS reasoning,
        order_amount, expected_mdr_fee, mdr_fee AS actual_mdr_fee, expected_refund_adjustment,
        refund_adjustment AS actual_refund_adjustment, expected_net_amount,
        net_amount AS actual_net_amount, settlement_row_count, transaction_id, utr_number,
@@ -401,8 +419,6 @@ _NAMES = [name for name, _ in _CTES]
 
 def _with(body: str) -> str:
     """The query under the tables it needs, directly or through others."""
-    import re
-
     bodies = dict(_CTES)
     needed: set[str] = set()
     todo = [body]
@@ -545,54 +561,43 @@ SELECT 'run-0001' AS run_id, count(*) AS total_orders,
 FROM {_LOOKED_UP}"""
 
 
-def _case_line_text(alias: str) -> str:
-    return (
-        f"'  - transaction_id=' || {alias}.transaction_id || ', mdr_fee=' || {alias}.mdr_fee || "
-        f"', gst_on_mdr=' || {alias}.gst_on_mdr || ', refund_adjustment=' || "
-        f"{alias}.refund_adjustment || ', net_amount=' || {alias}.net_amount || ', batch=' || "
-        f"{alias}.settlement_batch_id"
-    )
-
-
+_CASE_LINE = (
+    "transaction_id",
+    "mdr_fee",
+    "gst_on_mdr",
+    "refund_adjustment",
+    "net_amount",
+    "settlement_batch_id",
+)
 _LISTED = (
     "(SELECT order_id, count(*) AS n_listed, string_agg("
-    + _case_line_text("lines")
+    + _sentence(fv.CASE_LINE_TEXT, **{c: c for c in _CASE_LINE})
     + ", chr(10) ORDER BY transaction_id, mdr_fee, gst_on_mdr, refund_adjustment, net_amount) "
     "AS listed FROM lines GROUP BY order_id)"
 )
 
 
-def _shown(c: str) -> str:
-    return f"coalesce(CAST({c} AS VARCHAR), 'None')"
-
-
+_CASE_FIELDS = (
+    "order_id",
+    "order_amount",
+    "order_date",
+    "refund_amount",
+    "refund_date",
+    "expected_mdr_rate",
+    "expected_mdr_fee",
+    "expected_gst_on_mdr",
+    "expected_refund_adjustment",
+    "expected_net_amount",
+    "settlement_row_count",
+    "batch_bank_credit_amount",
+    "batch_computed_settlement_net",
+)
 _RENDER = (
     "SELECT h.order_id, 0 AS part_no, 1 AS n_parts, "
-    + " || chr(10) || ".join(
-        [
-            "'Order ' || h.order_id || ':'",
-            "'- order_amount: ' || " + _shown("h.order_amount"),
-            "'- order_date: ' || " + _shown("h.order_date"),
-            "'- refund_amount on the order: ' || " + _shown("h.refund_amount"),
-            "'- refund_date: ' || " + _shown("h.refund_date"),
-            "'- expected_mdr_rate (agreed): ' || " + _shown("h.expected_mdr_rate"),
-            "''",
-            "'Recomputed expected settlement figures (from the order alone, at the agreed rate):'",
-            "'- expected_mdr_fee: ' || " + _shown("h.expected_mdr_fee"),
-            "'- expected_gst_on_mdr: ' || " + _shown("h.expected_gst_on_mdr"),
-            "'- expected_refund_adjustment: ' || " + _shown("h.expected_refund_adjustment"),
-            "'- expected_net_amount: ' || " + _shown("h.expected_net_amount"),
-            "''",
-            "'Actual settlement_report line(s) for this order (' || h.settlement_row_count "
-            "|| ' found):'",
-            "coalesce(l.listed, '  (none: no settlement_report row exists for this order)')",
-            "''",
-            "'Batch-level context:'",
-            "'- bank_feed credit for this order''s settlement batch: ' || "
-            + _shown("h.batch_bank_credit_amount"),
-            "'- sum of settlement_report.net_amount for that batch: ' || "
-            + _shown("h.batch_computed_settlement_net"),
-        ]
+    + _sentence(
+        fv.CASE_TEXT,
+        lines=f"coalesce(l.listed, {_q(fv.CASE_NO_LINES)})",
+        **{c: f"coalesce(CAST(h.{c} AS VARCHAR), {_q(fv.CASE_NO_VALUE)})" for c in _CASE_FIELDS},
     )
     + f" AS case_text FROM headers h LEFT JOIN {_LISTED} l ON l.order_id = h.order_id"
 )
