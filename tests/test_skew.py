@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.rows import bank_df, d, ledger_df, line, lines_df, order
 from tieout.operators import batches as ba
 from tieout.operators import cases as ca
+from tieout.operators import reconcile as re
 from tieout.operators import selection as se
 from tieout.operators.lines import lines_per_order
 from tieout.operators.skew import hot_keys, join_many_to_one
@@ -61,6 +62,20 @@ def test_hot_credits_join_in_place(spark):
     assert apart.count() == 751
 
 
+def test_repeated_orders_keep_a_verdict_per_row(hot):
+    ledger, lines, _ = hot
+    copies = ledger.filter("order_id = 'hot'").withColumn(
+        "_i", F.explode(F.sequence(F.lit(1), F.lit(300)))
+    )
+    ledger = ledger.unionByName(copies.drop("_i"))
+    expected, per_order = re.expected_settlement(ledger), lines_per_order(lines)
+    apart = re.join_expected_lines(expected, per_order, repeated_orders=True, rows_per_slice=100)
+    plain = re.join_expected_lines(expected, per_order)
+    assert Counter(apart.select(*plain.columns).collect()) == Counter(plain.collect())
+    result = re.reconcile(ledger, lines, repeated_orders=True)
+    assert result.count() == 402
+
+
 def test_hot_order_is_cut_into_parts_and_kept_whole(hot):
     ledger, lines, bank = hot
     cases = ca.assemble_cases(ledger, ledger, lines, bank, lines_per_part=100)
@@ -159,12 +174,10 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tables):
     name = "tieout_" + place.rsplit("-", 1)[1]
     ledger = sink_table(tables.ledger, name, "ledger", place, bucket_by=("order_id", 4))
     lines = sink_table(tables.lines, name, "lines", place, bucket_by=("order_id", 4))
-    from tieout.operators.reconcile import reconcile
-
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        result = reconcile(spark.table(ledger), spark.table(lines))
+        result = re.reconcile(spark.table(ledger), spark.table(lines))
         assert "Exchange" not in plan_of(result)
         assert "SortMergeJoin" in plan_of(result)
     finally:

@@ -20,6 +20,7 @@ from tieout.fixed_values import (
 from tieout.functions.money import breaks_tolerance, gst_on, net_of, percentage_of
 from tieout.functions.text import by_code, fill
 from tieout.operators.lines import lines_per_order
+from tieout.operators.skew import ROWS_PER_SLICE, join_hot_apart
 
 
 def expected_settlement(ledger: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -50,9 +51,23 @@ def expected_settlement(ledger: DataFrame, keep: Sequence[str] = ()) -> DataFram
     )
 
 
-def join_expected_lines(expected: DataFrame, per_order: DataFrame) -> DataFrame:
-    """Every order with its line figures, if any. One row per order on both sides."""
-    return expected.join(per_order, "order_id", "left").withColumn(
+def join_expected_lines(
+    expected: DataFrame,
+    per_order: DataFrame,
+    repeated_orders: bool = False,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Every order with its line figures, if any. One row per order on both sides.
+
+    A ledger that breaks this, with many rows on one order id, is joined evenly under
+    ``repeated_orders``, at the price of counting its ids first. Each row gets its verdict
+    either way.
+    """
+    if repeated_orders:
+        joined = join_hot_apart(expected, per_order, "order_id", rows_per_slice)
+    else:
+        joined = expected.join(per_order, "order_id", "left")
+    return joined.withColumn(
         "settlement_row_count", F.coalesce("settlement_row_count", F.lit(0).cast("bigint"))
     )
 
@@ -154,8 +169,11 @@ def classified_orders(
     lines: DataFrame,
     tolerance: Decimal | float | str = TOLERANCE,
     strict: bool = False,
+    repeated_orders: bool = False,
 ) -> DataFrame:
-    joined = join_expected_lines(expected_settlement(ledger), lines_per_order(lines))
+    joined = join_expected_lines(
+        expected_settlement(ledger), lines_per_order(lines), repeated_orders
+    )
     return classify_orders(identity_check(joined), tolerance, strict)
 
 
@@ -164,9 +182,12 @@ def reconcile(
     lines: DataFrame,
     tolerance: Decimal | float | str = TOLERANCE,
     strict: bool = False,
+    repeated_orders: bool = False,
 ) -> DataFrame:
     """Ledger and settlement lines to the published result, as one lazy plan."""
-    return reconciliation_result(classified_orders(ledger, lines, tolerance, strict))
+    return reconciliation_result(
+        classified_orders(ledger, lines, tolerance, strict, repeated_orders)
+    )
 
 
 def result_preview(result: DataFrame, n: int = 20) -> DataFrame:

@@ -40,6 +40,7 @@ class Settings:
     run_started_at: str
     tolerance: Decimal | str = TOLERANCE
     strict: bool = False
+    repeated_orders: bool = False
     controls: int = CONTROL_SAMPLE_SIZE
     seed: int = CONTROL_SAMPLE_SEED
     cap: int | None = None
@@ -86,7 +87,13 @@ def run_reconciliation(
         "audit_csv": f"{out}/audit_csv/{run}",
         "run_summary": f"{out}/run_summary/{run}",
     }
-    verdicts = reconcile(inputs.ledger, inputs.lines, settings.tolerance, settings.strict)
+    verdicts = reconcile(
+        inputs.ledger,
+        inputs.lines,
+        settings.tolerance,
+        settings.strict,
+        settings.repeated_orders,
+    )
     result = stored(verdicts, paths["reconciliation_result"])
     checked = stored(
         batch_check(inputs.bank_feed, inputs.lines, settings.tolerance), paths["batch_check"]
