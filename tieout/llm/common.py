@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tieout
 from tieout.session import scratch_path
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -14,7 +17,18 @@ MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 
 
+def found_by_tasks(spark: SparkSession) -> None:
+    """Put the folder this package was imported from on the module path of the Python workers,
+    so that tasks find it whatever folder the application was started in."""
+    root = str(Path(tieout.__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        environment["PYTHONPATH"] = f"{known}:{root}".lstrip(":")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    found_by_tasks(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

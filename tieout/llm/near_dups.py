@@ -132,12 +132,9 @@ def _confirm(n_words: int, num: int, den: int) -> Callable:
         hashes, hub, hub_set = WordHashes(), None, np.empty(0, np.uint64)
         for batch in batches:
             u, v = [], []
-            rows = (batch.column(i).to_pylist() for i in range(5))
-            for at, is_member, node, digest, text in zip(*rows, strict=True):
-                words = ascii_words(text)
-                if hashlib.blake2b(b" ".join(words), digest_size=16).digest() != digest:
-                    continue  # another text under a repeated id
-                own = shingle_hashes(words, n_words, hashes)
+            rows = (batch.column(i).to_pylist() for i in range(4))
+            for at, is_member, node, text in zip(*rows, strict=True):
+                own = shingle_hashes(ascii_words(text), n_words, hashes)
                 if not is_member:
                     hub, hub_set = at, own
                 elif hub == at:
@@ -152,30 +149,25 @@ def _confirm(n_words: int, num: int, den: int) -> Callable:
     return run
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, n_words: int, num: int, den: int) -> DataFrame:
-    """Links among ``pairs(hub, hub_id, hub_digest, node, node_id, node_digest)``.
+def confirmed(pairs: DataFrame, texts: DataFrame, n_words: int, num: int, den: int) -> DataFrame:
+    """Links among ``pairs(hub, node)`` on the full sets of ``texts(node, text)``.
 
-    Each text is brought in once by id and dealt to its hub; a hub with many members is dealt
-    to several places, so no task holds more than a set and a stream of texts.
+    Each text is dealt to its hub; a hub with many members is dealt to several places, so no
+    task holds more than a set and a stream of texts.
     """
-    counts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("parts"))
-    pairs = stored(pairs.join(counts, "hub"), "pairs")
-    members = pairs.select(
-        F.col("node_id").alias("need_id"), "hub", F.pmod(F.hash("node"), "parts").alias("part"),
-        F.lit(1).alias("is_member"), "node", F.col("node_digest").alias("digest"),
-    )
-    hubs = pairs.select("hub_id", "hub", "hub_digest", "parts").distinct().select(
-        F.col("hub_id").alias("need_id"), "hub",
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.lit(0).alias("is_member"), F.col("hub").alias("node"), F.col("hub_digest").alias("digest"),
-    )
-    texts = docs.select(F.col("doc_id").cast("long").alias("need_id"), "text")
+    counts = stored(
+        pairs.groupBy("hub").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("parts")), "parts"
+    )
+    part = F.pmod(F.hash("node"), "parts").alias("part")
+    members = pairs.join(counts, "hub").select("hub", part, F.lit(1).alias("is_member"), "node")
+    parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    hubs = counts.select("hub", parts, F.lit(0).alias("is_member"), F.col("hub").alias("node"))
     dealt = (
         members.union(hubs)
-        .join(texts, "need_id")
+        .join(texts, "node")
         .repartition("hub", "part")
         .sortWithinPartitions("hub", "part", "is_member")
-        .select("hub", "is_member", "node", "digest", "text")
+        .select("hub", "is_member", "node", "text")
     )
     return stored(dealt.mapInArrow(_confirm(n_words, num, den), "u long, v long"), "links")
 
@@ -187,7 +179,7 @@ def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashlib.blake2b(b" ".join(ascii_words(t)), digest_size=16).digest() == d
             for d, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
         ]
-        yield batch.filter(pa.array(same, pa.bool_())).select([0, 1, 3])
+        yield batch.filter(pa.array(same, pa.bool_())).select([0, 3])
 
 
 def _agreeing(a: Column, b: Column) -> Column:
@@ -292,14 +284,12 @@ def _maps(n_words: int) -> Callable:
     return run
 
 
-def _open_pairs(pool: DataFrame, docs: DataFrame, n_words: int, num: int, den: int) -> DataFrame:
-    """Pairs of ``pool(node, component, node_id, digest)`` in different components whose
+def _open_pairs(pool: DataFrame, texts: DataFrame, n_words: int, num: int, den: int) -> DataFrame:
+    """Pairs of ``pool(node, component)`` in different components whose
     prefixes meet and whose parity maps allow the threshold. Rows of a key's largest
     component are only set against the others."""
     spark = pool.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("node_id"), "text")
-    full = pool.join(texts, "node_id").select("node", "component", "digest", "text")
-    full = stored(full.mapInArrow(_own_text, "node long, component long, text string"), "pool")
+    full = stored(pool.join(texts, "node").select("node", "component", "text"), "pool")
     cells = np.zeros(CELLS, np.int64)
     counts = full.select("text").mapInArrow(_sketch(n_words), "cell long, n long")
     for part in counts.groupBy("cell").agg(F.sum("n").alias("n")).toArrow().to_batches():
@@ -408,7 +398,8 @@ def _components(
     pairs = _described(stored(stars, "stars"), classes, num, den).where(
         _agreeing(F.col("hub_keys"), F.col("node_keys")) >= _least_agreement(num, den, bands * ROWS)
     )
-    links = confirmed(pairs.drop("hub_keys", "node_keys"), docs, n_words, num, den)
+    texts = _texts(members, classes, docs)
+    links = confirmed(pairs.select("hub", "node"), texts, n_words, num, den)
     first = stored(connected(links), "components")
 
     grouped = stored(
@@ -429,27 +420,31 @@ def _components(
         .groupBy("node", "component")
         .count()
         .where("count > 1")
-        .join(classes.select("node", "node_id", "digest"), "node")
     )
-    pool = stored(pool, "undecided")
-    more = _open_pairs(pool, docs, n_words, num, den)
-    more = _described(stored(more, "open"), classes, num, den)
-    links = confirmed(more.drop("hub_keys", "node_keys"), docs, n_words, num, den)
+    more = stored(_open_pairs(pool, texts, n_words, num, den), "open")
+    links = confirmed(more, texts, n_words, num, den)
     return connected(first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(links))
 
 
+def _texts(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the classes that share a bucket: the documents move once, here."""
+    wanted = members.select("node").distinct().join(classes.select("node", "node_id", "digest"), "node")
+    rows = docs.select(F.col("doc_id").cast("long").alias("node_id"), "text")
+    found = wanted.join(rows, "node_id").select("node", "node_id", "digest", "text")
+    own = found.mapInArrow(_own_text, "node long, text string")
+    return stored(own, "texts")
+
+
 def _described(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs with ids, digests and signatures; those of too different sizes are out."""
+    """Pairs with their signatures; those of too different sizes are out."""
     out = pairs
     for side in ("hub", "node"):
         out = out.join(
             classes.select(
-                F.col("node").alias(side), F.col("node_id").alias(f"{side}_id"),
-                F.col("digest").alias(f"{side}_digest"), F.col("n").alias(f"{side}_n"),
-                F.col("keys").alias(f"{side}_keys"),
+                F.col("node").alias(side), F.col("n").alias(f"{side}_n"), F.col("keys").alias(f"{side}_keys")
             ),
             side,
-        )
+        )
     return out.where(
         F.least("hub_n", "node_n") * den >= F.greatest("hub_n", "node_n") * num
     ).drop("hub_n", "node_n")

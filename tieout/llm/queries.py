@@ -5,18 +5,90 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tieout.llm.common import table
+from tieout.llm.decontaminate import decontaminated
+from tieout.llm.html import extract_text
+from tieout.llm.language import identify_language
+from tieout.llm.licenses import find_licenses
 from tieout.llm.near_dups import near_duplicates
+from tieout.llm.neighbours import nearest_neighbours
+from tieout.llm.packing import pack_documents
+from tieout.llm.secrets import secrets_digest
+from tieout.llm.toxicity import toxicity
+from tieout.llm.warc import archived
+
+
+def op1_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op3_license_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(table(spark, sf_dir, "documents"))
 
 
 def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), n_words=3, num=85, den=100)
 
 
+def op5_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_digest(table(spark, sf_dir, "documents"))
+
+
+def op6_language_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
+def op7_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity(documents, labels).drop("passages")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_layout": op1_html_layout,
+    "op2_warc_bundles": op2_warc_bundles,
+    "op3_license_patience": op3_license_patience,
     "op4_superminhash": op4_superminhash,
+    "op5_secret_markov": op5_secret_markov,
+    "op6_language_hierarchy": op6_language_hierarchy,
+    "op7_string_tiling": op7_string_tiling,
+    "op8_pattern_packing": op8_pattern_packing,
+    "op9_adaptive_scan": op9_adaptive_scan,
+    "op10_toxic_segments": op10_toxic_segments,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_warc_bundles": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS payload_digest,
+                   strlen(coalesce(html, '')) AS payload_bytes
+            FROM pages),
+        q AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000
+                           THEN max(page_id) OVER (PARTITION BY payload_digest) END AS largest
+            FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id < largest THEN largest END AS refers_to
+        FROM q""",
+}
