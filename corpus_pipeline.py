@@ -3,22 +3,98 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tieout.llm.common import stored, table
+from tieout.llm.decontaminate import leaks
+from tieout.llm.language import identify_language
 from tieout.llm.near_dups import near_duplicates
+from tieout.llm.packing import pack_documents
+from tieout.llm.secrets import find_secrets
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A prediction this unsure is a rejection, like a text without letters.
+LEAST_SCORE = 0.02
+
+
+def _without(docs: DataFrame, doc_ids: DataFrame) -> DataFrame:
+    """Rows whose id is not among ``doc_ids``; rows without an id stay."""
+    return docs.select(COLUMNS).join(doc_ids.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; texts without letters go, and so do those that
+    neither step of the prediction is sure of."""
+    found = identify_language(docs)
+    rejected = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SCORE))
+    return _without(docs, rejected.where("doc_id is not null"))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi").select(COLUMNS)
+    """One document of each near-duplicate group stays, the one with the smallest id. Of rows
+    that repeat an id one stays; rows without an id all stay."""
+    copies = near_duplicates(docs).where("not kept")
+    left = _without(docs, copies)
+    numbered = left.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return numbered.union(left.where("doc_id is null"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    found = leaks(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("doc_id is not null"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their secrets blotted out; the rest of each text stays, character by
+    character, and ``n_chars`` follows."""
+    found = find_secrets(docs.select(COLUMNS))
+    # spans come by start; parts between them are kept, overlaps are blotted once
+    parts = F.aggregate(
+        F.transform(
+            F.filter(F.split("spans", ","), lambda s: s != ""),
+            lambda s: F.struct(
+                F.element_at(F.split(s, ":"), 2).cast("int").alias("start"),
+                F.element_at(F.split(s, ":"), 3).cast("int").alias("end"),
+            ),
+        ),
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda done, s: F.struct(
+            F.greatest(done["at"], s["end"]).alias("at"),
+            F.when(
+                s["start"] >= done["at"],
+                F.concat(
+                    done["out"],
+                    F.substr("text", done["at"] + 1, s["start"] - done["at"]),
+                    F.lit("[SECRET]"),
+                ),
+            ).otherwise(done["out"]).alias("out"),
+        ),
+        lambda done: F.concat(done["out"], F.substr("text", done["at"] + 1)),
+    )
+    clean = F.when(F.col("spans") == "", F.col("text")).otherwise(parts)
+    return found.select(
+        "doc_id", clean.alias("text"), "lang", "source",
+        F.when(F.col("spans") == "", F.col("n_chars"))
+        .otherwise(F.length(clean).cast(docs.schema["n_chars"].dataType))
+        .alias("n_chars"),
+    )
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their places in the training sequences."""
+    return pack_documents(docs)
 
 
-STAGES = [("near_duplicates", without_near_copies)]
+STAGES = [
+    ("language", in_known_language),
+    ("near_duplicates", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("secrets", without_secrets),
+    ("packing", packed),
+]
 
-#: Signatures, trained models and packing are beyond SQL.
+#: Trained models, signatures and packing are beyond SQL.
 ORACLE_SQL = None
 
 

@@ -116,7 +116,7 @@ class _Bundle:
         self.uri = f"{folder}/bundle-{uuid.uuid4().hex}.warc.zst"
         fs, name = pafs.FileSystem.from_uri(self.uri)
         fs.create_dir(name.rsplit("/", 1)[0], recursive=True)
-        self.out = fs.open_output_stream(name)
+        self.out = fs.open_output_stream(name, compression=None)
         self.packer = zstandard.ZstdCompressor(level=LEVEL)
         self.frames: list[tuple[int, int]] = []
         self.held: list[bytes] = []
