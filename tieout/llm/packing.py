@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -26,7 +27,7 @@ from tieout.llm.common import stored
 PLAIN = re.compile("[^\t\n\r\x20-\x7eÀ-ÿ]")
 PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zß-öø-ÿ0-9]+")
 #: Words whose ids a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Share of a sequence that a pattern may leave empty, and companions tried per length.
 WASTE, COMPANIONS = 0.004, 8
 #: Steps of projected gradient.
@@ -39,11 +40,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# Bytes that the byte-level alphabet writes as themselves; the others follow 255.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTES = {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+
+
 class TokenIds:
     """Ids of whole texts as little-endian 32-bit bytes; words met before are looked up.
 
     The tokenizer splits at white space and between letters, digits and other signs and lower
-    cases, so in plain texts the ids of a text are those of its words in turn.
+    cases, so in plain texts the ids of a text are those of its words in turn, and those of a
+    word are what its model makes of the word's pieces.
     """
 
     def __init__(self, path: str):
@@ -54,36 +61,40 @@ class TokenIds:
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words = {}
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {}
-        split = {w: PIECE.findall(w) for w in words}
-        new = list({p for ps in split.values() for p in ps if p not in self.pieces})
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.pieces[piece] = np.array(found.ids, "<u4").tobytes()
-        for word, ps in split.items():
-            self.words[word] = b"".join([self.pieces[p] for p in ps])
+    def piece(self, text: str) -> bytes:
+        known = self.pieces.get(text)
+        if known is None:
+            shown = text if text.isascii() else text.encode().decode("latin-1").translate(_BYTES)
+            ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
+            known = self.pieces[text] = struct.pack(f"<{len(ids)}I", *ids)
+        return known
 
     def of(self, texts: list[str]) -> list[bytes]:
-        split = [
-            None if "<|" in t or PLAIN.search(t) else t.lower().split() for t in texts
-        ]
-        unknown = set().union(*(s for s in split if s)) - self.words.keys()
-        if unknown:
-            missing = unknown if len(self.words) + len(unknown) <= REMEMBERED else set().union(
-                *(s for s in split if s)
-            )
-            self.learn(missing)
-        known = self.words.__getitem__
+        split = [None if "<|" in t or PLAIN.search(t) else t.lower().split() for t in texts]
+        get = self.words.get
+        found = [None if words is None else list(map(get, words)) for words in split]
+        unknown = {
+            w
+            for words, ids in zip(split, found, strict=True)
+            if ids is not None and None in ids
+            for w, i in zip(words, ids, strict=True)
+            if i is None
+        }
+        fresh = {w: b"".join(map(self.piece, PIECE.findall(w))) for w in unknown}
+        if len(self.words) + len(fresh) > REMEMBERED:
+            self.words.clear()
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        self.words.update(fresh)
         out = []
-        for text, words in zip(texts, split, strict=True):
+        for text, words, ids in zip(texts, split, found, strict=True):
             if words is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids, "<u4").tobytes())
+                own = self.tokenizer.encode(text, add_special_tokens=False).ids
+                out.append(struct.pack(f"<{len(own)}I", *own))
+            elif None in ids:
+                out.append(b"".join([i or fresh.get(w, b"") for w, i in zip(words, ids, strict=True)]))
             else:
-                out.append(b"".join(map(known, words)))
+                out.append(b"".join(ids))
         return out
 
 
