@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.rows import bank_df, ledger_df, line, lines_df, order
 from tieout.operators import batches as ba
+from tieout.operators import cases as ca
 from tieout.operators import grading as gr
 from tieout.operators import quality as qu
 from tieout.operators import review as rv
@@ -111,3 +112,21 @@ def test_slice_treats_a_missing_amount_as_zero(tables):
     assert rv.audit_slice(flat).count() == 5
     assert rv.audit_slice(flat, min_amount=1).count() == 0
     assert rv.audit_slice(flat, tiers=[]).count() == 0
+
+
+def test_requested_labels_and_pinned_digest(spark, tables):
+    truth = spark.createDataFrame([("clean_match",)] * 9 + [("missing_payout",)], "exception_type string")
+    asked = spark.createDataFrame(
+        [("clean_match", 9, 0.0), ("missing_payout", 3, 1.0), ("duplicate_transaction", 1, 1.0)],
+        "label string, requested long, slack double",
+    )
+    got = {r.check_name: (r.passed, r.n_bad) for r in qu.check_requested_labels(truth, asked).collect()}
+    assert got == {
+        "clean_match_as_requested": (True, 0),
+        "missing_payout_as_requested": (False, 2),
+        "duplicate_transaction_as_requested": (True, 1),
+    }
+    digest = ca.run_id_digest(tables.keyed_ledger, "_batch_no")
+    pinned = digest.first().run_digest
+    assert qu.check_run_digest(digest, pinned).first().passed
+    assert qu.check_run_digest(digest, "0" * 64).first().n_bad == 1

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from tieout import schemas
 from tieout.functions.display import category_label, inr, inr_compact
 from tieout.operators import audit as au
-from tieout.plans.run import Inputs, Settings, run_reconciliation
+from tieout.plans.run import Inputs, Settings, run_on_tables, run_reconciliation
 from tieout.session import scratch_path
 from tieout.sources import sinks, tables as sources
 
@@ -34,8 +34,27 @@ def test_csv_keeps_quotes_breaks_and_nulls(spark):
     df = spark.createDataFrame(rows, "k string, v string")
     path = scratch_path(spark, "csv")
     sinks.sink_table_csv(df, path)
-    back = sources.scan_csv_typed(spark, path, df.schema, multi_line=True)
+    back = sources.scan_csv_typed(spark, path, df.schema)
     assert sorted(back.collect()) == sorted(df.collect())
+    text = sources.scan_csv_strings(spark, path, df.columns)
+    assert sorted(text.collect()) == sorted(df.collect())
+
+
+def test_run_on_catalog_tables(spark, tables):
+    place = scratch_path(spark, "catalog")
+    schema = "tieout_" + place.rsplit("-", 1)[1]
+    names = {
+        part: sinks.sink_table(getattr(tables, part), schema, f"in_{part}", place)
+        for part in ("ledger", "lines", "bank_feed", "responses")
+    }
+    for run in ("run-1", "run-2", "run-2"):
+        out = run_on_tables(spark, names, Settings(run, "2026-01-05 00:00:00"), schema)
+    audit = sources.query_audit_sql(spark, out["audit_log"])
+    orders = tables.ledger.count()
+    counts = {r.run_id: r["count"] for r in audit.groupBy("run_id").count().collect()}
+    assert counts == {"run-1": orders, "run-2": orders}
+    assert spark.table(out["reconciliation_result"]).count() == orders
+    assert spark.table(out["run_summary"]).count() == 1
 
 
 def test_coercion_goes_by_schema(spark):

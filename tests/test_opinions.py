@@ -90,10 +90,21 @@ def test_first_valid_attempt_wins(spark):
         ("never", 2, reply(cause="fraud"), 2),
         ("never", 3, reply(confidence="high"), 4),
         ("late", 4, reply(), 1),
+        ("from_zero", 0, "bad", 3),
+        ("from_zero", 7, reply(cause="other"), 5),
+        ("from_zero", 9, reply(), 6),
+        ("once", 1, "bad", 2),
         *[("copies", 1, reply(), 7)] * 50,
     )
     got = {r.order_id: r for r in di.resolve_attempts(di.parse_diagnosis(df)).collect()}
-    assert set(got) == {"retry", "never", "copies"}
+    assert set(got) == {"retry", "never", "copies", "late", "from_zero", "once"}
+    assert (got["late"].diagnosed, got["late"].attempts_used, got["late"].latency_ms) == (True, 1, 1)
+    zero = got["from_zero"]
+    assert (zero.cause, zero.attempts_used, zero.latency_ms) == ("other", 2, 8)
+    assert got["once"].error == "no schema-valid response after 1 attempts: not JSON"
+    limited = {r.order_id: r for r in di.resolve_attempts(di.parse_diagnosis(df), 1).collect()}
+    assert set(limited) == set(got)
+    assert not limited["retry"].diagnosed and limited["late"].diagnosed
     assert (got["retry"].cause, got["retry"].latency_ms, got["retry"].attempts_used) == (
         "other", 30, 2,
     )

@@ -6,13 +6,14 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tests.rows import bank_df, d, ledger_df, line, lines_df, order
+from tests.rows import bank_df, d, ledger_df, line, lines_df, order, replies_df
 from tieout.operators import batches as ba
 from tieout.operators import cases as ca
 from tieout.operators import reconcile as re
 from tieout.operators import selection as se
 from tieout.operators.lines import lines_per_order
 from tieout.operators.skew import hot_keys, join_many_to_one
+from tieout.plans.run import Inputs, Settings, run_reconciliation
 from tieout.sources.sinks import sink_table
 from tieout.session import scratch_path
 
@@ -56,7 +57,7 @@ def test_hot_credits_join_in_place(spark):
     )
     bank = bank.unionByName(unkeyed)
     lines = lines_df(spark, line("a", batch="hot"), *[line(f"o{i}", batch=f"B{i}") for i in range(40)])
-    apart = ba.batch_check(bank, lines, rows_per_slice=100)
+    apart = ba.batch_check(bank, lines, hot_apart=100)
     plain = ba.batch_balanced(bank.join(ba.batch_net(lines), "settlement_batch_id", "left"))
     assert Counter(apart.select(*plain.columns).collect()) == Counter(plain.collect())
     assert apart.count() == 751
@@ -85,11 +86,11 @@ def test_hot_order_is_cut_into_parts_and_kept_whole(hot):
         by_order.setdefault(r.order_id, []).append(r)
     parts = by_order.pop("hot")
     assert len(parts) > 1
-    assert all(r.n_parts == 9 for r in parts)
+    assert sorted(r.part_no for r in parts) == list(range(parts[0].n_parts))
+    assert all(r.n_parts == parts[0].n_parts for r in parts)
     listed = Counter()
     for r in parts:
         for ln in r.settlement_lines:
-            assert ln.copies <= 100
             listed[ln.transaction_id] += ln.copies
     assert listed["T-copy"] == 600
     assert sum(listed.values()) == 900
@@ -105,8 +106,23 @@ def test_parts_render_with_copy_counts(hot):
     ledger, lines, bank = hot
     cases = ca.assemble_cases(ledger.filter("order_id = 'hot'"), ledger, lines, bank, 100)
     texts = [r.case_text for r in ca.render_case(cases).collect()]
-    assert sum(t.count("(x100)") for t in texts) == 6
-    assert sum(t.count("  - transaction_id=") for t in texts) == 306
+    assert sum(t.count("(x600)") for t in texts) == 1
+    assert sum(t.count("  - transaction_id=") for t in texts) == 301
+
+
+def test_cases_have_one_shape_at_every_bound(spark, hot):
+    ledger, _, bank = hot
+    five = lines_df(spark, *[line("none", txn="T-1")] * 5, line("o1", txn="T-2"))
+    got = []
+    for bound in (10, 3, 1):
+        rows = ca.case_lines(ledger.filter("order_id in ('none', 'o1')"), five, bound).collect()
+        got.append(sorted((r.order_id, r.part_no, r.n_parts, tuple(x.copies for x in r.settlement_lines)) for r in rows))
+    assert got == [[("none", 0, 1, (5,)), ("o1", 0, 1, (1,))]] * 3
+    many = lines_df(spark, *[line("o1", txn=f"T-{i}") for i in range(40)])
+    parts = ca.case_lines(ledger, many, 1).collect()
+    assert sorted(r.part_no for r in parts) == list(range(len(parts)))
+    assert {r.n_parts for r in parts} == {len(parts)}
+    assert sum(len(r.settlement_lines) for r in parts) == 40
 
 
 def test_fingerprint_counts_copies_and_ignores_order(hot):
@@ -148,25 +164,57 @@ def test_first_per_group_cuts_before_the_shuffle(tables):
     assert final < plan.index("Exchange") < partial
 
 
-def test_large_sample_equals_the_sorted_one(tables, monkeypatch):
-    clean = se.clean(tables.result).select("order_id", "category")
-    small = se.control_sample(clean, 500)
-    monkeypatch.setattr(se, "HEAP_ROWS", 10)
-    large = se.control_sample(clean, 500)
-    assert sorted(large.collect()) == sorted(small.collect())
-    assert large.count() == 500
-    everything = se.control_sample(clean, 10_000)
-    assert everything.count() == clean.count()
-    assert se.control_sample(clean, 0).count() == 0
-
-
-def test_large_cap_equals_the_sorted_one(tables, monkeypatch):
+def test_samples_and_caps_are_those_of_the_sort(spark, tables):
+    clean = se.clean(tables.stored_result).select("order_id", "category")
+    draw = F.sha2(F.concat(F.col("order_id").cast("string"), F.lit("|42")), 256)
+    for n in (0, 1, 5, 500, 10_000):
+        want = clean.orderBy(draw, "order_id").limit(n).select("order_id").collect()
+        assert sorted(se.control_sample(clean, n).collect()) == sorted(want)
     held = se.flagged(tables.stored_result)
-    small = se.cap_flagged(held, 100)
-    monkeypatch.setattr(se, "HEAP_ROWS", 10)
-    large = se.cap_flagged(held, 100)
-    assert sorted(large.collect()) == sorted(small.collect())
-    assert se.cap_flagged(held, 10_000).count() == held.count() == se.cap_flagged(held, 0).count()
+    for cap in (1, 100, 10_000):
+        want = held.orderBy("order_id").limit(cap).collect()
+        assert sorted(se.cap_flagged(held, cap).collect()) == sorted(want)
+    assert se.cap_flagged(held, 0).count() == se.cap_flagged(held, None).count() == held.count()
+    texts = held.withColumn("order_id", F.col("order_id").cast("string"))
+    want = texts.orderBy("order_id").limit(30).collect()
+    assert sorted(se.cap_flagged(texts, 30).collect()) == sorted(want)
+
+
+def test_selecting_starts_no_job(spark, tables):
+    result = tables.stored_result
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("selecting", "")
+    se.mark_selection(result, controls=50_000, cap=20_000)
+    assert list(tracker.getJobIdsForGroup("selecting")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_audit_has_a_row_per_ledger_row(spark, repeated):
+    ledger = ledger_df(spark, *[order("a")] * 3, *[order("b")] * 2, order("c"))
+    lines = lines_df(spark, line("a"), line("b", fee="30.00"))
+    bank = bank_df(spark, ("u1", "1.00", "B1"))
+    answers = replies_df(spark, *[(o, 1, "bad", 1) for o in "abc"])
+    settings = Settings("r", "2026-01-05 00:00:00", repeated_orders=repeated, cap=5)
+    out = scratch_path(spark, "repeats")
+    paths = run_reconciliation(Inputs(ledger, lines, bank, answers), settings, out)
+    audit = spark.read.parquet(paths["audit_log"])
+    assert Counter(r.order_id for r in audit.collect()) == {"a": 3, "b": 2, "c": 1}
+    assert audit.filter("agent_invoked").count() == 6
+
+
+def test_hot_opinions_are_spread(spark):
+    from tieout.operators.audit import OPINION_COLUMNS, audit_assembly
+
+    result = re.reconcile(
+        ledger_df(spark, *[order("a")] * 400, order("b")), lines_df(spark, line("a"), line("b"))
+    )
+    marked = result.withColumn("selection_reason", F.lit("flagged_by_engine"))
+    opinions = spark.createDataFrame([("a",), ("b",)], "order_id string").withColumns(
+        {c: F.lit(None).cast(t) for c, t in OPINION_COLUMNS.items()} | {"diagnosed": F.lit(True)}
+    )
+    spread = audit_assembly(marked, opinions, "r", "2026-01-05 00:00:00", True, rows_per_slice=50)
+    assert spread.filter("agent_invoked").count() == 401 == spread.count()
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark, tables):

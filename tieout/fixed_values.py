@@ -5,7 +5,6 @@ from decimal import Decimal
 # --- rates and limits ---------------------------------------------------------
 GST_RATE = Decimal("0.18")
 TOLERANCE = Decimal("0.01")
-MAX_ATTEMPTS = 3
 CONTROL_SAMPLE_SIZE = 5
 CONTROL_SAMPLE_SEED = 42
 SETTLEMENT_LAG_DAYS = 2
@@ -30,7 +29,6 @@ TIER_OF_CATEGORY = {
 }
 TIERS = ("exact", "fuzzy", "no_match")
 TIER_RANK = {"no_match": 0, "fuzzy": 1, "exact": 2}
-LABELS = (CLEAN, TIMING_LAG, RATE_MISMATCH, DUPLICATE, MISSING)
 CAUSES = (CLEAN, TIMING_LAG, RATE_MISMATCH, DUPLICATE, MISSING, "other")
 
 FLAGGED = "flagged_by_engine"

@@ -26,6 +26,7 @@ from tieout.fixed_values import (
     TIER_RANK,
 )
 from tieout.functions.text import by_code, cites_figures
+from tieout.operators.skew import ROWS_PER_SLICE, join_many_to_one
 from tieout.schemas import EVIDENCE, audit_schema
 
 
@@ -100,17 +101,26 @@ def audit_assembly(
     opinions: DataFrame | None,
     run_id: str,
     run_started_at: str,
+    repeated_orders: bool = False,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """One nested record per order of the result.
+    """One nested record per row of the result.
 
     ``marked`` is the result with its ``selection_reason``; ``opinions`` has one row per
     order that was asked about, with its case fingerprint, or is None when the advisory
-    stage did not run. An opinion on an order that was not selected is left out.
+    stage did not run. An opinion on an order that was not selected is left out. With
+    ``repeated_orders`` the rows of an id that has very many are spread for the join.
     """
     stage_on = opinions is not None
     selected = F.col("selection_reason")
     if stage_on:
-        joined = marked.join(opinions.select("order_id", *OPINION_COLUMNS), "order_id", "left")
+        given = opinions.select("order_id", *OPINION_COLUMNS)
+        if repeated_orders:
+            sizes = marked.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+            rows = marked.withColumn("_row", F.monotonically_increasing_id())
+            joined = join_many_to_one(rows, given, "order_id", sizes, ["_row"], rows_per_slice)
+        else:
+            joined = marked.join(given, "order_id", "left")
         joined = joined.withColumns(
             {c: F.when(selected != NOT_SELECTED, F.col(c)) for c in OPINION_COLUMNS}
         )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tieout.fixed_values import SETTLEMENT_LAG_DAYS, TOLERANCE
-from tieout.operators.skew import ROWS_PER_SLICE, join_hot_apart
+from tieout.operators.skew import join_hot_apart
 
 BATCH = "settlement_batch_id"
 
@@ -17,6 +17,14 @@ def batch_net(lines: DataFrame) -> DataFrame:
     )
 
 
+def batch_totals(lines: DataFrame) -> DataFrame:
+    """What the rest of a run needs to know of the batches: sum and number of their lines."""
+    return lines.groupBy(BATCH).agg(
+        F.sum("net_amount").cast("decimal(18,2)").alias("computed_batch_net"),
+        F.count(F.lit(1)).alias("n"),
+    )
+
+
 def bank_netting(
     ledger: DataFrame,
     lines: DataFrame,
@@ -68,10 +76,20 @@ def batch_check(
     bank_feed: DataFrame,
     lines: DataFrame,
     tolerance: Decimal | float | str = TOLERANCE,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    totals: DataFrame | None = None,
+    hot_apart: int | None = None,
 ) -> DataFrame:
-    """Each bank credit with its batch's summed lines; null where the batch has no lines."""
-    met = join_hot_apart(bank_feed, batch_net(lines), BATCH, rows_per_slice)
+    """Each bank credit with its batch's summed lines; null where the batch has no lines.
+
+    ``totals`` are the stored :func:`batch_totals`, if there are any. Credits are about one
+    per batch, so this is a plain join; where one batch has very many, ``hot_apart`` joins
+    batches with more credits than that in place (see :func:`join_hot_apart`).
+    """
+    net = batch_net(lines) if totals is None else totals.select(BATCH, "computed_batch_net")
+    if hot_apart is not None:
+        met = join_hot_apart(bank_feed, net, BATCH, hot_apart)
+    else:
+        met = bank_feed.join(net, BATCH, "left").select(*bank_feed.columns, "computed_batch_net")
     return batch_balanced(met, tolerance)
 
 

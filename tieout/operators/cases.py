@@ -1,16 +1,17 @@
 """Cases: all the evidence on one order, for a second opinion that has not seen the verdict."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tieout.fixed_values import CASE_LINE_TEXT, CASE_NO_LINES, CASE_NO_VALUE, CASE_TEXT
 from tieout.functions.digest import canonical, row_set_sums, row_set_text
 from tieout.functions.text import fill
-from tieout.operators.batches import BATCH, batch_net
+from tieout.operators.batches import BATCH, batch_totals
 from tieout.operators.reconcile import expected_settlement
-from tieout.operators.skew import ROWS_PER_SLICE, hot_keys, join_many_to_one
+from tieout.operators.skew import ROWS_PER_SLICE, join_many_to_one
 
-# An array of this many lines is a few megabytes; orders with more lines get several parts.
+# An array of this many lines is a few megabytes; orders with more different lines get
+# several parts of about so many.
 LINES_PER_PART = 50_000
 
 CASE_LINE = (
@@ -37,18 +38,14 @@ CASE_FIELDS = (
 )
 
 
-def batch_context(bank_feed: DataFrame, lines: DataFrame) -> DataFrame:
+def batch_context(bank_feed: DataFrame, totals: DataFrame) -> DataFrame:
     """Per batch with lines: what the bank credited (first credit) and what the lines sum to."""
     credit = F.struct("utr_number", "bank_credit_amount")
     credits = bank_feed.groupBy(BATCH).agg(F.min(credit).alias("credit"))
-    return (
-        batch_net(lines)
-        .join(credits, BATCH, "left")
-        .select(
-            BATCH,
-            F.col("credit.bank_credit_amount").alias("batch_bank_credit_amount"),
-            F.col("computed_batch_net").alias("batch_computed_settlement_net"),
-        )
+    return totals.join(credits, BATCH, "left").select(
+        BATCH,
+        F.col("credit.bank_credit_amount").alias("batch_bank_credit_amount"),
+        F.col("computed_batch_net").alias("batch_computed_settlement_net"),
     )
 
 
@@ -77,19 +74,26 @@ def case_headers(
     lines: DataFrame,
     bank_feed: DataFrame,
     rows_per_slice: int = ROWS_PER_SLICE,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per selected order: facts, expected figures, batch context, line count, and a
-    fingerprint that changes when any figure or line of the case changes."""
-    chosen = ledger.join(selected.select("order_id"), "order_id", "left_semi")
+    """One row per ledger row of a selected order: facts, expected figures, batch context, line
+    count, and a fingerprint that changes when any figure or line of the case changes.
+
+    Only lines of selected orders are read for evidence; ``totals`` are the stored
+    :func:`batch_totals` of all lines, if there are any.
+    """
+    ids = selected.select("order_id")
+    totals = batch_totals(lines) if totals is None else totals
+    chosen = ledger.join(ids, "order_id", "left_semi")
     facts = expected_settlement(chosen, keep=("order_date", "refund_date", "expected_mdr_rate"))
-    headers = facts.join(line_evidence(lines), "order_id", "left").withColumn(
+    evidence = line_evidence(lines.join(ids, "order_id", "left_semi"))
+    headers = facts.join(evidence, "order_id", "left").withColumn(
         "settlement_row_count", F.coalesce("settlement_row_count", F.lit(0).cast("bigint"))
     )
     # an order is placed in the batch of one of its lines, so a batch has no more orders
     # than lines
-    sizes = lines.groupBy(BATCH).agg(F.count(F.lit(1)).alias("n"))
     placed = join_many_to_one(
-        headers, batch_context(bank_feed, lines), BATCH, sizes, ["order_id"], rows_per_slice
+        headers, batch_context(bank_feed, totals), BATCH, totals, ["order_id"], rows_per_slice
     )
     return placed.select(
         *CASE_FIELDS, BATCH, "settlement_row_count", case_fingerprint().alias("case_fingerprint")
@@ -106,45 +110,43 @@ def case_fingerprint() -> Column:
 def case_lines(
     selected: DataFrame, lines: DataFrame, lines_per_part: int = LINES_PER_PART
 ) -> DataFrame:
-    """The lines of each selected order as arrays of bounded length.
+    """The lines of each selected order as arrays of about ``lines_per_part`` entries at most.
 
-    An order with up to ``lines_per_part`` lines is one row, part 0 of 1. A larger one is
-    spread over parts by the hash of its lines, without ever being shuffled on its id alone.
-    Verbatim copies in it are counted first, and the counts cut to size, so copies of one
-    line are spread too; ``copies`` says how often a listed line occurs. Every line is in
-    exactly one part.
+    Verbatim copies are one entry, and ``copies`` says how often it occurs. An order's entries
+    are dealt to parts by their hash, as many parts as their number asks for; parts that get
+    none are not counted, so parts run from 0 to ``n_parts`` - 1 and every line is in exactly
+    one. The same holds for orders of any size: one with few lines has part 0 of 1.
     """
     ids = selected.select("order_id")
-    counts = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
-    large = hot_keys(counts, "order_id", lines_per_part)
+    folded = (
+        lines.join(ids, "order_id", "left_semi")
+        .groupBy("order_id", *CASE_LINE)
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    wanted = folded.groupBy("order_id").agg(
+        F.ceil(F.count(F.lit(1)) / lines_per_part).alias("_parts")
+    )
+    part = F.pmod(F.xxhash64(*CASE_LINE), F.col("_parts"))
+    dealt = folded.join(wanted, "order_id").withColumn("_part", part)
     line = F.struct(*CASE_LINE, "copies")
-
-    small = (
-        lines.join(F.broadcast(large), "order_id", "left_anti")
-        .join(ids, "order_id", "left_semi")
-        .withColumn("copies", F.lit(1).cast("bigint"))
-        .groupBy("order_id")
-        .agg(F.sort_array(F.collect_list(line)).alias("settlement_lines"))
+    listed = dealt.groupBy("order_id", "_part").agg(
+        F.sort_array(F.collect_list(line)).alias("settlement_lines")
+    )
+    # parts are numbered without their lines, which stay where they are
+    whole = Window.partitionBy("order_id")
+    numbers = (
+        dealt.select("order_id", "_part")
+        .distinct()
         .select(
-            "order_id", F.lit(0).alias("part_no"), F.lit(1).alias("n_parts"), "settlement_lines"
+            "order_id",
+            "_part",
+            (F.row_number().over(whole.orderBy("_part")) - 1).alias("part_no"),
+            F.count(F.lit(1)).over(whole).cast("int").alias("n_parts"),
         )
     )
-
-    blocks = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / lines_per_part))
-    in_block = F.least(
-        F.lit(lines_per_part).cast("bigint"), F.col("n") - F.col("_block") * lines_per_part
-    )
-    part = F.pmod(F.xxhash64(*CASE_LINE, "_block"), F.col("_slices")).cast("int")
-    big = (
-        lines.join(F.broadcast(large.join(ids, "order_id", "left_semi")), "order_id")
-        .groupBy("order_id", "_slices", *CASE_LINE)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_block", F.explode(blocks))
-        .withColumns({"copies": in_block, "part_no": part})
-        .groupBy("order_id", "part_no", F.col("_slices").alias("n_parts"))
-        .agg(F.sort_array(F.collect_list(line)).alias("settlement_lines"))
+    return listed.join(numbers, ["order_id", "_part"]).select(
+        "order_id", "part_no", "n_parts", "settlement_lines"
     )
-    return small.unionByName(big)
 
 
 def assemble_cases(
@@ -153,9 +155,10 @@ def assemble_cases(
     lines: DataFrame,
     bank_feed: DataFrame,
     lines_per_part: int = LINES_PER_PART,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Each selected order with its evidence and lines; one row unless it has very many lines."""
-    headers = case_headers(selected, ledger, lines, bank_feed)
+    headers = case_headers(selected, ledger, lines, bank_feed, totals=totals)
     parts = case_lines(selected, lines, lines_per_part)
     return headers.join(parts, "order_id", "left").withColumns(
         {

@@ -1,9 +1,9 @@
 """Second opinions that came back as raw replies: check them, and settle on one per order."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tieout.fixed_values import CAUSES, FAILED_TEMPLATE, MAX_ATTEMPTS
+from tieout.fixed_values import CAUSES, FAILED_TEMPLATE
 from tieout.functions.text import fill, message_text
 
 
@@ -87,45 +87,50 @@ def parse_diagnosis(responses: DataFrame) -> DataFrame:
     )
 
 
-def resolve_attempts(parsed: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """One row per order: the first valid attempt, or the last error if there is none.
+def resolve_attempts(parsed: DataFrame, max_attempts: int | None = None) -> DataFrame:
+    """One row per order that has a reply: the first valid attempt, or the last error.
 
-    ``latency_ms`` adds up the attempts made until the decision. Every aggregate combines
-    map-side, so repeated rows of one order do not pile up in one task.
+    Attempts are taken in the order of their numbers, whatever these are; rows that repeat a
+    number are one attempt, and attempts without a number come last. ``attempts_used`` and
+    ``latency_ms`` count the attempts made until the decision. ``max_attempts`` looks at the
+    first so many only. Repeated rows are combined before they are sent, and a running count
+    over an order's attempts streams, so many replies on one order do no harm.
     """
-    first_valid = F.min(F.when(F.col("valid"), F.struct("attempt", *REPLY_FIELDS)))
-    last_error = F.max(F.when(~F.col("valid"), F.struct("attempt", "error")))
-    slots = [
-        F.max(F.when(F.col("attempt") == i, F.col("latency_ms"))).alias(f"_ms_{i}")
-        for i in range(1, max_attempts + 1)
-    ]
-    grouped = (
-        parsed.filter(F.col("attempt").between(1, max_attempts))
-        .groupBy("order_id")
-        .agg(
-            first_valid.alias("_answer"),
-            last_error.alias("_failure"),
-            F.max("attempt").alias("_last"),
-            F.min("model").alias("model"),
-            F.min("prompt_version").alias("prompt_version"),
-            *slots,
-        )
+    number = F.coalesce("attempt", F.lit(2**63 - 1)).alias("_number")
+    answer = F.min(F.when(F.col("valid"), F.struct(*REPLY_FIELDS))).alias("_answer")
+    made = parsed.groupBy("order_id", number).agg(
+        answer,
+        F.max(F.when(~F.col("valid"), F.col("error"))).alias("_error"),
+        F.max("latency_ms").alias("_ms"),
+        F.min("model").alias("model"),
+        F.min("prompt_version").alias("prompt_version"),
+    )
+    so_far = Window.partitionBy("order_id").orderBy("_number")
+    until = so_far.rowsBetween(Window.unboundedPreceding, 0)
+    made = made.withColumn("_nth", F.row_number().over(so_far).cast("bigint"))
+    if max_attempts is not None:
+        made = made.filter(F.col("_nth") <= max_attempts)
+    made = made.withColumn("_spent", F.sum(F.coalesce("_ms", F.lit(0).cast("bigint"))).over(until))
+    step = ("_nth", "_spent", "_answer", "_error")
+    valid, failed = F.col("_answer").isNotNull(), F.col("_answer").isNull()
+    grouped = made.groupBy("order_id").agg(
+        F.min(F.when(valid, F.struct(*step))).alias("_first"),
+        F.max(F.when(failed, F.struct(*step))).alias("_last"),
+        F.min("model").alias("model"),
+        F.min("prompt_version").alias("prompt_version"),
     )
-    decided = F.coalesce("_answer.attempt", "_last")
-    latency = F.lit(0).cast("bigint")
-    for i in range(1, max_attempts + 1):
-        spent = F.when(decided >= i, F.coalesce(f"_ms_{i}", F.lit(0))).otherwise(F.lit(0))
-        latency = latency + spent
-    failed = fill(
-        FAILED_TEMPLATE, attempts=F.lit(max_attempts), error=F.col("_failure.error")
+    decided = F.coalesce("_first", "_last")
+    message = fill(
+        FAILED_TEMPLATE, attempts=decided["_nth"], error=decided["_error"]
     )
+    found = F.col("_first").isNotNull()
     return grouped.select(
         "order_id",
-        F.col("_answer").isNotNull().alias("diagnosed"),
-        decided.alias("attempts_used"),
-        *[F.col(f"_answer.{c}").alias(c) for c in REPLY_FIELDS],
-        F.when(F.col("_answer").isNull(), failed).alias("error"),
-        latency.alias("latency_ms"),
+        found.alias("diagnosed"),
+        decided["_nth"].alias("attempts_used"),
+        *[F.col(f"_first._answer.{c}").alias(c) for c in REPLY_FIELDS],
+        F.when(~found, message).alias("error"),
+        decided["_spent"].alias("latency_ms"),
         "model",
         "prompt_version",
     )

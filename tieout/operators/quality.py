@@ -76,6 +76,30 @@ def check_counts(ledger: DataFrame, lines: DataFrame, truth: DataFrame) -> DataF
     )
 
 
+def check_requested_labels(truth: DataFrame, asked: DataFrame) -> DataFrame:
+    """Each label of ``asked(label, requested, slack)``: how far its count is from the one asked
+    for. A label that is not in the answer key counts as found no times."""
+    found = truth.groupBy(F.col("exception_type").alias("label")).agg(
+        F.count(F.lit(1)).alias("found")
+    )
+    gap = F.abs(F.coalesce("found", F.lit(0)) - F.col("requested")).cast("bigint")
+    return asked.join(found, "label", "left").select(
+        F.concat("label", F.lit("_as_requested")).alias("check_name"),
+        (gap <= F.col("slack")).alias("passed"),
+        gap.alias("n_bad"),
+    )
+
+
+def check_run_digest(digest: DataFrame, pinned: str) -> DataFrame:
+    """Whether the run's id digest is the pinned one."""
+    same = F.col("run_digest") == F.lit(pinned)
+    return digest.select(
+        F.lit("id_digest_as_pinned").alias("check_name"),
+        same.alias("passed"),
+        (~same).cast("bigint").alias("n_bad"),
+    )
+
+
 def check_label_shares(truth: DataFrame) -> DataFrame:
     """At least nine orders in ten are clean."""
     clean = F.count_if(F.col("exception_type") == CLEAN)

@@ -11,12 +11,6 @@ from tieout.fixed_values import (
     FLAGGED,
     NOT_SELECTED,
 )
-from tieout.session import scratch_path
-from tieout.sources.sinks import stored
-
-# Up to here a top-n runs as one heap per task; above it the sample is cut by rank.
-HEAP_ROWS = 10_000
-
 
 def flagged(result: DataFrame) -> DataFrame:
     return result.filter(F.col("category") != CLEAN)
@@ -29,17 +23,17 @@ def clean(result: DataFrame) -> DataFrame:
 def cap_flagged(flagged_rows: DataFrame, cap: int | None) -> DataFrame:
     """The first ``cap`` rows by order id; none or zero keeps them all.
 
-    A large cap is cut by rank over stored ranges of ids instead of one heap.
+    Rows are counted in buckets that rise with the id: runs of 65,536 numbers, or equal
+    first four characters.
     """
     if not cap:
         return flagged_rows
-    if cap <= HEAP_ROWS:
-        return flagged_rows.orderBy("order_id").limit(cap)
-    ranges = flagged_rows.repartitionByRange("order_id").withColumn(
-        "_bucket", F.spark_partition_id()
-    )
-    # ranges are drawn from a sample, so they are fixed by writing them down
-    placed = stored(ranges, scratch_path(flagged_rows.sparkSession, "ranges"))
+    order_id = F.col("order_id")
+    if dict(flagged_rows.dtypes)["order_id"] == "string":
+        bucket = F.substring(order_id, 1, 4)
+    else:
+        bucket = F.shiftright(order_id.cast("bigint"), 16)
+    placed = flagged_rows.withColumn("_bucket", bucket)
     return _first_by_rank(placed, cap, ["order_id"]).select(*flagged_rows.columns)
 
 
@@ -47,38 +41,32 @@ def control_sample(clean_rows: DataFrame, n: int, seed: int = CONTROL_SAMPLE_SEE
     """``n`` clean orders without replacement, the same ones for the same seed and orders.
 
     Orders are ranked by the hash of their id and the seed, so neither row order nor
-    partitioning matters. ``n`` at or above the number of orders returns all of them.
+    partitioning matters. ``n`` at or above the number of orders returns all of them. An id
+    that stands on several clean rows is drawn once.
     """
     ids = clean_rows.select("order_id")
     if n <= 0:
         return ids.filter(F.lit(False))
     draw = F.sha2(F.concat(F.col("order_id").cast("string"), F.lit(f"|{seed}")), 256)
-    drawn = ids.withColumn("_draw", draw)
-    if n <= HEAP_ROWS:
-        return drawn.orderBy("_draw", "order_id").limit(n).select("order_id")
     # draws fall evenly into 65,536 buckets by their first four digits
-    placed = drawn.withColumn("_bucket", F.substring("_draw", 1, 4))
+    placed = ids.distinct().withColumn("_draw", draw)
+    placed = placed.withColumn("_bucket", F.substring("_draw", 1, 4))
     return _first_by_rank(placed, n, ["_draw", "order_id"]).select("order_id")
 
 
 def _first_by_rank(placed: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """The first ``n`` rows without sorting all of them.
+    """The first ``n`` rows without sorting all of them, by the same plan for every ``n``.
 
-    ``_bucket`` rises with the order and takes few values, however many rows there are.
-    Buckets before the cut are taken whole; only the bucket the cut falls in is ranked.
+    ``_bucket`` rises with the order and takes far fewer values than there are rows. Buckets
+    are counted, those before the cut are kept, and rows are ranked within their bucket.
     """
     sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     # a window without partitions, over one row per bucket
-    running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    reach = sizes.withColumn("_through", F.sum("_size").over(running)).withColumn(
-        "_before", F.col("_through") - F.col("_size")
-    )
-    reached = placed.join(F.broadcast(reach.filter(F.col("_before") < n)), "_bucket")
-    whole = reached.filter(F.col("_through") <= n)
-    cut = reached.filter(F.col("_through") > n)
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    reach = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    reached = placed.join(reach.filter(F.col("_before") < n), "_bucket")
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    partly = cut.withColumn("_rank", rank).filter(F.col("_rank") <= n - F.col("_before"))
-    return whole.unionByName(partly.drop("_rank"))
+    return reached.withColumn("_rank", rank).filter(F.col("_rank") <= n - F.col("_before"))
 
 
 def selection_union(flagged_ids: DataFrame, control_ids: DataFrame) -> DataFrame:
@@ -106,24 +94,20 @@ def mark_selection(
 ) -> DataFrame:
     """The result with ``selection_reason``; the same choice as :func:`select_for_diagnosis`.
 
-    Only the drawn ids are joined; without a cap, being flagged is read off the row. Id lists
-    are broadcast up to ``HEAP_ROWS`` ids and joined as tables above.
+    One row for each row of the result, also where an order id stands on several. Only the
+    drawn ids are joined; without a cap, being flagged is read off the row.
     """
-
-    def members(ids: DataFrame, size: int, name: str) -> DataFrame:
-        ids = ids.select("order_id", F.lit(True).alias(name))
-        return F.broadcast(ids) if size <= HEAP_ROWS else ids
-
-    drawn = members(control_sample(clean(result), controls, seed), controls, "_control")
+    drawn = control_sample(clean(result), controls, seed).withColumn("_control", F.lit(True))
     marked = result.join(drawn, "order_id", "left")
     reached = F.col("category") != CLEAN
     if cap:
-        kept = members(cap_flagged(flagged(result), cap), cap, "_kept")
-        marked = marked.join(kept, "order_id", "left")
-        reached = F.col("_kept").isNotNull()
+        kept = cap_flagged(flagged(result), cap).select("order_id").distinct()
+        marked = marked.join(kept.withColumn("_kept", F.lit(True)), "order_id", "left")
+        reached = reached & F.col("_kept").isNotNull()
+    drawn_clean = (F.col("category") == CLEAN) & F.col("_control").isNotNull()
     reason = F.coalesce(
         F.when(reached, F.lit(FLAGGED)),
-        F.when(F.col("_control").isNotNull(), F.lit(CONTROL)),
+        F.when(drawn_clean, F.lit(CONTROL)),
         F.lit(NOT_SELECTED),
     )
     return marked.select(*result.columns, reason.alias("selection_reason"))

@@ -10,8 +10,8 @@ def hot_keys(sizes: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -
     """Keys with more rows than one slice should hold, and the slices each is given.
 
     ``sizes`` has one row per key with its row count ``n``. At most ``total rows /
-    rows_per_slice`` keys can qualify, which is what makes the list safe to broadcast:
-    a hundred billion rows leave at most 100,000 keys.
+    rows_per_slice`` keys can qualify. Joins with the list are left to Spark, which
+    broadcasts it where it is small and shuffles where it is not.
     """
     return sizes.filter(F.col("n") > rows_per_slice).select(
         key, F.ceil(F.col("n") / F.lit(rows_per_slice)).cast("int").alias("_slices")
@@ -34,7 +34,7 @@ def join_many_to_one(
     without a key match nothing, so they are spread freely. All other keys join as usual, and
     the result is that of the plain join.
     """
-    hot = F.broadcast(hot_keys(sizes, key, rows_per_slice))
+    hot = hot_keys(sizes, key, rows_per_slice)
     slices = F.coalesce("_slices", F.lit(1))
     slice_no = F.when(F.col(key).isNull(), F.hash(*spread_by)).otherwise(
         F.pmod(F.xxhash64(*spread_by), slices).cast("int")
@@ -56,17 +56,18 @@ def join_hot_apart(
 ) -> DataFrame:
     """Left join of stored rows to the single row of their key, hot keys joined in place.
 
-    For rows that may be exact copies of each other, which no hash can spread. Rows of hot
-    keys never move: the few rows of ``one`` they need are broadcast to them. Rows without a
-    key match nothing and do not move either. All other keys join as usual. ``many`` is read
+    For rows that may be exact copies of each other, which no hash can spread. The list of hot
+    keys is short, so Spark broadcasts what they need and their rows stay in place; a list too
+    long for that is joined like the rest. Rows without a key match nothing and do not move.
+    All other keys join as usual. ``many`` is read
     once per part, so it should be a stored table.
     """
     sizes = many.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     hot = hot_keys(sizes, key, rows_per_slice).select(key)
     columns = [*many.columns, *[c for c in one.columns if c != key]]
     keyed = many.filter(F.col(key).isNotNull())
-    cold = keyed.join(F.broadcast(hot), key, "left_anti").join(one, key, "left")
-    in_place = keyed.join(F.broadcast(hot.join(one, key, "left")), key)
+    cold = keyed.join(hot, key, "left_anti").join(one, key, "left")
+    in_place = keyed.join(hot.join(one, key, "left"), key)
     missing = {f.name: F.lit(None).cast(f.dataType) for f in one.schema.fields if f.name != key}
     unkeyed = many.filter(F.col(key).isNull()).withColumns(missing)
     parts = [part.select(*columns) for part in (cold, in_place, unkeyed)]

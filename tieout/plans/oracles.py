@@ -227,7 +227,9 @@ FROM result r LEFT JOIN controls c ON r.order_id = c.order_id""",
     (
         "responses",
         """
-SELECT order_id, attempt, CASE WHEN bad AND attempt = 1 THEN 'not json'
+SELECT order_id, CASE WHEN order_id % 89 = 7 THEN attempt - 1
+                      WHEN order_id % 83 = 9 THEN attempt * 3 ELSE attempt END AS attempt,
+       CASE WHEN bad AND attempt = 1 THEN 'not json'
          WHEN bad AND attempt = 2 THEN '{"cause":"clean_match"}'
          WHEN bad THEN '{"cause":"clean_match","explanation":"x","confidence":"high",'
                        || '"recommended_action":"x"}'
@@ -236,7 +238,7 @@ SELECT order_id, attempt, CASE WHEN bad AND attempt = 1 THEN 'not json'
          ELSE good END AS content,
        order_id % 50 + 100 AS latency_ms, 'advisory-model-a' AS model,
        'prompt-0001' AS prompt_version
-FROM (SELECT *, order_id % 97 = 5 OR attempt < tries AS bad,
+FROM (SELECT *, order_id % 97 = 5 OR order_id % 79 = 11 OR attempt < tries AS bad,
              '{"cause":"' || cause || '","explanation":"' || expl || '","confidence":'
              || CASE WHEN order_id % 7 = 5 THEN '95' ELSE '0.9' END
              || ',"recommended_action":"Review order ' || order_id || '."}' AS good
@@ -247,7 +249,8 @@ FROM (SELECT *, order_id % 97 = 5 OR attempt < tries AS bad,
                         WHEN order_id % 5 = 1
                           THEN printf('See 00000000-0000-4000-8000-%012d only.', order_id)
                         ELSE 'Amount on order is ' || order_amount END AS expl
-            FROM (SELECT *, CASE WHEN order_id % 97 = 5 THEN 3 WHEN order_id % 11 = 5 THEN 2
+            FROM (SELECT *, CASE WHEN order_id % 97 = 5 THEN 3 WHEN order_id % 79 = 11 THEN 1
+                                 WHEN order_id % 11 = 5 THEN 2
                                  ELSE 1 END AS tries FROM ledger_x)))""",
     ),
     (
@@ -291,19 +294,25 @@ FROM (SELECT *, CASE WHEN NOT is_json THEN 'not JSON'
     (
         "resolved",
         """
-SELECT o.order_id, w.attempt IS NOT NULL AS diagnosed, coalesce(w.attempt, o.last) AS attempts_used,
+SELECT o.order_id, w.attempt IS NOT NULL AS diagnosed, n.attempts_used,
        w.cause, w.explanation, w.confidence, w.recommended_action,
        CASE WHEN w.attempt IS NULL
-            THEN 'no schema-valid response after 3 attempts: ' || f.error END AS error,
-       CAST((SELECT sum(p.latency_ms) FROM parsed p WHERE p.order_id = o.order_id
-             AND p.attempt <= coalesce(w.attempt, o.last)) AS BIGINT) AS latency_ms,
+            THEN 'no schema-valid response after ' || n.attempts_used || ' attempts: ' || f.error
+            END AS error,
+       n.latency_ms,
        o.model, o.prompt_version
 FROM (SELECT order_id, max(attempt) AS last, min(model) AS model,
              min(prompt_version) AS prompt_version FROM parsed GROUP BY order_id) o
 LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY attempt) AS rn
            FROM parsed WHERE valid) w ON w.order_id = o.order_id AND w.rn = 1
 LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY attempt DESC) AS rn
-           FROM parsed WHERE NOT valid) f ON f.order_id = o.order_id AND f.rn = 1""",
+           FROM parsed WHERE NOT valid) f ON f.order_id = o.order_id AND f.rn = 1
+LEFT JOIN (SELECT p.order_id, count(*) AS attempts_used,
+                  CAST(sum(p.latency_ms) AS BIGINT) AS latency_ms
+           FROM parsed p JOIN (SELECT order_id, coalesce(min(attempt) FILTER (valid), max(attempt))
+                                      AS until FROM parsed GROUP BY order_id) u
+             ON u.order_id = p.order_id AND p.attempt <= u.until
+           GROUP BY p.order_id) n ON n.order_id = o.order_id""",
     ),
     (
         "line_sums",
@@ -440,6 +449,17 @@ _GRADED = (
     "(SELECT r.*, t.exception_type AS true_category FROM result r "
     "JOIN truth t ON t.order_id = r.order_id)"
 )
+# lines without a fee or a net cannot be compared on them
+_GAPS = (
+    "FROM (SELECT *, CASE WHEN settlement_row_count = 0 THEN 'missing_payout' "
+    "WHEN settlement_row_count >= 2 THEN 'duplicate_transaction' "
+    "WHEN NOT no_fee AND abs(mdr_fee - expected_mdr_fee) > 0.01 THEN 'mdr_rate_mismatch' "
+    "WHEN abs(refund_adjustment - expected_refund_adjustment) > 0.01 THEN 'timing_lag_refund' "
+    "WHEN NOT no_fee AND abs(gst_on_mdr - gst_on_charged_fee) > 0.01 OR NOT no_fee AND NOT no_net "
+    "AND abs(net_amount - identity_net_amount) > 0.01 THEN 'unexplained_value_break' "
+    "ELSE 'clean_match' END AS category FROM (SELECT * EXCLUDE category, order_id % 53 = 9 AS "
+    "no_fee, order_id % 59 = 4 AS no_net FROM classified))"
+)
 _ASSESSED = f"(SELECT * FROM {_LOOKED_UP} WHERE agent_invoked AND agent_cause <> '')"
 _HELD = "review_status = 'needs_human_review'"
 _AUDIT_CSV = ", ".join(fv.AUDIT_CSV_COLUMNS)
@@ -572,8 +592,10 @@ _CASE_LINE = (
 _LISTED = (
     "(SELECT order_id, count(*) AS n_listed, string_agg("
     + _sentence(fv.CASE_LINE_TEXT, **{c: c for c in _CASE_LINE})
+    + " || CASE WHEN copies > 1 THEN ' (x' || copies || ')' ELSE '' END"
     + ", chr(10) ORDER BY transaction_id, mdr_fee, gst_on_mdr, refund_adjustment, net_amount) "
-    "AS listed FROM lines GROUP BY order_id)"
+    f"AS listed FROM (SELECT order_id, {', '.join(_CASE_LINE)}, count(*) AS copies FROM lines "
+    "GROUP BY ALL) GROUP BY order_id)"
 )
 
 
@@ -756,6 +778,8 @@ _BODIES = {
     "sink_audit_jsonl": "SELECT * FROM audit",
     "sink_audit_csv": f"SELECT {_AUDIT_CSV} FROM audit",
     "sink_table_csv": "SELECT * FROM lines",
+    "bank_feed_csv": "SELECT * FROM bank_feed",
+    "truth_csv": "SELECT * FROM truth",
     "sink_run_summary": _SUMMARY,
     "sink_grading": _GRADING,
     "export_slice_csv": f"SELECT {_SLICE} FROM audit WHERE {SLICE_FILTER}",
@@ -772,10 +796,11 @@ _BODIES = {
     ),
     "classify_orders": "SELECT order_id, settlement_row_count, category FROM classified",
     "classify_orders_strict": (
-        "SELECT order_id, CASE WHEN category = 'clean_match' AND (mdr_fee IS NULL OR gst_on_mdr "
-        "IS NULL OR refund_adjustment IS NULL OR net_amount IS NULL) "
-        "THEN 'unexplained_value_break' ELSE category END AS category FROM classified"
+        "SELECT order_id, CASE WHEN settlement_row_count = 1 AND category IN ('clean_match', "
+        "'unexplained_value_break') AND (no_fee OR no_net) THEN 'unexplained_value_break' "
+        f"ELSE category END AS category {_GAPS}"
     ),
+    "classify_orders_gaps": f"SELECT order_id, category {_GAPS}",
     "match_tier": "SELECT order_id, category, match_tier FROM result",
     "engine_reasoning": "SELECT order_id, category, reasoning FROM result",
     "reconciliation_result": "SELECT * FROM result",
@@ -826,6 +851,11 @@ _BODIES = {
         "ON l.order_id = h.order_id"
     ),
     "audit_assembly": "SELECT * FROM audit",
+    "repeated_orders_audit": (
+        "SELECT order_id, engine_category, agent_selection_reason, agent_invoked, agent_cause, "
+        "agent_case_fingerprint FROM (SELECT *, unnest(range(CASE WHEN order_id % 400 = 3 THEN 3 "
+        "WHEN order_id % 40 = 3 THEN 2 ELSE 1 END)) FROM audit)"
+    ),
     "truth_lookup": (
         "SELECT order_id, engine_category, agent_cause, ground_truth FROM " + _LOOKED_UP
     ),
@@ -871,8 +901,8 @@ _BODIES = {
         f"AS engine_accuracy FROM {_GRADED}"
     ),
     "engine_mismatches": (
-        f"SELECT order_id, category, true_category, reasoning FROM {_GRADED} "
-        "WHERE category <> true_category"
+        "SELECT order_id, 'missing_payout' AS category, true_category, reasoning FROM "
+        f"{_GRADED} WHERE order_id % 211 = 3 AND true_category <> 'missing_payout'"
     ),
     "agent_accuracy": (
         "SELECT count(*) AS agent_graded_orders, count(*) FILTER (agent_cause = ground_truth) "
@@ -1022,6 +1052,20 @@ _BODIES = {
     "derive_truth": "SELECT * FROM truth",
     # checks
     "check_counts": _CHECK_COUNTS,
+    "check_repeated_counts": (
+        "SELECT check_name, CASE WHEN check_name = 'order_id_unique' THEN false ELSE passed END "
+        "AS passed, CASE WHEN check_name = 'order_id_unique' THEN (SELECT count(*) FROM ledger "
+        f"WHERE order_id % 40 = 3) ELSE n_bad END AS n_bad FROM ({_CHECK_COUNTS})"
+    ),
+    "check_requested_labels": (
+        "SELECT label || '_as_requested' AS check_name, abs(found - asked) <= 0.002 * orders AS "
+        "passed, CAST(abs(found - asked) AS BIGINT) AS n_bad FROM (SELECT s.label, (SELECT count(*) "
+        "FROM truth WHERE exception_type = s.label) AS found, (SELECT count(*) FROM truth) AS "
+        "orders, (SELECT count(*) FROM truth) * s.share // 1000 AS asked FROM (VALUES "
+        "('clean_match', 900), ('timing_lag_refund', 40), ('mdr_rate_mismatch', 25), "
+        "('duplicate_transaction', 15), ('missing_payout', 15), ('unexplained_value_break', 5)) "
+        "AS s(label, share))"
+    ),
     "check_label_shares": (
         "SELECT 'clean_share' AS check_name, bad = 0 AS passed, bad AS n_bad FROM "
         "(SELECT CAST(count(*) FILTER (exception_type = 'clean_match') < 0.9 * count(*) AS BIGINT) "

@@ -1,7 +1,7 @@
-"""Named queries. Each takes a session and a data folder and returns a lazy DataFrame.
+"""Named queries. Each takes a session and a data folder and returns a DataFrame.
 
-Queries about files and tables write under the shared folder first and return what reads
-back.
+Queries about files and tables, and those on the audit, write under the shared folder while
+they are built and return what reads back; the others start no job before they are read.
 """
 
 from collections.abc import Callable
@@ -17,11 +17,13 @@ from tieout.fixed_values import (
     AUDIT_CSV_COLUMNS,
     CATEGORIES,
     CLEAN,
+    DUPLICATE,
     MISSING,
     RATE_MISMATCH,
     REVIEW_STATUSES,
     TIERS,
     TIMING_LAG,
+    UNEXPLAINED,
 )
 from tieout.functions import display
 from tieout.functions import money as mo
@@ -37,7 +39,8 @@ from tieout.operators import reconcile as re
 from tieout.operators import review as rv
 from tieout.operators import selection as se
 from tieout.operators import summary as su
-from tieout.plans.tables import Tables
+from tieout.plans.run import Inputs, Settings, audit_of
+from tieout.plans.tables import RUN_ID, RUN_STARTED_AT, Tables
 from tieout.session import scratch_path
 from tieout.sources import derived as de
 from tieout.sources import sinks, tables
@@ -67,10 +70,15 @@ def _keyed(schema: T.StructType) -> T.StructType:
     return T.StructType(fields)
 
 
+def _as_table(df: DataFrame, name: str) -> str:
+    """The frame as a catalog table in a schema of its own under the shared folder."""
+    place = scratch_path(df.sparkSession, "schema")
+    return sinks.sink_table(df, "tieout_" + place.rsplit("-", 1)[1], name, place)
+
+
 @query
 def scan_table(t: Tables) -> DataFrame:
-    tables.scan_parquet(t.spark, t.folder, "orders").createOrReplaceTempView("tieout_orders")
-    return tables.scan_table(t.spark, "tieout_orders")
+    return tables.scan_table(t.spark, _as_table(tables.scan_parquet(t.spark, t.folder, "orders"), "orders"))
 
 
 @query
@@ -129,17 +137,13 @@ def scan_run_summaries(t: Tables) -> DataFrame:
 
 @query
 def query_audit_sql(t: Tables) -> DataFrame:
-    t.flat_audit.createOrReplaceTempView("tieout_audit_log")
-    return tables.query_audit_sql(t.spark, "tieout_audit_log")
+    return tables.query_audit_sql(t.spark, _as_table(t.flat_audit, "audit_log"))
 
 
 # --- sinks, read back ---------------------------------------------------------
 @query
 def sink_table(t: Tables) -> DataFrame:
-    place = scratch_path(t.spark, "schema")
-    schema_name = "tieout_" + place.rsplit("-", 1)[1]
-    name = sinks.sink_table(t.result, schema_name, "reconciliation_result", place)
-    return tables.scan_table(t.spark, name)
+    return tables.scan_table(t.spark, _as_table(t.result, "reconciliation_result"))
 
 
 @query
@@ -162,7 +166,7 @@ def sink_audit_csv(t: Tables) -> DataFrame:
     sinks.sink_audit_csv(t.audit, path)
     kinds = schemas.audit_schema(T.LongType())
     picked = T.StructType([kinds[c] for c in AUDIT_CSV_COLUMNS])
-    return tables.scan_csv_typed(t.spark, path, picked, multi_line=True)
+    return tables.scan_csv_typed(t.spark, path, picked)
 
 
 @query
@@ -172,6 +176,20 @@ def sink_table_csv(t: Tables) -> DataFrame:
     return tables.scan_csv_typed(t.spark, path, _keyed(schemas.LINES))
 
 
+@query
+def bank_feed_csv(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "bank-csv")
+    sinks.sink_table_csv(t.bank_feed, path)
+    return tables.scan_csv_typed(t.spark, path, t.bank_feed.schema)
+
+
+@query
+def truth_csv(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "truth-csv")
+    sinks.sink_table_csv(t.truth, path)
+    return tables.scan_csv_typed(t.spark, path, t.truth.schema)
+
+
 @query
 def sink_run_summary(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "summary")
@@ -252,10 +270,17 @@ def classify_orders(t: Tables) -> DataFrame:
 
 @query
 def classify_orders_strict(t: Tables) -> DataFrame:
-    strict = re.classified_orders(t.ledger, t.lines, strict=True)
+    """Some lines lack a figure here; only strict mode minds."""
+    strict = re.classified_orders(t.ledger, de.with_gaps(t.lines), strict=True)
     return strict.select("order_id", "category")
 
 
+@query
+def classify_orders_gaps(t: Tables) -> DataFrame:
+    lenient = re.classified_orders(t.ledger, de.with_gaps(t.lines))
+    return lenient.select("order_id", "category")
+
+
 @query
 def match_tier(t: Tables) -> DataFrame:
     return t.result.select("order_id", "category", "match_tier")
@@ -392,6 +417,23 @@ def audit_assembly(t: Tables) -> DataFrame:
     return t.flat_audit
 
 
+@query
+def repeated_orders_audit(t: Tables) -> DataFrame:
+    """One audit row per ledger row, also where an order id stands on several."""
+    inputs = Inputs(de.with_repeats(t.ledger), t.lines, t.bank_feed, t.responses)
+    settings = Settings(RUN_ID, RUN_STARTED_AT, repeated_orders=True)
+    verdicts = re.reconcile(inputs.ledger, inputs.lines, repeated_orders=True)
+    result = sinks.stored(verdicts, scratch_path(t.spark, "result"))
+    return au.flatten_audit(audit_of(result, inputs, settings)).select(
+        "order_id",
+        "engine_category",
+        "agent_selection_reason",
+        "agent_invoked",
+        "agent_cause",
+        "agent_case_fingerprint",
+    )
+
+
 @query
 def truth_lookup(t: Tables) -> DataFrame:
     return t.looked_up.select("order_id", "engine_category", "agent_cause", "ground_truth")
@@ -457,7 +499,9 @@ def engine_accuracy(t: Tables) -> DataFrame:
 
 @query
 def engine_mismatches(t: Tables) -> DataFrame:
-    return gr.engine_mismatches(t.graded)
+    """Some verdicts are made wrong first."""
+    wrong = F.when(F.col("order_id") % 211 == 3, F.lit(MISSING)).otherwise(F.col("category"))
+    return gr.engine_mismatches(t.graded.withColumn("category", wrong))
 
 
 @query
@@ -753,6 +797,31 @@ def check_counts(t: Tables) -> DataFrame:
     return qu.check_counts(t.ledger, t.lines, t.truth)
 
 
+@query
+def check_repeated_counts(t: Tables) -> DataFrame:
+    """On a ledger with repeated order ids."""
+    return qu.check_counts(de.with_repeats(t.ledger), t.lines, t.truth)
+
+
+@query
+def check_requested_labels(t: Tables) -> DataFrame:
+    shares = {
+        CLEAN: 900, TIMING_LAG: 40, RATE_MISMATCH: 25, DUPLICATE: 15, MISSING: 15, UNEXPLAINED: 5,
+    }
+    orders = t.truth.agg(F.count(F.lit(1)).alias("orders"))
+    rows = F.explode(
+        F.map_from_arrays(
+            F.array(*[F.lit(c) for c in shares]), F.array(*[F.lit(n) for n in shares.values()])
+        )
+    ).alias("label", "share")
+    asked = orders.select("orders", rows).select(
+        "label",
+        F.floor(F.col("orders") * F.col("share") / 1000).alias("requested"),
+        (F.col("orders") * 0.002).alias("slack"),
+    )
+    return qu.check_requested_labels(t.truth, asked)
+
+
 @query
 def check_label_shares(t: Tables) -> DataFrame:
     return qu.check_label_shares(t.truth)

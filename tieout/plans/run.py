@@ -8,12 +8,12 @@ stage it was in.
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tieout.fixed_values import CONTROL_SAMPLE_SEED, CONTROL_SAMPLE_SIZE, NOT_SELECTED, TOLERANCE
 from tieout.operators.audit import audit_assembly, flatten_audit, nest_audit
-from tieout.operators.batches import batch_check
+from tieout.operators.batches import batch_check, batch_totals
 from tieout.operators.cases import case_headers
 from tieout.operators.diagnosis import parse_diagnosis, resolve_attempts
 from tieout.operators.grading import agent_misses, grading_report, truth_lookup
@@ -22,6 +22,7 @@ from tieout.operators.selection import mark_selection
 from tieout.operators.summary import run_summary
 from tieout.sources import sinks
 from tieout.sources.sinks import stored
+from tieout.sources.tables import scan_table
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,7 @@ class Settings:
     tolerance: Decimal | str = TOLERANCE
     strict: bool = False
     repeated_orders: bool = False
+    max_attempts: int | None = None
     controls: int = CONTROL_SAMPLE_SIZE
     seed: int = CONTROL_SAMPLE_SEED
     cap: int | None = None
@@ -48,39 +50,55 @@ class Settings:
     data_source: str | None = None
 
 
-def opinions_on(selected: DataFrame, inputs: Inputs) -> DataFrame:
-    """Resolved replies with the fingerprint of each selected case.
+def opinions_on(
+    selected: DataFrame,
+    inputs: Inputs,
+    totals: DataFrame | None = None,
+    max_attempts: int | None = None,
+) -> DataFrame:
+    """Resolved replies on selected orders with the fingerprint of each case, one row per order.
 
-    Replies are resolved to one row per order, map-side first, before they meet another
-    table, so many replies on one order do not gather in one task.
+    Replies on other orders are left out before they are parsed. An order id that stands on
+    several ledger rows has several cases; its fingerprint is the least of theirs.
     """
-    resolved = resolve_attempts(parse_diagnosis(inputs.responses))
-    headers = case_headers(selected, inputs.ledger, inputs.lines, inputs.bank_feed)
-    return resolved.join(headers.select("order_id", "case_fingerprint"), "order_id", "left")
+    ids = selected.select("order_id").distinct()
+    asked = inputs.responses.join(ids, "order_id", "left_semi")
+    resolved = resolve_attempts(parse_diagnosis(asked), max_attempts)
+    headers = case_headers(ids, inputs.ledger, inputs.lines, inputs.bank_feed, totals=totals)
+    prints = headers.groupBy("order_id").agg(F.min("case_fingerprint").alias("case_fingerprint"))
+    return resolved.join(prints, "order_id", "left")
 
 
-def audit_of(result: DataFrame, inputs: Inputs, settings: Settings) -> DataFrame:
-    """The nested audit records of a stored result."""
+def audit_of(
+    result: DataFrame, inputs: Inputs, settings: Settings, totals: DataFrame | None = None
+) -> DataFrame:
+    """The nested audit records of a stored result, one for each of its rows.
+
+    ``totals`` are the stored batch totals of the lines, if there are any.
+    """
     marked = mark_selection(result, settings.controls, settings.seed, settings.cap)
     opinions = None
     if inputs.responses is not None:
         selected = marked.filter(F.col("selection_reason") != NOT_SELECTED)
-        opinions = opinions_on(selected, inputs)
-    return audit_assembly(marked, opinions, settings.run_id, settings.run_started_at)
+        opinions = opinions_on(selected, inputs, totals, settings.max_attempts)
+    return audit_assembly(
+        marked, opinions, settings.run_id, settings.run_started_at, settings.repeated_orders
+    )
 
 
 def run_reconciliation(
     inputs: Inputs, settings: Settings, out: str, truth: DataFrame | None = None
 ) -> dict[str, str]:
-    """Run everything and return where each output is.
+    """Run everything over files and return where each output is.
 
-    Tables: ``reconciliation_result``, ``batch_check``, ``audit_log`` (partitioned by run, other
+    Tables: ``batch_totals``, ``reconciliation_result``, ``batch_check``, ``audit_log`` (partitioned by run, other
     runs are kept). Files per run: audit documents, audit CSV, run summary and, given an answer
     key, the grading document and its misses, apart from the audit.
     """
     run = settings.run_id
     paths = {
         "reconciliation_result": f"{out}/reconciliation_result/{run}",
+        "batch_totals": f"{out}/batch_totals/{run}",
         "batch_check": f"{out}/batch_check/{run}",
         "audit_log": f"{out}/audit_log",
         "audit_jsonl": f"{out}/audit_jsonl/{run}",
@@ -95,11 +113,13 @@ def run_reconciliation(
         settings.repeated_orders,
     )
     result = stored(verdicts, paths["reconciliation_result"])
+    totals = stored(batch_totals(inputs.lines), paths["batch_totals"])
     checked = stored(
-        batch_check(inputs.bank_feed, inputs.lines, settings.tolerance), paths["batch_check"]
+        batch_check(inputs.bank_feed, inputs.lines, settings.tolerance, totals),
+        paths["batch_check"],
     )
 
-    flat = flatten_audit(audit_of(result, inputs, settings))
+    flat = flatten_audit(audit_of(result, inputs, settings, totals))
     sinks.sink_audit_table(flat, paths["audit_log"], replace_run=True)
     audit = (
         flat.sparkSession.read.schema(flat.schema)
@@ -124,3 +144,43 @@ def run_reconciliation(
         sinks.sink_document(grading_report(looked_up), paths["grading"], mode="overwrite")
         agent_misses(looked_up).write.mode("overwrite").json(paths["misses"])
     return paths
+
+
+def run_on_tables(
+    spark: SparkSession, names: dict[str, str], settings: Settings, schema_name: str
+) -> dict[str, str]:
+    """Run over catalog tables and leave catalog tables; returns the names of what was written.
+
+    ``names`` gives the tables of ``ledger``, ``lines``, ``bank_feed`` and, where there are
+    replies, ``responses``. The audit log is partitioned by run, and a rerun replaces its own
+    partition only; the other tables are those of the last run.
+    """
+    inputs = Inputs(**{part: scan_table(spark, name) for part, name in names.items()})
+    verdicts = reconcile(
+        inputs.ledger,
+        inputs.lines,
+        settings.tolerance,
+        settings.strict,
+        settings.repeated_orders,
+    )
+
+    def written(df: DataFrame, table: str) -> DataFrame:
+        return scan_table(spark, sinks.sink_table(df, schema_name, table))
+
+    result = written(verdicts, "reconciliation_result")
+    totals = written(batch_totals(inputs.lines), "batch_totals")
+    checked = written(
+        batch_check(inputs.bank_feed, inputs.lines, settings.tolerance, totals), "batch_check"
+    )
+    flat = flatten_audit(audit_of(result, inputs, settings, totals))
+    audit_name = sinks.sink_audit_catalog(flat, schema_name, "audit_log")
+    audit = scan_table(spark, audit_name).filter(F.col("run_id") == settings.run_id)
+    summary = run_summary(
+        audit.select(*flat.columns),
+        checked,
+        data_source=settings.data_source,
+        temperature=settings.temperature,
+    )
+    written(summary, "run_summary")
+    tables = ("reconciliation_result", "batch_totals", "batch_check", "run_summary")
+    return {t: f"{schema_name}.{t}" for t in tables} | {"audit_log": audit_name}

@@ -1,4 +1,5 @@
-"""All tables of one data folder, each a lazy DataFrame built from the ones before it."""
+"""All tables of one data folder, each built from the ones before it. All are lazy but for
+``stored_result`` and what rests on it, which write the result when they are first used."""
 
 from functools import cached_property
 
@@ -95,6 +96,10 @@ class Tables:
         """The result as a written table, which the audit reads several times."""
         return stored(self.result, scratch_path(self.spark, "result"))
 
+    @cached_property
+    def totals(self) -> DataFrame:
+        return ba.batch_totals(self.lines)
+
     @cached_property
     def audit(self) -> DataFrame:
         inputs = Inputs(self.ledger, self.lines, self.bank_feed, self.responses)

@@ -1,5 +1,7 @@
 """Session settings for tests and benchmarks, and the shared scratch folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -36,6 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
         fresh = tempfile.mkdtemp(prefix="run-")
+        atexit.register(shutil.rmtree, fresh, ignore_errors=True)  # this session's own
         spark.conf.set("spark.checkpoint.dir", fresh)
         return fresh
     raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")

@@ -108,6 +108,25 @@ def derive_own_lines(ledger: DataFrame) -> DataFrame:
     )
 
 
+def with_gaps(lines: DataFrame) -> DataFrame:
+    """Lines of which some lack a figure."""
+    k = F.col("order_id")
+    return lines.withColumns(
+        {
+            "mdr_fee": F.when(k % 53 != 9, F.col("mdr_fee")),
+            "net_amount": F.when(k % 59 != 4, F.col("net_amount")),
+        }
+    )
+
+
+def with_repeats(ledger: DataFrame) -> DataFrame:
+    """A ledger in which some order ids stand on two or three rows."""
+    k = F.col("order_id")
+    times = F.when(k % 400 == 3, 3).when(k % 40 == 3, 2).otherwise(1)
+    copy = F.explode(F.sequence(F.lit(1), times)).alias("_copy")
+    return ledger.select("*", copy).drop("_copy")
+
+
 def append_duplicates(lines: DataFrame) -> DataFrame:
     """Every line, and once more each line whose order is labelled as paid twice."""
     return lines.unionByName(lines.filter(F.col("_label") == DUPLICATE))
@@ -193,12 +212,14 @@ def derive_responses(ledger: DataFrame) -> DataFrame:
     """Raw advisory replies, up to three attempts per order.
 
     Some attempts are not JSON, lack a field or have a wrongly typed one; some replies come
-    as a list of text blocks.
+    as a list of text blocks. Some orders have one bad reply and no more, some number their
+    attempts from 0, and some leave gaps.
     """
     k = F.col("order_id")
     hopeless = k % 97 == 5
     retried = k % 11 == 5
-    attempts = F.when(hopeless, 3).when(retried, 2).otherwise(1)
+    given_up = k % 79 == 11
+    attempts = F.when(hopeless, 3).when(given_up, 1).when(retried, 2).otherwise(1)
     cause = F.when((k % 13 == 5) | (F.col("_label") == UNEXPLAINED), F.lit("other")).otherwise(
         F.col("_label")
     )
@@ -229,10 +250,11 @@ def derive_responses(ledger: DataFrame) -> DataFrame:
             )
         )
     )
-    is_bad = hopeless | (F.col("attempt") < attempts)
+    is_bad = hopeless | given_up | (F.col("attempt") < attempts)
+    number = F.when(k % 89 == 7, F.col("attempt") - 1).when(k % 83 == 9, F.col("attempt") * 3)
     return ledger.withColumn("attempt", F.explode(F.sequence(F.lit(1), attempts))).select(
         "order_id",
-        F.col("attempt").cast("bigint").alias("attempt"),
+        F.coalesce(number, "attempt").cast("bigint").alias("attempt"),
         F.when(is_bad, bad).when(k % 17 == 3, in_blocks).otherwise(good).alias("content"),
         (k % 50 + 100).alias("latency_ms"),
         F.lit(MODEL).alias("model"),

@@ -22,13 +22,13 @@ def scan_csv_typed(
     path: str,
     schema: T.StructType,
     keep_corrupt: bool = False,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header under a declared schema. Empty fields are null.
 
     A row that does not fit the schema is kept with nulls; ``keep_corrupt`` adds the raw
-    row as a column so it can be reported. ``multi_line`` reads quoted fields with line
-    breaks, at the price of one task per file.
+    row as a column so it can be reported. Quoted fields may hold line breaks, so a file is
+    one task; ``multi_line=False`` splits large files whose fields are known to hold none.
     """
     reader = (
         spark.read.option("header", True)
@@ -42,9 +42,13 @@ def scan_csv_typed(
     return reader.schema(schema).csv(path)
 
 
-def scan_csv_strings(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def scan_csv_strings(
+    spark: SparkSession, path: str, columns: list[str], multi_line: bool = True
+) -> DataFrame:
+    """CSV with a header, every column as text; reads back what the CSV writer wrote."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.option("header", True).schema(schema).csv(path)
+    reader = spark.read.option("header", True).option("escape", '"')
+    return reader.option("multiLine", multi_line).schema(schema).csv(path)
 
 
 def coerce_to(df: DataFrame, schema: T.StructType) -> DataFrame:
