@@ -7,6 +7,7 @@ columns, and what a browser would not show is left out.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -97,9 +98,16 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
 def tree(html: str) -> Element:
     root = Element("html", {})
     stack = [root]
+    is_open = Counter(["html"])
+
+    def cut(at: int) -> None:
+        is_open.subtract(e.tag for e in stack[at:])
+        del stack[at:]
 
     def close(tags: set[str], limits: set[str] | frozenset[str]) -> None:
         """Close the outermost open element among ``tags`` inside the nearest limit."""
+        if not any(is_open[t] for t in tags):
+            return
         found = None
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
@@ -107,16 +115,16 @@ def tree(html: str) -> Element:
             elif stack[i].tag in limits:
                 break
         if found is not None:
-            del stack[found:]
+            cut(found)
 
     for kind, name, rest in tokens(html):
         if kind == "text":
             stack[-1].children.append(unescape(name))
         elif kind == "open":
-            if name in ("html", "body") and any(e.tag == name for e in stack):
+            if name in ("html", "body") and is_open[name]:
                 continue
             if stack[-1].tag == "head" and name not in HIDDEN:
-                stack.pop()
+                cut(len(stack) - 1)
             if name in IMPLIED:
                 close(*IMPLIED[name])
             if name in ENDS_P:
@@ -128,13 +136,14 @@ def tree(html: str) -> Element:
             stack[-1].children.append(element)
             if name not in VOID and not (rest.endswith("/") and name in HIDDEN):
                 stack.append(element)
-        elif name == "p" and not any(e.tag == "p" for e in stack):
+                is_open[name] += 1
+        elif name == "p" and not is_open["p"]:
             stack[-1].children.append(Element("p", {}))
-        elif name not in ("html", "body"):
+        elif name not in ("html", "body") and is_open[name]:
             limits = frozenset({"table"}) if name in IMPLIED or name == "table" else SCOPES
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == name:
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i].tag in limits:
                     break
