@@ -12,7 +12,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,8 @@ class Settings:
     #: Labelled documents a token must occur in, and standard errors from no difference.
     least_docs: int = 3
     least_z: float = 3.0
-    #: Weight of the corpus in the prior, in tokens.
-    prior: float = 500.0
+    #: Weight of the corpus in the prior, as a share of the labelled tokens.
+    prior: float = 0.05
     #: Expected chance segments in a harmless text above which a segment does not count.
     significant: float = 0.05
 
@@ -105,20 +105,19 @@ def chance(model: Model, value: float) -> float:
 
 
 def _labelled_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per token: occurrences in toxic and in other documents, and documents that have it."""
+    """Per token: toxic and other documents that have it. A text that repeats a word a thousand
+    times says no more about it than another."""
     held: dict[str, list[int]] = {}
 
     def out() -> pa.RecordBatch:
         columns = [pa.array(list(held), pa.string())]
-        columns += [pa.array([v[i] for v in held.values()], pa.int64()) for i in range(3)]
-        return pa.RecordBatch.from_arrays(columns, names=["token", "toxic", "other", "docs"])
+        columns += [pa.array([v[i] for v in held.values()], pa.int64()) for i in range(2)]
+        return pa.RecordBatch.from_arrays(columns, names=["token", "toxic", "other"])
 
     for batch in batches:
         for text, toxic in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-            for word, n in Counter(tokens(text)).items():
-                row = held.setdefault(word, [0, 0, 0])
-                row[0 if toxic else 1] += n
-                row[2] += 1
+            for word in set(tokens(text)):
+                held.setdefault(word, [0, 0])[0 if toxic else 1] += 1
             if len(held) > HELD:
                 yield out()
                 held.clear()
@@ -130,9 +129,9 @@ def _corpus_counts(vocabulary) -> Callable:
         counts, known, total = Counter(), vocabulary.value, 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words = tokens(text)
+                words = set(tokens(text))
                 total += len(words)
-                counts.update(filter(known.__contains__, words))
+                counts.update(words & known)
         names, n = [*counts, ""], [*counts.values(), total]
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n)], names=["token", "n"])
 
@@ -170,9 +169,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings) -> Model:
     spark = docs.sparkSession
     rows = stored(training_rows(docs, labels, settings), "training")
     counts = (
-        rows.mapInArrow(_labelled_counts, "token string, toxic long, other long, docs long")
+        rows.mapInArrow(_labelled_counts, "token string, toxic long, other long")
         .groupBy("token")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.sum("docs").alias("docs"))
+        .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     )
     counts = stored(counts, "terms")
     n_toxic, n_other = counts.agg(F.sum("toxic"), F.sum("other")).first()
@@ -181,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings) -> Model:
     # a first cut by a plain comparison, twice as wide as the terms that may stay
     ratio = F.log((F.col("toxic") + 0.5) / n_toxic) - F.log((F.col("other") + 0.5) / n_other)
     wide = (
-        counts.where(F.col("docs") >= settings.least_docs)
+        counts.where(F.col("toxic") + F.col("other") >= settings.least_docs)
         .withColumn("z", F.abs(ratio) / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5)))
         .orderBy(F.desc("z"), "token")
         .limit(2 * settings.terms)
@@ -196,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings) -> Model:
         .collect()  # one row per known term
     )
     everything = corpus.get("", 0) or 1
-    a0 = settings.prior
+    a0 = settings.prior * (n_toxic + n_other)
     prior = a0 * (wide["token"].map(corpus).fillna(0).to_numpy(float) + 1) / (everything + len(wide) + 1)
     y1, y0 = wide["toxic"].to_numpy(float) + prior, wide["other"].to_numpy(float) + prior
     odds = np.log(y1 / (n_toxic + a0 - y1)) - np.log(y0 / (n_other + a0 - y0))
@@ -212,33 +211,54 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings) -> Model:
     s, p = np.append(s, 0.0) - drift, np.append(p, max(0.0, 1 - p.sum()))
     p = (p + 1e-9) / (p + 1e-9).sum()
     lam = solve_lambda(p, s) if (s > 0).any() else 1.0
-    model = Model(scores, drift, lam, 0.1, (0.0, 1.0), settings)
-    return _calibrated(model, rows)
+    return _calibrated(Model(scores, drift, lam, 1.0, (0.0, 1.0), settings), rows)
 
 
-def _features(model) -> Callable:
+def _seen(model, measure: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [evidence(model.value, t)[0] for t in batch.column(0).to_pylist()]
+            found = [measure(model.value, t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.float64()), batch.column(1)], names=["evidence", "toxic"]
+                [pa.array(found, pa.float64()), batch.column(1)], names=["x", "toxic"]
             )
 
     return run
 
 
+def _extreme(model: Model, text: str | None) -> float:
+    """n exp(-lambda S) for the best score S of a text of n tokens."""
+    words = tokens(text)
+    hits = [(i, s) for i, w in enumerate(words) if (s := model.scores.get(w)) is not None]
+    best = max((s for _, _, s in segments(hits, model.drift)), default=0.0)
+    return len(words) * math.exp(-model.lam * best)
+
+
+def _evidence(model: Model, text: str | None) -> float:
+    return evidence(model, text)[0]
+
+
 def _calibrated(model: Model, rows: DataFrame) -> Model:
-    """A logistic curve over ln(1 + evidence), by Newton's method on the training rows."""
-    held = rows.sparkSession.sparkContext.broadcast(model)
-    seen = rows.mapInArrow(_features(held), "evidence double, toxic int").toPandas()
-    x = np.stack([np.ones(len(seen)), np.log1p(seen["evidence"].to_numpy())], 1)
+    """The factor of the extreme-value law, from the best scores of harmless training texts (its
+    maximum likelihood, given lambda), then a logistic curve over ln(1 + evidence), by Newton's
+    method on the training rows."""
+    spark = rows.sparkSession
+
+    def measured(m: Model, measure: Callable):
+        held = spark.sparkContext.broadcast(m)
+        return rows.mapInArrow(_seen(held, measure), "x double, toxic int").toPandas()
+
+    best = measured(model, _extreme)
+    harmless = best["x"][(best["toxic"] == 0) & (best["x"] > 0)]
+    model = replace(model, k=float(1 / harmless.mean()) if len(harmless) else 1.0)
+    seen = measured(model, _evidence)
+    x = np.stack([np.ones(len(seen)), np.log1p(seen["x"].to_numpy())], 1)
     y = (seen["toxic"].to_numpy() > 0).astype(float)
     w = np.zeros(2)
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
         w = w - np.linalg.solve(h, x.T @ (p - y) + 1e-3 * w)
-    return Model(model.scores, model.drift, model.lam, model.k, (float(w[0]), float(w[1])), model.settings)
+    return replace(model, weights=(float(w[0]), float(w[1])))
 
 
 def _scored(model) -> Callable:
