@@ -25,10 +25,12 @@ from tieout.llm.common import stored
 @dataclass(frozen=True)
 class Settings:
     k: int = 20
-    #: Vectors the centres are trained on, lists, and lists probed per query.
+    #: Vectors the centres are trained on, lists, and lists probed per query. Vectors without
+    #: clusters lie evenly around every query, so most lists are probed: 24 of 64 find 0.78 of
+    #: the true neighbours of such a table, 48 find 0.96 to 0.98.
     sample: int = 20_000
     lists: int = 64
-    probes: int = 24
+    probes: int = 48
     #: Candidates and queries that meet in one task.
     candidates: int = 8_192
     queries: int = 2_048
