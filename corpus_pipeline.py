@@ -73,12 +73,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         lambda done: F.concat(done["out"], F.substr("text", done["at"] + 1)),
     )
     clean = F.when(F.col("spans") == "", F.col("text")).otherwise(parts)
-    return found.select(
-        "doc_id", clean.alias("text"), "lang", "source",
-        F.when(F.col("spans") == "", F.col("n_chars"))
-        .otherwise(F.length(clean).cast(docs.schema["n_chars"].dataType))
-        .alias("n_chars"),
-    )
+    kind = docs.schema["n_chars"].dataType
+    length = F.when(F.col("spans") == "", F.col("n_chars")).otherwise(F.length("clean").cast(kind))
+    return found.withColumn("clean", clean).select(
+        "doc_id", F.col("clean").alias("text"), "lang", "source", length.alias("n_chars")
+    )
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -129,7 +129,9 @@ def _searched(space, settings: Settings) -> Callable:
             for node, v, q in zip(right["node"], asked, rotated, strict=True):
                 rows = scan(x, q, settings.k + 1, settings.block, settings.errors)
                 score = (vectors[rows] * v).sum(axis=1)
-                best = np.lexsort((ids[rows], -score))[: settings.k + 1]
+                # ties at the end stay: the smaller ids may be behind any of them
+                last = np.partition(score, -settings.k - 1)[-settings.k - 1] if len(score) > settings.k else -np.inf
+                best = np.flatnonzero(score >= last)
                 out.append(pd.DataFrame({"query": node, "node": ids[rows][best], "score": score[best]}))
         if not out:
             return pd.DataFrame({"query": [], "node": [], "score": []}).astype(
@@ -219,7 +221,6 @@ def nearest_neighbours(
         .cogroup(dealt(asked, "q", "c").groupBy(*place))
         .applyInPandas(_searched(space, settings), "query long, node long, score double")
     )
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "node"))
     # equal scores: any class may hold the smaller ids, so ties at the end are all kept
     found = stored(found, "found")
     tied = F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))
