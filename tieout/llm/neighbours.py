@@ -75,9 +75,10 @@ def scan(
 ) -> np.ndarray:
     """Rows of x that may be among the k nearest to q, by partial distances over column blocks.
 
-    Under a random rotation the first t of d columns show about t/d of a squared distance. A
-    candidate goes once its partial distance is above what the k-th best distance known would
-    show with ``errors`` standard errors to spare.
+    Under a random rotation the share of a squared distance that the first t of d columns show
+    has a beta distribution with mean t / d and variance 2 t (d - t) / (d d (d + 2)). A candidate
+    goes once its partial distance is ``errors`` standard errors above what the k-th best
+    distance known would show.
     """
     d = x.shape[1]
     order = np.arange(len(x))
@@ -94,7 +95,8 @@ def scan(
             best = np.argpartition(part, k - 1)[: 2 * k]
             full = x[order[best]] - q
             limit = np.partition(np.einsum("ij,ij->i", full, full), k - 1)[k - 1]
-        keep = part <= limit * (stop / d) * (1 + errors / math.sqrt(stop)) ** 2
+        error = math.sqrt(2 * stop * (d - stop) / (d + 2)) / d
+        keep = part <= limit * (stop / d + errors * error)
         order, part = order[keep], part[keep]
     return order
 
