@@ -30,7 +30,7 @@ def test_typed_csv_with_bad_and_empty_fields(spark):
 
 
 def test_csv_keeps_quotes_breaks_and_nulls(spark):
-    rows = [("a", 'say "hi", twice'), ("b", "two\nlines"), ("c", None), ("d", "back\\slash")]
+    rows = [("a", 'say "hi", twice'), ("b", "two\nlines"), ("c", None), ("d", "back\\slash"), ("e", "")]
     df = spark.createDataFrame(rows, "k string, v string")
     path = scratch_path(spark, "csv")
     sinks.sink_table_csv(df, path)

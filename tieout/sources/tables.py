@@ -7,6 +7,15 @@ from pyspark.sql import types as T
 from tieout.schemas import RUN_SUMMARY, audit_schema
 
 CORRUPT = "_corrupt_record"
+# what the CSV parser reports for a quoted empty field, so that it is not taken for a null
+QUOTED_EMPTY = "\ue000"
+
+
+def _with_empty_texts(df: DataFrame) -> DataFrame:
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns(
+        {c: F.when(F.col(c) != QUOTED_EMPTY, F.col(c)).when(F.col(c).isNotNull(), "") for c in texts}
+    )
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
@@ -24,7 +33,7 @@ def scan_csv_typed(
     keep_corrupt: bool = False,
     multi_line: bool = True,
 ) -> DataFrame:
-    """CSV with a header under a declared schema. Empty fields are null.
+    """CSV with a header under a declared schema. Empty fields are null, quoted ones empty text.
 
     A row that does not fit the schema is kept with nulls; ``keep_corrupt`` adds the raw
     row as a column so it can be reported. Quoted fields may hold line breaks, so a file is
@@ -34,12 +43,13 @@ def scan_csv_typed(
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
         .option("escape", '"')
+        .option("emptyValue", QUOTED_EMPTY)
         .option("multiLine", multi_line)
     )
     if keep_corrupt:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.schema(schema).csv(path)
+    return _with_empty_texts(reader.schema(schema).csv(path))
 
 
 def scan_csv_strings(
@@ -47,8 +57,8 @@ def scan_csv_strings(
 ) -> DataFrame:
     """CSV with a header, every column as text; reads back what the CSV writer wrote."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.read.option("header", True).option("escape", '"')
-    return reader.option("multiLine", multi_line).schema(schema).csv(path)
+    reader = spark.read.option("header", True).option("escape", '"').option("emptyValue", QUOTED_EMPTY)
+    return _with_empty_texts(reader.option("multiLine", multi_line).schema(schema).csv(path))
 
 
 def coerce_to(df: DataFrame, schema: T.StructType) -> DataFrame:
