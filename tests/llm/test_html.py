@@ -17,6 +17,20 @@ CASES = {
     "x<img alt='pic'>y<input value=v><input type=hidden value=w>": "xpicyv", "a<unknown>b</unknown>": "ab",
     "<p>a<div>b": "a\n\nb", "</div></p>x": "x", "a < b <3": "a < b <3", "<a href='x>y'>l</a>": "l",
     "<p>unclosed <b": "unclosed", "<textarea> a\n<b></textarea>": " a\n<b>",
+    "<table>note<tr><td>a</table>": "note\n\na", "<table><div>text</div><tr><td>a</table>b": "text\n\na\n\nb",
+    "<table><tr>text<td>a<tr><td>b</table>": "text\n\na\nb", "<table><div>text<tr><td>a</table>": "text\n\na",
+    "<table><tr><td>x</td></tr><table><tr><td>a</table>": "x\n\na", "<table><tbody><table><tr><td>a</table>": "a",
+    "<table hidden>shown<tr><td>not</table>": "shown", "<table><tr><td>a<table>in<tr><td>b</table>c</table>": "ain\n\nb\n\nc",
+    "<table><form><tr><td>a<td>b</form></table>": "a  b", "<table><template><tr><td>x</template><tr><td>a</table>": "a",
+    "<table><colgroup>t<col><caption>c<td>a</table>": "t\n\nc\na",
+    "<head><title>t</title>Hello<p>you": "Hello\n\nyou", "<head> <title>t</title> <canvas>x</canvas>y": "y",
+    "<head><object>x</object>": "x", "a<head>b</head>": "ab",
+    "a<svg><title>t</title><defs/><text>x</text><text>y</text><path d='M0'/></svg> b": "a x y b",
+    "<svg><defs><text>x</text></defs></svg>a": "a", "<svg><defs><p>a": "a",
+    "<math><mi>a</mi><mo>+</mo><mi>b</mi></math>": "a+b",
+    "<select><option>a<option selected>b</select>c": "a\nb\nc",
+    "<select><optgroup label=g><option>a<option label=b></select>": "g\na\nb",
+    "<map>a<area></map>": "a", "<xmp><b>&amp;</xmp>": "<b>&amp;", "<object data=u>x</object>": "",
 }
 
 

@@ -18,12 +18,22 @@ from pyspark.sql import functions as F
 # Element names by their role in the rendering.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes iframe noembed".split())
-HIDDEN = frozenset("head script style title template noscript iframe noembed noframes object svg math"
-                   " canvas audio video datalist select map param meta link base".split())
+HIDDEN = frozenset("head script style title template noscript iframe noembed noframes"
+                   " canvas audio video datalist param meta link base".split())
+#: What a head may hold; anything else ends it.
+IN_HEAD = frozenset("title script style template noscript noframes meta link base".split())
+#: Elements of drawings and formulas that are not shown, and those whose content is HTML again.
+UNDRAWN = frozenset("title desc metadata defs symbol clippath mask pattern marker style script annotation"
+                    " annotation-xml".split())
+INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+#: Tags that end an open drawing or formula.
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i"
+                     " img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt"
+                     " u ul var".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr fieldset".split())
 BLOCK = PARAGRAPH | frozenset(
     "html body div section article aside header footer nav main address center details summary form"
-    " figcaption dt dd li tr caption thead tbody tfoot legend option menu".split()
+    " figcaption dt dd li tr caption thead tbody tfoot legend select optgroup option menu xmp".split()
 )
 ENDS_P = PARAGRAPH | frozenset(
     "div section article aside header footer nav main address center details form dl menu".split()
@@ -34,17 +44,23 @@ IMPLIED = {
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}),
-    "td": ({"td", "th"}, {"tr", "table"}),
-    "th": ({"td", "th"}, {"tr", "table"}),
+    "td": ({"td", "th", "caption"}, {"tr", "table"}),
+    "th": ({"td", "th", "caption"}, {"tr", "table"}),
     "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
+    "caption": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
+    "colgroup": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}),
+    "table": ({"table"}, {"td", "th", "caption"}),
     "option": ({"option"}, {"select"}),
     "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head"}, {"html"}),
 }
 #: End tags do not reach beyond these.
 SCOPES = frozenset({"table", "td", "th", "caption"})
+#: Parts of a table; in those of the second kind only parts may stand.
+PARTS = frozenset("caption colgroup col thead tbody tfoot tr td th".split())
+SECTIONS = frozenset("colgroup thead tbody tfoot tr".split())
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
@@ -56,10 +72,10 @@ INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "foreign")
 
-    def __init__(self, tag: str, attributes: dict[str, str]):
-        self.tag, self.attributes = tag, attributes
+    def __init__(self, tag: str, attributes: dict[str, str], foreign: bool = False):
+        self.tag, self.attributes, self.foreign = tag, attributes, foreign
         self.children: list[Element | str] = []
 
     def hidden(self) -> bool:
@@ -67,11 +83,13 @@ class Element:
         return (
             self.tag in HIDDEN or "hidden" in a or bool(INVISIBLE.search(a.get("style", "")))
             or (self.tag == "input" and a.get("type", "").lower() == "hidden")
+            or (self.tag == "object" and bool(a.get("data")))
+            or (self.foreign and self.tag in UNDRAWN)
         )
 
 
 def tokens(html: str) -> Iterator[tuple[str, str, str]]:
-    """("text", text, ""), ("open", tag, attributes) and ("close", tag, "")."""
+    """("text", text, ""), ("raw", text, ""), ("open", tag, attributes) and ("close", tag, "")."""
     at, text_from, lower = 0, 0, None
     while (at := html.find("<", at)) >= 0:
         m = MARKUP.match(html, at)
@@ -90,15 +108,19 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
                 end = len(html) if end < 0 else end
                 if tag == "textarea" and end > at:
                     yield "text", html[at:end], ""
+                elif tag == "xmp" and end > at:
+                    yield "raw", html[at:end], ""
                 at = text_from = end
     if text_from < len(html):
         yield "text", html[text_from:], ""
 
 
 def tree(html: str) -> Element:
+    """What stands in a table outside its cells and captions comes before the table."""
     root = Element("html", {})
     stack = [root]
     is_open = Counter(["html"])
+    started = False
 
     def cut(at: int) -> None:
         is_open.subtract(e.tag for e in stack[at:])
@@ -112,35 +134,68 @@ def tree(html: str) -> Element:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
                 found = i
-            elif stack[i].tag in limits:
+            elif stack[i].tag in limits or stack[i].tag == "template":
                 break
         if found is not None:
             cut(found)
 
+    def add(child: Element | str) -> None:
+        """Into the open element, or before the open table if it may not stand there."""
+        at = len(stack) - 1
+        if (child.tag not in PARTS) if isinstance(child, Element) else child.strip(" \t\r\n\f"):
+            while stack[at].tag in SECTIONS:
+                at -= 1
+            if stack[at].tag == "table":
+                # an open table is the last child of its parent
+                outside = stack[at - 1].children
+                outside.insert(len(outside) - 1, child)
+                return
+        stack[-1].children.append(child)
+
     for kind, name, rest in tokens(html):
-        if kind == "text":
-            stack[-1].children.append(unescape(name))
+        if kind in ("text", "raw"):
+            if name.strip(" \t\r\n\f"):
+                started = True
+                if stack[-1].tag == "head":
+                    cut(len(stack) - 1)
+            add(unescape(name) if kind == "text" else name)
         elif kind == "open":
             if name in ("html", "body") and is_open[name]:
                 continue
-            if stack[-1].tag == "head" and name not in HIDDEN:
+            if name == "head" and started:
+                continue
+            started = started or name != "html"
+            if stack[-1].tag == "head" and name not in IN_HEAD:
                 cut(len(stack) - 1)
+            if name in BREAKOUT:
+                while stack[-1].foreign and stack[-1].tag not in INTEGRATION:
+                    cut(len(stack) - 1)
             if name in IMPLIED:
                 close(*IMPLIED[name])
+            if name in PARTS and is_open["table"]:
+                at = len(stack) - 1
+                while at and stack[at].tag not in SECTIONS and stack[at].tag not in ("table", "template"):
+                    at -= 1
+                if at:
+                    cut(at + 1)
             if name in ENDS_P:
                 close({"p"}, SCOPES | {"li", "button"})
             attributes = {
                 m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(rest)
             } if rest else {}
-            element = Element(name, attributes)
-            stack[-1].children.append(element)
-            if name not in VOID and not (rest.endswith("/") and name in HIDDEN):
+            foreign = name in ("svg", "math") or (
+                stack[-1].foreign and stack[-1].tag not in INTEGRATION
+            )
+            element = Element(name, attributes, foreign)
+            add(element)
+            if name not in VOID and not (rest.endswith("/") and (foreign or name in HIDDEN)):
                 stack.append(element)
                 is_open[name] += 1
         elif name == "p" and not is_open["p"]:
-            stack[-1].children.append(Element("p", {}))
+            add(Element("p", {}))
         elif name not in ("html", "body") and is_open[name]:
-            limits = frozenset({"table"}) if name in IMPLIED or name == "table" else SCOPES
+            limits = frozenset({"table"}) if name in IMPLIED else SCOPES
+            limits = frozenset() if name == "template" else limits
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == name:
                     cut(i)
@@ -304,6 +359,13 @@ def render(root: Element, depth: int = 0) -> list[str]:
             elif tag == "ol":
                 start = e.attributes.get("start", "1").strip()
                 counters.append(int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1)
+            elif tag == "optgroup" or (tag == "option" and not e.children):
+                if label := e.attributes.get("label", "").strip():
+                    out.text(label, False)
+                    out.end_line()
+            elif tag == "text" and e.foreign:
+                out.space = True
+                todo.append(("open", " ", False))
             elif tag == "li":
                 number = counters[-1] if counters else None
                 out.mark = "- " if number is None else f"{number}. "
@@ -312,7 +374,7 @@ def render(root: Element, depth: int = 0) -> list[str]:
                 out.indent.append(out.indent[-1] + " " * len(out.mark))
             elif tag in ("dd", "blockquote"):
                 out.indent.append(out.indent[-1] + "  ")
-            inside = pre or tag in ("pre", "textarea")
+            inside = pre or tag in ("pre", "textarea", "xmp")
             todo += (("open", c, inside) for c in reversed(e.children))
     return out.lines_of()
 
@@ -342,7 +404,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for each row of ``pages``: all visible text, laid out.
 
-    Null and empty pages give an empty text; text outside any tag is kept as it is. Null ids
+    Null and empty pages give an empty text; text outside any tag is kept as it is. Text that a
+    table holds outside its cells is shown before it, as browsers do. Null ids
     and addresses stay null, repeated rows give repeated rows, extra columns are not looked at.
     """
     return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(
