@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tieout.llm.common import stored, table
 from tieout.llm.decontaminate import leaks
 from tieout.llm.language import identify_language
-from tieout.llm.near_dups import near_duplicates
+from tieout.llm.near_dups import grouped
 from tieout.llm.packing import pack_documents
 from tieout.llm.secrets import find_secrets
 
@@ -17,32 +17,50 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.02
 
 
-def _without(docs: DataFrame, doc_ids: DataFrame) -> DataFrame:
-    """Rows whose id is not among ``doc_ids``; rows without an id stay."""
-    return docs.select(COLUMNS).join(doc_ids.select("doc_id").distinct(), "doc_id", "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents' columns and a digest of each text; an id may stand on several texts."""
+    return docs.select(*COLUMNS, F.coalesce(F.sha2("text", 256), F.lit("")).alias("text_key"))
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; texts without letters go, and so do those that
     neither step of the prediction is sure of."""
-    found = identify_language(docs)
-    rejected = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SCORE))
-    return _without(docs, rejected.where("doc_id is not null"))
+    found = identify_language(docs, carry=COLUMNS[1:])
+    rejected = (F.col("lang_pred") == "und") | (F.col("score") < LEAST_SCORE)
+    return found.where(~rejected).select(COLUMNS)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id. Of rows
-    that repeat an id one stays; rows without an id all stay."""
-    copies = near_duplicates(docs).where("not kept")
-    left = _without(docs, copies)
-    numbered = left.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return numbered.union(left.where("doc_id is null"))
+    """One row of each near-duplicate group stays, the one with the smallest id, then digest of
+    its text, then other columns; so does one of rows that repeat an id and a text without
+    words. An id on texts of several groups may stay several times. Rows without an id all
+    stay."""
+    keyed = _keyed(docs)
+    found = grouped(keyed, text_key="text_key").where("doc_id is not null")
+    alone = F.col("component").isNull()
+    kept = (
+        found.groupBy(
+            "component", F.when(alone, F.col("doc_id")).alias("own_id"), F.when(alone, F.col("text_key")).alias("own_key")
+        )
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+        .select("first.doc_id", "first.text_key")
+    )
+    rows = keyed.join(kept, ["doc_id", "text_key"], "left_semi")
+    rest = ["lang", "source", "n_chars"]
+    one = rows.groupBy("doc_id", "text_key").agg(
+        F.first("text").alias("text"), F.min(F.struct(rest)).alias("rest")
+    )
+    return one.select("doc_id", "text", *(f"rest.{c}" for c in rest)).union(
+        docs.where("doc_id is null").select(COLUMNS)
+    )
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("doc_id is not null"))
+    """Rows whose text holds no passage of the benchmark, with or without an id."""
+    keyed = _keyed(docs)
+    found = leaks(keyed, table(spark, sf_dir, "benchmark"), text_key="text_key")
+    # what a text holds depends on the text alone
+    return keyed.join(found.select("text_key").distinct(), "text_key", "left_anti").select(COLUMNS)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,3 +62,25 @@ def test_whole_run(spark, folder):
     n = got.select("doc_id").distinct().count()
     assert 100 < n < 200
     assert got.groupBy("sequence_id").sum("length").where("`sum(length)` > 4096").count() == 0
+
+
+def test_each_row_is_judged_by_its_own_text(spark, sf):
+    docs = docs_df(spark, *((i, f"the dog and cat number {i} are here") for i in range(40)), (7, "12 34"), (7, None), (None, "12"))
+    assert sorted(r.doc_id for r in cp.in_known_language(spark, docs, sf).collect()) == list(range(40))
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    docs = docs_df(spark, (1, item), (1, "clean"), (1, "clean too"), (None, item), (None, None), (None, "clean"))
+    got = cp.without_benchmark(spark, docs, sf)
+    assert sorted((r.doc_id or 0, r.text or "") for r in got.collect()) == [(0, ""), (0, "clean"), (1, "clean"), (1, "clean too")]
+
+
+def test_one_row_of_each_group_stays_where_ids_repeat(spark, sf):
+    texts = [" ".join(f"{c}{i}" for i in range(100)) for c in "abc"]
+    rows = [(1, t) for t in texts] + [(1, texts[0] + " more"), (2, texts[1]), (1, texts[2]), (3, ""), (3, None), (3, None)]
+    want = None
+    for order in (rows, rows[::-1]):
+        got = cp.without_near_copies(spark, docs_df(spark, *order).repartition(5), sf)
+        kept = sorted((r.doc_id, r.text or "") for r in got.collect())
+        assert len(kept) == 5 and [k for k, _ in kept] == [1, 1, 1, 3, 3]
+        assert {t[:1] for _, t in kept} == {"a", "b", "c", ""}
+        assert want in (None, kept)
+        want = kept

@@ -133,8 +133,9 @@ def _scan(block, threshold: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench, hashes = block.value, WordHashes()
         for batch in batches:
-            doc, item, share, n_tiles = [], [], [], []
-            for doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+            doc, item, share, n_tiles, place = [], [], [], [], []
+            rows = zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True)
+            for at, (doc_id, text) in enumerate(rows):
                 words = tokens(text)
                 if not words:
                     continue
@@ -146,31 +147,39 @@ def _scan(block, threshold: float) -> Callable:
                         item.append(item_id)
                         share.append(coverage)
                         n_tiles.append(len(marked))
+                        place.append(at)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(doc, pa.int64()), pa.array(item, pa.int64()),
                     pa.array(share, pa.float64()), pa.array(n_tiles, pa.int64()),
+                    *(c.take(pa.array(place, pa.int64())) for c in batch.columns[2:]),
                 ],
-                names=["doc_id", "item_id", "coverage", "n_tiles"],
+                names=["doc_id", "item_id", "coverage", "n_tiles", *batch.schema.names[2:]],
             )
 
     return run
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.5
+    docs: DataFrame,
+    benchmark: DataFrame,
+    least: int = 5,
+    threshold: float = 0.5,
+    text_key: str | None = None,
 ) -> DataFrame:
     """(doc_id, item_id, coverage, n_tiles) of documents that hold ``threshold`` of an item or
     more. Tokens are runs of letters, digits and underscores in lower case; tiles have at least
     ``least`` tokens, or the whole item if it is shorter. Null and empty texts hold nothing,
     empty items are held by nothing. Rows without doc_id are reported with a null id. Repeated
-    rows and items give repeated results; other columns are not looked at.
+    rows and items give repeated results; other columns are not looked at, the column
+    ``text_key`` of text is carried along.
 
     The benchmark is the stated query set: it is set against all documents in blocks of
     bounded size, and documents are never shuffled.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    own_key = [text_key] if text_key else []
+    texts = docs.select(F.col("doc_id").cast("long"), "text", *own_key)
     items = benchmark.select(F.col("item_id").cast("long"), "text")
     size = F.coalesce(F.octet_length("text"), F.lit(0))
     total = items.agg(F.sum(size)).first()[0] or 0
@@ -183,7 +192,9 @@ def leaks(
         rows = sorted(((r[0], r[1]) for r in own.where("text is not null and item_id is not null").collect()))
         block = spark.sparkContext.broadcast(Benchmark(rows, least))
         found = texts.mapInArrow(
-            _scan(block, threshold), "doc_id long, item_id long, coverage double, n_tiles long"
+            _scan(block, threshold),
+            "doc_id long, item_id long, coverage double, n_tiles long"
+            + "".join(f", {c} string" for c in own_key),
         )
         out = found if out is None else out.union(found)
     return out

@@ -4,7 +4,7 @@ between the languages of that family, over hashed character n-grams of the whole
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, settings: Settings) -> Hierarchy | None:
     return Hierarchy(x, np.array(data.column(0).to_pylist())[order], settings)
 
 
-def _predict(model) -> Callable:
+def _predict(model, carry: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hierarchy = model.value
         for whole in batches:
@@ -179,27 +179,32 @@ def _predict(model) -> Callable:
                     for i, name in zip(rows, names, strict=True):
                         lang[i] = name
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array(lang), pa.array(score)],
-                    names=["doc_id", "held_out", "lang_pred", "score"],
+                    [batch.column(0), batch.column(2), pa.array(lang), pa.array(score)]
+                    + [batch.column(c) for c in carry],
+                    names=["doc_id", "held_out", "lang_pred", "score", *carry],
                 )
 
     return run
 
 
-def identify_language(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+def identify_language(
+    docs: DataFrame, settings: Settings | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, lang_pred and score (0 to 1).
 
     ``und`` with score 0 for null, empty and letterless texts, and for every text if no row
     can be learned from. Rows without doc_id are predicted, not learned from and not held out;
     rows without lang are predicted only. Repeated rows get equal results. Extra columns are
-    not looked at.
+    not looked at; those named in ``carry`` are handed on with their row.
     """
     settings = settings or Settings()
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, settings))
     rows = docs.select(
         F.col("doc_id").cast("long"), "text",
         F.coalesce(fold(F.col("doc_id").cast("long"), 3) == 1, F.lit(False)).alias("held_out"),
+        *(c for c in carry if c != "text"),
     )
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
     return rows.mapInArrow(
-        _predict(model), "doc_id long, held_out boolean, lang_pred string, score double"
+        _predict(model, list(carry)), "doc_id long, held_out boolean, lang_pred string, score double" + kinds
     )

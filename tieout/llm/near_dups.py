@@ -118,8 +118,9 @@ def _signatures(n_words: int, bands: int) -> Callable:
                         pa.ListArray.from_arrays(
                             np.arange(0, keys.size + 1, bands, dtype=np.int32), keys.reshape(-1)
                         ),
+                        *batch.columns[2:],
                     ],
-                    names=["doc_id", "digest", "n_shingles", "keys"],
+                    names=["doc_id", "digest", "n_shingles", "keys", *batch.schema.names[2:]],
                 )
 
     return run
@@ -344,11 +345,29 @@ def near_duplicates(
     joins no group: component_id null, kept. Repeated rows get equal results; if an id stands
     on different texts, each row has the group of its own text. Ties go to the smaller id.
     """
+    return grouped(docs, n_words, num, den).select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def grouped(
+    docs: DataFrame, n_words: int = 5, num: int = 80, den: int = 100, text_key: str | None = None
+) -> DataFrame:
+    """The groups of :func:`near_duplicates`: doc_id, n_shingles, component_id, and component.
+
+    ``component`` is one number for each group, also where one id is the smallest of several
+    groups; null for rows that join none. The column ``text_key`` of text is carried along.
+    """
     bands = bands_for(num, den)
+    own = [text_key] if text_key else []
     rows = stored(
-        docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        docs.select(F.col("doc_id").cast("long"), "text", *own).mapInArrow(
             _signatures(n_words, bands),
-            "doc_id long, digest binary, n_shingles long, keys array<long>",
+            "doc_id long, digest binary, n_shingles long, keys array<long>"
+            + "".join(f", {c} string" for c in own),
         ),
         "signatures",
     )
@@ -369,13 +388,15 @@ def near_duplicates(
     )
     names = stored(names, "names")
     least = names.groupBy("component").agg(F.min("node_id").alias("component_id"))
-    names = stored(names.join(least, "component").select("digest", "component_id"), "groups")
+    names = names.join(least, "component").select("digest", "component_id", "component")
+    names = stored(names, "groups")
     return (
-        rows.select("doc_id", "n_shingles", "digest")
+        rows.select("doc_id", "n_shingles", "digest", *own)
         .withColumn("digest", F.when(F.expr("n_shingles > 0 and doc_id is not null"), F.col("digest")))
         .join(names, "digest", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        .select(
+            "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "component", *own
+        )
     )
 
 
