@@ -1,7 +1,7 @@
 import random
 
 from tests.llm.frames import docs_df
-from tieout.llm.licenses import TEMPLATES, chain, find_licenses, patience, words
+from tieout.llm.licenses import TEMPLATES, Template, best_alignment, chain, find_licenses, patience, words
 
 
 def longest(pairs):
@@ -57,3 +57,21 @@ def test_scan(spark):
     assert (got[1][0].first_word, got[1][0].end_word, got[1][0].coverage) == (2, 7, 1.0)
     assert find_licenses(docs_df(spark)).count() == 0
     assert find_licenses(docs, {"none": ""}).count() == 0
+
+
+def test_an_edited_licence_is_found_wherever_it_stands():
+    own = words(TEMPLATES["mit-permission"])
+    template = Template("mit", " ".join(own))
+    for extra, dropped in ((1.3, 0.15), (1.8, 0.1), (3.0, 0.15)):
+        rng = random.Random(5)
+        edited = [w for w in own if rng.random() > dropped]
+        while len(edited) < extra * len(own):
+            edited.insert(rng.randrange(1, len(edited)), f"x{len(edited)}")
+        got = set()
+        for at in range(0, 2 * len(own) + 5, 7):
+            text = ["zz", "the", "qq", "of", "vv"] * 400
+            text = text[: 5 * at] + edited + text[5 * at :]
+            coverage, first, end = best_alignment(text, template, 0.8)
+            got.add((coverage, first - 5 * at, end - 5 * at))
+        assert len(got) == 1, got
+        assert got.pop()[0] >= 0.8

@@ -114,37 +114,79 @@ class Template:
         self.counts = Counter(self.words)
 
 
-def stretches(own: list[str], template: Template, least: float) -> Iterator[tuple[int, int]]:
-    """Parts of a text (from, to) in which the template can be covered to ``least``.
-
-    Parts are the stretches without a break of template words longer than the template itself.
-    In a stretch longer than twice the template, parts that overlap by a template are looked at,
-    so an alignment of up to the template's length is whole in one of them.
-    """
+def stretches(own: list[str], template: Template) -> Iterator[list[int]]:
+    """Places of template words, cut where a break of other words is longer than the template."""
     size, counts = len(template.words), template.counts
     hits = [i for i, w in enumerate(own) if w in counts]
-    need = least * size
     start = 0
     for end in range(1, len(hits) + 1):
-        if end < len(hits) and hits[end] - hits[end - 1] <= size:
+        if end == len(hits) or hits[end] - hits[end - 1] > size:
+            yield hits[start:end]
+            start = end
+
+
+def cores(own: list[str], hits: list[int], template: Template, least: float) -> list[tuple[int, int]]:
+    """Shortest parts (from, to) that hold enough of the template's words, apart from each other.
+
+    Whatever covers the template to ``least`` holds such a part or meets one, however many words
+    are inserted. Where parts overlap the shorter one is taken, then the first.
+    """
+    need = least * len(template.words) - 1e-9
+    counts = template.counts
+    held: Counter[str] = Counter()
+    have, left, parts = 0, 0, []
+    for i in hits:
+        w = own[i]
+        held[w] += 1
+        have += held[w] <= counts[w]
+        if have < need:
             continue
-        first, last = hits[start], hits[end - 1] + 1
-        for at in range(first, max(first + 1, last - size), size):
-            part = own[at : min(last, at + 2 * size)]
-            found = Counter(w for w in part if w in counts)
-            if sum(min(n, found[w]) for w, n in counts.items()) >= need:
-                yield at, at + len(part)
-        start = end
+        while True:
+            first = own[hits[left]]
+            if held[first] <= counts[first] and have - 1 < need:
+                break
+            have -= held[first] <= counts[first]
+            held[first] -= 1
+            left += 1
+        parts.append((hits[left], i + 1))
+    taken: list[tuple[int, int]] = []
+    for part in sorted(parts, key=lambda p: (p[1] - p[0], p)):
+        at = bisect_left(taken, part)
+        if (at == 0 or taken[at - 1][1] <= part[0]) and (at == len(taken) or part[1] <= taken[at][0]):
+            taken.insert(at, part)
+    return taken
 
 
 def best_alignment(own: list[str], template: Template, least: float) -> tuple[float, int, int] | None:
-    """Largest coverage of the template, with the first and the end word; ties to the first."""
-    best = None
-    for start, end in stretches(own, template, least):
-        aligned = patience(own[start:end], template.words)
-        coverage = len(aligned) / len(template.words)
-        if coverage >= least and (best is None or coverage > best[0]):
-            best = (coverage, start + aligned[0][0], start + aligned[-1][0] + 1)
+    """Largest coverage of the template, with the first and the end word; ties to the first.
+
+    Each core is aligned with a template's length on both sides, and with more as long as that
+    aligns more words. If no core of a stretch is covered, the whole stretch is aligned.
+    """
+    size, best = len(template.words), None
+    for hits in stretches(own, template):
+        if len(hits) < least * size - 1e-9:
+            continue
+        first, last = hits[0], hits[-1] + 1
+        parts = cores(own, hits, template, least)
+        found = []
+        for start, end in parts:
+            aligned: list[tuple[int, int]] = []
+            while True:
+                start, end = max(first, start - size), min(last, end + size)
+                wider = [(start + i, j) for i, j in patience(own[start:end], template.words)]
+                if len(wider) <= len(aligned):
+                    break
+                aligned = wider
+                if len(aligned) == size or (start, end) == (first, last):
+                    break
+            found.append(aligned)
+        if parts and max(map(len, found)) / size < least:
+            found = [[(first + i, j) for i, j in patience(own[first:last], template.words)]]
+        for aligned in found:
+            coverage = len(aligned) / size
+            if coverage >= least and (best is None or coverage > best[0]):
+                best = (coverage, aligned[0][0], aligned[-1][0] + 1)
     return best
 
 
