@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tieout.llm.common import table
 from tieout.llm.decontaminate import decontaminated
+from tieout.llm.filter_audit import filter_audit
 from tieout.llm.html import extract_text
 from tieout.llm.language import identify_language
 from tieout.llm.licenses import find_licenses
@@ -63,6 +64,10 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents, labels).drop("passages")
 
 
+def op13_filter_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_layout": op1_html_layout,
     "op2_warc_bundles": op2_warc_bundles,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pattern_packing": op8_pattern_packing,
     "op9_adaptive_scan": op9_adaptive_scan,
     "op10_toxic_segments": op10_toxic_segments,
+    "op13_filter_transducer": op13_filter_transducer,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -91,4 +97,50 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id < largest THEN largest END AS refers_to
         FROM q""",
+    "op13_filter_transducer": """
+        WITH words AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        d AS (
+            SELECT part,
+                   CASE WHEN len(w) < 50 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask,
+                   coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad
+            FROM words
+            LEFT JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id)
+                USING (doc_id)),
+        m AS (
+            SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+            FROM d GROUP BY part, mask),
+        letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        orders AS (
+            SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+                   [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+              AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+        steps AS (
+            SELECT filter_order, step, bits[step] AS own,
+                   coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+            FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+        parts AS (SELECT DISTINCT part FROM m),
+        counted AS (
+            SELECT p.part, s.filter_order, s.step, s.own,
+                   coalesce(sum(n) FILTER (mask & (own | before) = 0), 0) AS kept,
+                   coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before = 0), 0) AS removed,
+                   coalesce(sum(n) FILTER (mask & own <> 0 AND mask & before <> 0), 0) AS redundant,
+                   coalesce(sum(n) FILTER (mask = own), 0) AS unique_fails,
+                   coalesce(sum(good) FILTER (mask & own <> 0 AND mask & before = 0), 0) AS good_lost,
+                   coalesce(sum(bad) FILTER (mask & own <> 0 AND mask & before = 0), 0) AS toxic_lost
+            FROM parts p CROSS JOIN steps s JOIN m ON m.part = p.part
+            GROUP BY ALL)
+        SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+               redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+               good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+        FROM counted""",
 }
