@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tieout.llm.common import table
 from tieout.llm.decontaminate import decontaminated
 from tieout.llm.filter_audit import filter_audit
+from tieout.llm.hard_negatives import hard_negatives, quantized
 from tieout.llm.html import extract_text
 from tieout.llm.language import identify_language
 from tieout.llm.licenses import find_licenses
@@ -64,6 +65,12 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents, labels).drop("passages")
 
 
+def op12_l2ap_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = quantized(table(spark, sf_dir, "embeddings")).withColumn("label", noisy)
+    return hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 def op13_filter_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pattern_packing": op8_pattern_packing,
     "op9_adaptive_scan": op9_adaptive_scan,
     "op10_toxic_segments": op10_toxic_segments,
+    "op12_l2ap_negatives": op12_l2ap_negatives,
     "op13_filter_transducer": op13_filter_transducer,
 }
 
@@ -97,6 +105,29 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id < largest THEN largest END AS refers_to
         FROM q""",
+    "op12_l2ap_negatives": """
+        WITH e AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                   list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
+            FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE a.vec_id % 100 = 0),
+        p AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score
+            FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+        n AS (
+            SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank
+            FROM p JOIN s USING (anchor_id)
+            WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+        FROM n WHERE rank <= 5""",
     "op13_filter_transducer": """
         WITH words AS (
             SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
