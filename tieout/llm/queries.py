@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tieout.llm.attention_lm import language_scores
 from tieout.llm.common import table
 from tieout.llm.decontaminate import decontaminated
 from tieout.llm.filter_audit import filter_audit
@@ -65,6 +66,10 @@ def op10_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents, labels).drop("passages")
 
 
+def op11_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
 def op12_l2ap_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     noisy = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = quantized(table(spark, sf_dir, "embeddings")).withColumn("label", noisy)
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pattern_packing": op8_pattern_packing,
     "op9_adaptive_scan": op9_adaptive_scan,
     "op10_toxic_segments": op10_toxic_segments,
+    "op11_attention_lm": op11_attention_lm,
     "op12_l2ap_negatives": op12_l2ap_negatives,
     "op13_filter_transducer": op13_filter_transducer,
 }
