@@ -80,3 +80,58 @@ def test_awkward_tables(spark):
 def test_no_python_in_the_plan(spark):
     plan = se.secrets_digest(docs_df(spark, (1, "token=abcdefgh")))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_long_texts_with_many_spans(spark):
+    word = "0123456789abcdef01234567"
+    text = " ".join(f"{word}{i % 10}" for i in range(150_000))  # nearly 4 MB of hex words
+    docs = docs_df(spark, (1, text), (2, "token=abcdefgh1 " * 40_000))
+    got = {r.doc_id: r for r in se.secrets_digest(docs).collect()}
+    assert (got[1].n_hex, got[2].n_assign) == (150_000, 40_000)
+    assert got[1].base_sha256 == hashlib.sha256(",".join(f"hex:{26 * i}:{26 * i + 25}" for i in range(150_000)).encode()).hexdigest()
+
+
+def sampled_docs():
+    """Labelled secrets, words that texts share, and strings of both sorts to be told apart."""
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
+    shared = ["".join(rng.choices(["ra", "ne", "sto", "lin", "ka", "de", "mo"], k=rng.randrange(2, 9))) for _ in range(150)]
+    rows = [(i, " ".join(rng.choices(shared, k=50))) for i in range(80)]
+    rows += [(100 + i, f"{rng.choice(shared)} secret: {''.join(rng.choices(letters, k=rng.randrange(12, 40)))} é") for i in range(150)]
+    for i in range(120):
+        parts = [rng.choice(["é", "日本", ",", "token=abcdef99", "f" * 30, rng.choice(shared), "-" * 20,
+                             "".join(rng.choices(letters, k=rng.randrange(14, 30)))]) for _ in range(rng.randrange(1, 9))]
+        rows.append((300 + i, rng.choice([" ", ", "]).join(parts)))
+    return rows
+
+
+def test_markov_spans_against_plain_python(spark):
+    rows = sampled_docs()
+    docs = docs_df(spark, *rows)
+    model = se.fit(docs, se.Settings())
+    assert model.limit is not None
+    found = 0
+    for r in se.secrets_digest(docs).collect():
+        text, want = dict(rows)[r.doc_id], []
+        taken = [(s, e) for _, s, e in base(text)]
+        for m in re.finditer(se.CANDIDATE, text):
+            codes = [ord(c) - se.FIRST for c in m[0]]
+            mean = sum(model.ratios[a * se.WIDTH + b] for a, b in zip(codes, codes[1:], strict=False)) / (len(codes) - 1)
+            if mean > model.limit and not any(s < m.end() and m.start() < e for s, e in taken):
+                want.append(f"markov:{m.start()}:{m.end()}")
+        assert [x for x in r.spans.split(",") if x.startswith("markov")] == want
+        found += len(want)
+    assert found > 50
+
+
+def test_running_totals(spark):
+    for n in (0, 1, 2, 3, 7, 8, 100):
+        df = spark.createDataFrame([([(7 * i) % 11 - 5 for i in range(n)],)], "v array<int>")
+        values = df.first().v
+        sums, tops = df.select(se.running(se.F.col("v"), 0, lambda x, y: x + y), se.running(se.F.col("v"), -99, lambda x, y: se.F.greatest(x, y))).first()
+        assert sums == [sum(values[: i + 1]) for i in range(n)] and tops == [max(values[: i + 1]) for i in range(n)]
+
+
+def test_without_samples_only_the_patterns_speak(spark):
+    got = se.find_secrets(docs_df(spark, (1, "Zk3Qx9Lm2Pv7Tb5Rw8 words"), (2, "token=abcdef12"))).collect()
+    assert sorted((r.doc_id, r.n_markov, r.spans) for r in got) == [(1, 0, ""), (2, 0, "assign:0:14")]

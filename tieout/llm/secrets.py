@@ -2,13 +2,15 @@
 
 Column expressions only. Two first-order Markov chains over characters, one trained on labelled
 secrets and one on ordinary identifiers, are compared by their log-likelihood ratio; strings
-that look random but match no fixed pattern are found that way.
+that look random but match no fixed pattern are found that way. The limit of the ratio is fitted
+on samples of both kinds that were not trained on.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +27,7 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "markov")
 #: Strings the models are asked about: runs of these characters, so many at least.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+WORD = r"[A-Za-z0-9+/_=-]{4,}"
 #: Characters of the models are those from '+' to 'z'.
 FIRST, LAST = 43, 122
 WIDTH = LAST - FIRST + 1
@@ -32,13 +35,35 @@ WIDTH = LAST - FIRST + 1
 
 @dataclass(frozen=True)
 class Settings:
-    #: Documents with labelled secrets, and ordinary documents, that the models are trained on.
+    #: Texts with labelled secrets, and texts of ordinary words, that the models are fitted on.
     secret_docs: int = 5_000
     ordinary_docs: int = 2_000
-    #: Pseudo-count of each transition.
-    smoothing: float = 0.5
-    #: Log-likelihood ratio per character above which a string counts as random.
-    least_ratio: float = 0.5
+    #: A word is ordinary if so many of those texts hold it.
+    shared: int = 3
+    #: Weight of the single characters against the pairs that begin with one.
+    backoff: float = 5.0
+    #: One sample in so many is kept from training, to fit the limit on.
+    held: int = 4
+    #: Shares of ordinary words above the limit and of secrets below it that it aims at.
+    alarms: float = 0.001
+    misses: float = 0.02
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, neutral: int, op: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of an array of ints: each round joins every value with the one 1, 2, 4, ...
+    places before, so n values take n log n steps."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+
+    def add(done: Column, k: Column) -> Column:
+        shifted = F.concat(F.array_repeat(F.lit(neutral), F.call_function("shiftleft", F.lit(1), k)), done)
+        return F.zip_with(done, F.slice(shifted, F.lit(1), F.size(done)), op)
+
+    return F.aggregate(rounds, values, add)
 
 
 def matches(text: Column, pattern: str, group: int | None = None) -> Column:
@@ -48,21 +73,24 @@ def matches(text: Column, pattern: str, group: int | None = None) -> Column:
     and all matches before it. ``value`` is a group of the match, or the whole of it."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group or 0))
-    between = F.split(text, pattern, -1)
-
-    def add(done: Column, x: Column) -> Column:
-        start = done["at"] + x["gap"]
-        end = start + F.length(x["match"])
-        row = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(done["out"], F.array(row)).alias("out"))
-
-    rows = F.zip_with(
-        F.zip_with(whole, value, lambda m, v: F.struct(m.alias("match"), v.alias("value"))),
-        F.transform(F.slice(between, 1, F.size(whole)), lambda p: F.length(p)),
-        lambda mv, gap: F.struct(mv["match"].alias("match"), mv["value"].alias("value"), gap.alias("gap")),
-    )
-    start = F.struct(F.lit(0).alias("at"), none().alias("out"))
-    return F.aggregate(rows, start, add, lambda done: done["out"])
+
+    def parted(found: Column) -> Column:
+        between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        return F.zip_with(
+            F.zip_with(found, value, lambda m, v: F.struct(F.length(m).alias("length"), v.alias("value"))),
+            F.transform(between, lambda p: F.length(p)),
+            lambda m, gap: F.struct(m["length"].alias("length"), m["value"].alias("value"), gap.alias("gap")),
+        )
+
+    def placed(rows: Column) -> Column:
+        ends = running(F.transform(rows, lambda r: r["gap"] + r["length"]), 0, lambda x, y: x + y)
+        return F.zip_with(
+            rows,
+            ends,
+            lambda r, e: F.struct((e - r["length"]).alias("start"), e.alias("end"), r["value"].alias("value")),
+        )
+
+    return let(whole, lambda found: let(parted(found), placed))
 
 
 def none() -> Column:
@@ -83,8 +111,9 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def _transitions(strings: DataFrame, name: str) -> DataFrame:
-    """Counts of neighbouring characters of ``strings(value)``, summed before the shuffle."""
+def _transitions(strings: DataFrame) -> DataFrame:
+    """(random, a, b, n): counts of neighbouring characters of ``strings(value, random)``,
+    summed before the shuffle."""
     pairs = F.transform(
         F.sequence(F.lit(1), F.length("value") - 1),
         lambda i: F.struct(
@@ -95,55 +124,75 @@ def _transitions(strings: DataFrame, name: str) -> DataFrame:
     within = f"a between {FIRST} and {LAST} and b between {FIRST} and {LAST}"
     return (
         strings.where(F.length("value") >= 2)
-        .select(F.explode(pairs).alias("p"))
-        .select("p.a", "p.b")
+        .select("random", F.explode(pairs).alias("p"))
+        .select("random", "p.a", "p.b")
         .where(within)
-        .groupBy("a", "b")
-        .agg(F.count("*").alias(name))
+        .groupBy("random", "a", "b")
+        .agg(F.count("*").alias("n"))
     )
 
 
-def ratios(secrets: DataFrame, ordinary: DataFrame, smoothing: float) -> list[float]:
-    """Log-likelihood ratio, random against ordinary, of each pair of characters.
+@dataclass(frozen=True)
+class Model:
+    """Log-likelihood ratio, random against ordinary, of each pair of characters, and the mean
+    ratio above which a string counts as random; none if there were too few samples."""
+
+    ratios: list[float]
+    limit: float | None
+
 
-    ``secrets`` and ``ordinary`` hold labelled sample strings in ``value``; what is collected
-    is a table of character pairs, ``WIDTH`` squared at most."""
-    counted = _transitions(secrets, "random").join(_transitions(ordinary, "plain"), ["a", "b"], "full")
-    table = {(r["a"], r["b"]): (r["random"] or 0, r["plain"] or 0) for r in counted.collect()}
+def _chain(pairs: dict[tuple[int, int], int], backoff: float) -> list[list[float]]:
+    """Probability of each character after each, backed off to that of the character alone."""
+    codes = range(FIRST, LAST + 1)
+    alone = [sum(pairs.get((a, b), 0) for a in codes) + 0.5 for b in codes]
+    alone = [x / sum(alone) for x in alone]
     out = []
-    for a in range(FIRST, LAST + 1):
-        rows = [table.get((a, b), (0, 0)) for b in range(FIRST, LAST + 1)]
-        total = [sum(r[i] for r in rows) + smoothing * WIDTH for i in (0, 1)]
-        out += [
-            round(math.log((r + smoothing) / total[0]) - math.log((p + smoothing) / total[1]), 5)
-            for r, p in rows
-        ]
+    for a in codes:
+        row = [pairs.get((a, b), 0) for b in codes]
+        total = sum(row) + backoff
+        out.append([(n + backoff * p) / total for n, p in zip(row, alone, strict=True)])
     return out
 
 
-def fit(docs: DataFrame, settings: Settings) -> list[float]:
-    """Models from the corpus itself. Secrets are labelled by the fixed patterns, ordinary
-    identifiers are the words of documents without any; a bounded sample of documents of each
-    kind, those with the least hashes. Equal strings count once, however many copies there are.
-    """
+def _samples(docs: DataFrame, settings: Settings) -> DataFrame:
+    """Labelled samples ``(value, random, held)``, each string once: what the fixed patterns find
+    in a bounded sample of texts that show a trace of one, and words that several texts of a
+    bounded sample of all share while no pattern finds anything in them. The texts taken are
+    those of the least hashes, so the sample doesn't depend on how the table is partitioned."""
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).where("text <> ''")
     order = F.xxhash64("text")
     long_hex = HEX.removesuffix("+") + "{%d,}" % LEAST["hex"]
     marked = rows.where(F.col("text").rlike(long_hex) | F.col("text").rlike(ASSIGN_WORDS) | F.col("text").rlike(ACCESS))
-    # a bounded number of hashes, then the texts that have them
-    with_secrets = stored(_sampled(marked, order, settings.secret_docs), "labelled")
     spans = base_spans(F.col("text"))
-    secrets = with_secrets.select(
-        F.explode(F.concat(*(spans[k] for k in ("assign", "access", "hex")))).alias("m")
-    ).select("m.value").distinct()
-    plain = stored(_sampled(rows, order, settings.ordinary_docs), "ordinary")
-    clean = plain.where(
-        (F.size(spans["assign"]) == 0) & (F.size(spans["access"]) == 0) & (F.size(spans["hex"]) == 0)
-    )
-    words = clean.select(
-        F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("value")
-    ).distinct()
-    return ratios(secrets, words, settings.smoothing)
+    found = F.concat(*(spans[k] for k in ("assign", "access", "hex")))
+    secrets = _sampled(marked, order, settings.secret_docs).select(F.explode(found).alias("m"))
+    secrets = secrets.select("m.value", F.lit(True).alias("random")).distinct()
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    plain = _sampled(rows, order, settings.ordinary_docs).where(F.size(found) == 0)
+    plain = plain.select(F.explode(words).alias("value")).groupBy("value").count()
+    plain = plain.where(F.col("count") >= settings.shared).select("value", F.lit(False).alias("random"))
+    held = F.pmod(F.xxhash64("value"), F.lit(settings.held)) == 0
+    return stored(secrets.union(plain).withColumn("held", held), "samples")
+
+
+def fit(docs: DataFrame, settings: Settings) -> Model:
+    """Both chains and the limit, from the corpus itself. Collected are counts of character
+    pairs, ``WIDTH`` squared of each kind at most, and four quantiles."""
+    samples = _samples(docs, settings)
+    counts: dict[bool, dict[tuple[int, int], int]] = {True: {}, False: {}}
+    for r in _transitions(samples.where(~F.col("held"))).collect():
+        counts[r["random"]][r["a"], r["b"]] = r["n"]
+    random, plain = (_chain(counts[kind], settings.backoff) for kind in (True, False))
+    table = [
+        round(math.log(x / y), 5) for xs, ys in zip(random, plain, strict=True) for x, y in zip(xs, ys, strict=True)
+    ]
+    held = samples.where(F.col("held") & (F.length("value") >= 2))
+    found = held.withColumn("ratio", mean_ratio(F.col("value"), table))
+    found = found.groupBy("random").agg(F.percentile("ratio", [settings.misses, 1 - settings.alarms]).alias("at"))
+    at = {r["random"]: r["at"][0 if r["random"] else 1] for r in found.collect()}
+    if not all(counts.values()) or len(at) < 2:
+        return Model(table, None)
+    return Model(table, max(at[False], (at[False] + at[True]) / 2))
 
 
 def _sampled(rows: DataFrame, order: Column, n: int) -> DataFrame:
@@ -153,29 +202,53 @@ def _sampled(rows: DataFrame, order: Column, n: int) -> DataFrame:
     return rows.where(order <= F.lit(limit if limit is not None else -(2**63))).distinct()
 
 
-def random_spans(text: Column, model: list[float], settings: Settings, base: list[Column]) -> Column:
-    """Runs of identifier characters whose mean log-likelihood ratio is high and that overlap
-    no base match."""
-    table = F.from_json(F.lit(json.dumps(model)), "array<double>")
+def mean_ratio(value: Column, table: list[float]) -> Column:
+    """Mean log-likelihood ratio of a string's pairs of characters; those outside the models'
+    range count as 0."""
+    ratios = F.from_json(F.lit(json.dumps(table)), "array<double>")
 
-    def code(value: Column, i: Column) -> Column:
+    def code(i: Column) -> Column:
         return F.ascii(value.substr(i, F.lit(1))) - FIRST
 
-    def ratio(m: Column) -> Column:
-        value = m["value"]
-        return F.aggregate(
-            F.sequence(F.lit(1), F.length(value) - 1),
-            F.lit(0.0),
-            lambda s, i: s + F.get(table, code(value, i) * WIDTH + code(value, i + 1)),
-        ) / (F.length(value) - 1)
-
-    def apart(m: Column) -> Column:
-        out = F.lit(True)
-        for spans in base:
-            out &= ~F.exists(spans, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-        return out
-
-    found = F.filter(matches(text, CANDIDATE), lambda m: apart(m) & (ratio(m) > settings.least_ratio))
+    def one(i: Column) -> Column:
+        a, b = code(i), code(i + 1)
+        return F.when(a.between(0, WIDTH - 1) & b.between(0, WIDTH - 1), F.get(ratios, a * WIDTH + b)).otherwise(0.0)
+
+    return F.aggregate(
+        F.sequence(F.lit(1), F.length(value) - 1), F.lit(0.0), lambda done, i: done + one(i)
+    ) / (F.length(value) - 1)
+
+
+def apart(found: Column, base: Column) -> Column:
+    """Those of ``found`` that overlap no span of ``base``. In the order of the places where a
+    found string ends or a base span starts, the furthest end of the spans started so far says
+    whether one reaches into the string."""
+
+    def events(f: Column) -> Column:
+        ends = F.transform(f, lambda m: F.struct(m["end"].alias("key"), F.lit(0).alias("kind"), m["start"].alias("at"), m["value"].alias("value")))
+        starts = F.transform(base, lambda m: F.struct(m["start"].alias("key"), F.lit(1).alias("kind"), m["end"].alias("at"), F.lit("").alias("value")))
+        return F.array_sort(F.concat(ends, starts))
+
+    def free(rows: Column) -> Column:
+        ends = F.transform(rows, lambda e: F.when(e["kind"] == 1, e["at"]).otherwise(F.lit(-1)))
+        furthest = running(ends, -1, lambda x, y: F.greatest(x, y))
+        joined = F.zip_with(rows, furthest, lambda e, top: F.struct(e.alias("e"), top.alias("top")))
+        kept = F.filter(joined, lambda j: (j["e"]["kind"] == 0) & (j["top"] <= j["e"]["at"]))
+        return F.transform(
+            kept,
+            lambda j: F.struct(j["e"]["at"].alias("start"), j["e"]["key"].alias("end"), j["e"]["value"].alias("value")),
+        )
+
+    return let(events(found), free)
+
+
+def random_spans(text: Column, model: Model, base: Column) -> Column:
+    """Runs of identifier characters whose mean log-likelihood ratio is over the model's limit
+    and that overlap no base match."""
+    if model.limit is None:
+        return none()
+    looked_at = apart(matches(text, CANDIDATE), base)
+    found = F.filter(looked_at, lambda m: mean_ratio(m["value"], model.ratios) > model.limit)
     return F.when(text.rlike(CANDIDATE), found).otherwise(none())
 
 
@@ -200,8 +273,10 @@ def find_secrets(docs: DataFrame, settings: Settings | None = None) -> DataFrame
     """Adds n_assign, n_access, n_hex, n_markov, base_spans and spans to each row of ``docs``.
 
     Null and empty texts have no spans. Columns of these names that ``docs`` has already are
-    replaced. Repeated rows get equal results. Without any labelled secret the model of random
-    strings is uniform; an empty table gives no rows.
+    replaced. Repeated rows get equal results. Where the table has no labelled secrets, or no
+    words that texts share, nothing can be fitted and only the fixed patterns' spans are found.
+    An empty table gives no rows. Texts of any length are read whole, in time that grows with
+    their length times its logarithm.
     """
     settings = settings or Settings()
     model = fit(docs, settings)
@@ -211,7 +286,7 @@ def find_secrets(docs: DataFrame, settings: Settings | None = None) -> DataFrame
     names = {k: f"__{k}_spans" for k in KINDS}
     out = docs.withColumns({names[k]: base[k] for k in kinds})
     out = out.withColumn(
-        names["markov"], random_spans(text, model, settings, [F.col(names[k]) for k in kinds])
+        names["markov"], random_spans(text, model, F.concat(*(F.col(names[k]) for k in kinds)))
     )
     found = {k: F.col(names[k]) for k in KINDS}
     return out.withColumns(
