@@ -28,9 +28,8 @@ LETTER = re.compile(r"[^\W\d_]")
 
 @dataclass(frozen=True)
 class Settings:
-    #: Training documents per language, those with the least hashes, and most languages.
+    #: Training documents per language, those with the least hashes.
     per_language: int = 1_000
-    languages: int = 64
     #: Cost of a margin violation, and passes over the sample.
     cost: float = 8.0
     epochs: int = 12
@@ -69,9 +68,9 @@ def svm(x: np.ndarray, y: np.ndarray, settings: Settings) -> np.ndarray:
     """Weights (bias last) of a linear support vector machine, by dual coordinate descent.
 
     Each side weighs as much as the other, however many rows it has."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
     upper = settings.cost * len(y) / (2 * np.where(y > 0, (y > 0).sum(), (y < 0).sum()))
-    square = (x * x).sum(axis=1)
+    square = np.einsum("ij,ij->i", x, x, dtype=np.float64)
     alpha, w = np.zeros(len(y)), np.zeros(x.shape[1])
     rng = np.random.default_rng(7)
     for _ in range(settings.epochs):
@@ -87,13 +86,23 @@ class Pairwise:
     """One-versus-one machines between named classes; most votes win, ties by margin."""
 
     def __init__(self, x: np.ndarray, names: np.ndarray, settings: Settings):
-        self.names = sorted(set(names))
-        self.pairs = list(combinations(range(len(self.names)), 2))
-        weights = []
-        for a, b in self.pairs:
-            rows = np.isin(names, [self.names[a], self.names[b]])
-            weights.append(svm(x[rows], np.where(names[rows] == self.names[a], 1.0, -1.0), settings))
-        self.w = np.array(weights).reshape(len(self.pairs), x.shape[1] + 1)
+        weights = {}
+        for a, b in combinations(sorted(set(names)), 2):
+            rows = np.isin(names, [a, b])
+            weights[a, b] = svm(x[rows], np.where(names[rows] == a, 1.0, -1.0), settings)
+        self._take(sorted(set(names)), weights, x.shape[1])
+
+    def _take(self, names: list[str], weights: dict[tuple[str, str], np.ndarray], width: int) -> None:
+        self.names, self.pairs = names, list(combinations(range(len(names)), 2))
+        rows = [weights[names[a], names[b]] for a, b in self.pairs]
+        self.w = np.array(rows, np.float32).reshape(len(rows), width + 1)
+
+    @classmethod
+    def trained(cls, names: Sequence[str], weights: dict[tuple[str, str], np.ndarray]) -> Pairwise:
+        """From machines that were trained elsewhere."""
+        out = cls.__new__(cls)
+        out._take(sorted(names), weights, FEATURES)
+        return out
 
     def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the winner and its least margin against another class."""
@@ -110,12 +119,23 @@ class Pairwise:
         return win, least[np.arange(len(x)), win]
 
 
+def family_of(lang: str) -> str:
+    return next((family for family, group in FAMILIES.items() if lang in group), lang)
+
+
 class Hierarchy:
-    def __init__(self, x: np.ndarray, langs: np.ndarray, settings: Settings):
-        of = {lang: family for family, group in FAMILIES.items() for lang in group}
-        family = np.array([of.get(lang, lang) for lang in langs])
-        self.families = Pairwise(x, family, settings)
-        self.within = [Pairwise(x[family == f], langs[family == f], settings) for f in self.families.names]
+    """The machines between families, and those between the languages of each family."""
+
+    def __init__(self, langs: Sequence[str], weights: dict[tuple[str, str, str], np.ndarray]):
+        families: dict[str, list[str]] = {}
+        for lang in langs:
+            families.setdefault(family_of(lang), []).append(lang)
+
+        def step(name: str, classes: Sequence[str]) -> Pairwise:
+            return Pairwise.trained(classes, {(a, b): w for (at, a, b), w in weights.items() if at == name})
+
+        self.families = step("", list(families))
+        self.within = [step(f, families[f]) for f in self.families.names]
 
     def __call__(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         """Language of each row, and how sure both steps are together (0 to 1)."""
@@ -131,6 +151,16 @@ class Hierarchy:
         return lang.tolist(), score
 
 
+def machines(langs: Sequence[str]) -> list[tuple[str, str, str]]:
+    """(step, first class, second class) of every machine; the step is a family or, between
+    families, empty."""
+    families: dict[str, list[str]] = {}
+    for lang in sorted(langs):
+        families.setdefault(family_of(lang), []).append(lang)
+    out = [("", a, b) for a, b in combinations(sorted(families), 2)]
+    return out + [(f, a, b) for f, own in sorted(families.items()) for a, b in combinations(own, 2)]
+
+
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lang, held = [], []
@@ -143,25 +173,58 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         )
 
 
-def fit(docs: DataFrame, settings: Settings) -> Hierarchy | None:
-    """Trained on at most ``per_language`` documents of each of the ``languages`` commonest
-    languages, none from the held-out fold. None if there is nothing to learn from."""
+def _sample(docs: DataFrame, settings: Settings) -> DataFrame:
+    """(lang, features) of at most ``per_language`` documents of each language, those with the
+    least hashes, none from the held-out fold. Where a language has many documents, hashes far
+    from the least are left out before rows of one language meet."""
     rows = docs.select(F.col("doc_id").cast("long").alias("at"), "lang").where(
         (fold(F.col("at"), 3) != 1) & F.col("lang").isNotNull()
     )
-    common = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages).collect()]
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("at"), "at"))
-    chosen = rows.where(F.col("lang").isin(common)).withColumn("rank", rank)
-    chosen = chosen.where(F.col("rank") <= settings.per_language).select("at", F.col("lang").alias("name"))
-    chosen = F.broadcast(stored(chosen.distinct(), "sample"))  # languages * per_language rows at most
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))  # a row for each language
+    scale = 1 << 30
+    place = F.pmod(F.xxhash64("at"), F.lit(scale))
+    near = F.col("size") * place <= F.lit(4 * settings.per_language * scale)
+    rows = rows.join(F.broadcast(sizes), "lang").where(near).withColumn("place", place)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "at"))
+    chosen = rows.withColumn("rank", rank).where(F.col("rank") <= settings.per_language)
+    chosen = stored(chosen.select("at", F.col("lang").alias("name")).distinct(), "sample")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    sample = texts.join(chosen, F.expr("doc_id = at and lang = name")).select("name", "text")
-    data = sample.mapInArrow(_sample_features, "lang string, features binary").toArrow()
-    if not data.num_rows:
+    # at most languages * per_language rows of an id and a name
+    found = texts.join(F.broadcast(chosen), F.expr("doc_id = at and lang = name")).select("name", "text")
+    return stored(found.mapInArrow(_sample_features, "lang string, features binary"), "features")
+
+
+def fit(docs: DataFrame, settings: Settings) -> Hierarchy | None:
+    """Trained on the sample, each machine in a task of its own; only the machines' weights come
+    to the driver. None if there is nothing to learn from."""
+    sample = _sample(docs, settings)
+    langs = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
+    if not langs:
         return None
-    order = np.argsort(np.array(data.column(1).to_pylist(), object), kind="stable")
-    x = np.stack([np.frombuffer(f, np.float32) for f in data.column(1).to_pylist()])[order]
-    return Hierarchy(x, np.array(data.column(0).to_pylist())[order], settings)
+    found = machines(langs)
+    sides = [
+        (i, lang, 1.0 if name == a else -1.0)
+        for i, (step, a, b) in enumerate(found)
+        for lang in langs
+        for name in [family_of(lang) if step == "" else lang]
+        if name in (a, b) and step in ("", family_of(lang))
+    ]
+    spark = docs.sparkSession
+    asked = spark.createDataFrame(sides, "machine int, lang string, side double")
+
+    def train(key: tuple, group: pa.Table) -> pa.Table:
+        rows, side = group["features"].to_pylist(), group["side"].to_numpy()
+        order = sorted(range(len(rows)), key=lambda i: (rows[i], side[i]))  # whatever order they came in
+        x = np.empty((len(rows), FEATURES), np.float32)
+        for at, i in enumerate(order):
+            x[at] = np.frombuffer(rows[i], np.float32)
+        w = svm(x, side[order], settings).astype(np.float32)
+        return pa.table({"machine": pa.array([key[0].as_py()], pa.int32()), "weights": pa.array([w.tobytes()], pa.binary())})
+
+    trained = sample.join(F.broadcast(asked), "lang").groupBy("machine")
+    rows = trained.applyInArrow(train, "machine int, weights binary").collect()
+    weights = {found[r["machine"]]: np.frombuffer(r["weights"], np.float32) for r in rows}
+    return Hierarchy(langs, weights)
 
 
 def _predict(model, carry: list[str]) -> Callable:
@@ -179,9 +242,10 @@ def _predict(model, carry: list[str]) -> Callable:
                     for i, name in zip(rows, names, strict=True):
                         lang[i] = name
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array(lang), pa.array(score)]
+                    [batch.column(0), batch.column(2), pa.array(lang, pa.string()), pa.array(score)]
+                    + [pa.array([f is not None for f in found], pa.bool_())]
                     + [batch.column(c) for c in carry],
-                    names=["doc_id", "held_out", "lang_pred", "score", *carry],
+                    names=["doc_id", "held_out", "lang_pred", "score", "lettered", *carry],
                 )
 
     return run
@@ -190,10 +254,12 @@ def _predict(model, carry: list[str]) -> Callable:
 def identify_language(
     docs: DataFrame, settings: Settings | None = None, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, lang_pred and score (0 to 1).
+    """Per row of ``docs``: doc_id, held_out, lang_pred, score (0 to 1) and whether the text is
+    ``lettered``.
 
     ``und`` with score 0 for null, empty and letterless texts, and for every text if no row
-    can be learned from. Rows without doc_id are predicted, not learned from and not held out;
+    can be learned from. Every language of the sample can be predicted; machines grow with the
+    square of a family's languages and of the families. Rows without doc_id are predicted, not learned from and not held out;
     rows without lang are predicted only. Repeated rows get equal results. Extra columns are
     not looked at; those named in ``carry`` are handed on with their row.
     """
@@ -206,5 +272,5 @@ def identify_language(
     )
     kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
     return rows.mapInArrow(
-        _predict(model, list(carry)), "doc_id long, held_out boolean, lang_pred string, score double" + kinds
+        _predict(model, list(carry)), "doc_id long, held_out boolean, lang_pred string, score double, lettered boolean" + kinds
     )
