@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tieout.llm.common import stored, table
@@ -10,12 +10,9 @@ from tieout.llm.decontaminate import leaks
 from tieout.llm.language import identify_language
 from tieout.llm.near_dups import grouped
 from tieout.llm.packing import pack_documents
-from tieout.llm.secrets import find_secrets
+from tieout.llm.secrets import find_secrets, let, running
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A prediction this unsure is a rejection, like a text without letters.
-LEAST_SCORE = 0.02
-
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """The documents' columns and a digest of each text; an id may stand on several texts."""
@@ -23,11 +20,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; texts without letters go, and so do those that
-    neither step of the prediction is sure of."""
-    found = identify_language(docs, carry=COLUMNS[1:])
-    rejected = (F.col("lang_pred") == "und") | (F.col("score") < LEAST_SCORE)
-    return found.where(~rejected).select(COLUMNS)
+    """Documents whose language is recognised; texts without letters go. Where no document has a
+    language to learn from, all texts with letters stay."""
+    return identify_language(docs, carry=COLUMNS[1:]).where("lettered").select(COLUMNS)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,30 +62,41 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents with their secrets blotted out; the rest of each text stays, character by
     character, and ``n_chars`` follows."""
     found = find_secrets(docs.select(COLUMNS))
-    # spans come by start; parts between them are kept, overlaps are blotted once
-    parts = F.aggregate(
-        F.transform(
-            F.filter(F.split("spans", ","), lambda s: s != ""),
-            lambda s: F.struct(
-                F.element_at(F.split(s, ":"), 2).cast("int").alias("start"),
-                F.element_at(F.split(s, ":"), 3).cast("int").alias("end"),
+    def places(spans: Column) -> Column:
+        numbers = F.transform(spans, lambda s: F.split(s, ":"))
+        return F.transform(
+            numbers,
+            lambda n: F.struct(
+                F.element_at(n, 2).cast("int").alias("start"), F.element_at(n, 3).cast("int").alias("end")
             ),
-        ),
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda done, s: F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= done["at"],
-                F.concat(
-                    done["out"],
-                    F.substr("text", done["at"] + 1, s["start"] - done["at"]),
-                    F.lit("[SECRET]"),
-                ),
-            ).otherwise(done["out"]).alias("out"),
-        ),
-        lambda done: F.concat(done["out"], F.substr("text", done["at"] + 1)),
+        )
+
+    def parts(spans: Column) -> Column:
+        # spans come by start; how far those before a span reach says what is left between
+        reach = running(F.transform(spans, lambda s: s["end"]), 0, lambda x, y: F.greatest(x, y))
+        before = F.slice(F.concat(F.array(F.lit(0)), reach), F.lit(1), F.size(spans))
+        gaps = F.zip_with(
+            spans, before, lambda s, at: F.when((at == 0) | (s["start"] >= at), F.struct(at.alias("a"), s["start"].alias("b")))
+        )
+        return F.concat(
+            F.transform(F.filter(gaps, lambda g: g.isNotNull()), lambda g: F.struct(g["a"].alias("a"), g["b"].alias("b"))),
+            F.array(F.struct(F.element_at(reach, -1).alias("a"), F.length("text").alias("b"))),
+        )
+
+    def joined(wide: Column, spans: Column) -> Column:
+        # four bytes a character, so that cutting a part out takes as long as the part is; the
+        # mark in front is what a decoder takes off
+        def text_of(g: Column) -> Column:
+            own = wide.substr(4 * g["a"] + 1, 4 * (g["b"] - g["a"]))
+            return F.decode(F.concat(F.lit(bytearray(b"\x00\x00\xfe\xff")), own), "UTF-32")
+
+        return F.array_join(F.transform(let(spans, parts), text_of), "[SECRET]")
+
+    blotted = let(
+        F.encode("text", "UTF-32"),
+        lambda wide: let(places(F.split("spans", ",")), lambda spans: joined(wide, spans)),
     )
-    clean = F.when(F.col("spans") == "", F.col("text")).otherwise(parts)
+    clean = F.when(F.col("spans") == "", F.col("text")).otherwise(blotted)
     kind = docs.schema["n_chars"].dataType
     length = F.when(F.col("spans") == "", F.col("n_chars")).otherwise(F.length("clean").cast(kind))
     return found.withColumn("clean", clean).select(
