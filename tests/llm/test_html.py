@@ -64,3 +64,71 @@ def test_every_visible_word_of_the_given_pages(spark, folder):
         text = visible_text(r.html)
         for word in unescape(re.sub(r"<[^>]*>", " ", bare)).split():
             assert word in text
+
+
+TABLES = {
+    "<table><tr><td rowspan=2>A<td>B1<td>C1<tr><td>B2<td>C2</table>": "A  B1  C1\n   B2  C2",
+    "<table><tr><td>a<td rowspan=0>b<tr><td>cc<tr><td>d<td>e</table>": "a   b\ncc\nd      e",
+    "<table><tbody><tr><td rowspan=9>a<td>b</tbody><tbody><tr><td>c<td>d</table>": "a  b\nc  d",
+    "<table><tr><td rowspan=2 colspan=2>ab<td>c<tr><td>d<tr><td>e<td>f<td>g</table>": "ab    c\n      d\ne  f  g",
+    "<table><tr><td>a<td>b<td rowspan=3>r<tr><td colspan=2>cd<tr><td>e<td>f<td>g</table>": "a  b  r\ncd\ne  f     g",
+    f"<table><tr><td colspan={'9' * 5000}>a<td>b</table>": "a  b", "<table><tr><td colspan=2px>a<tr><td>b<td>c</table>": "a\nb  c",
+    "<table><tr><td colspan=-1 rowspan=x>a<td colspan=''>b</table>": "a  b", "<table><tr><td colspan=0>a<td>b</table>": "a  b",
+    "<table><tr><td rowspan=2>a<br>a2<td>b<tr><td>c</table>": "a   b\na2\n    c",
+}
+
+
+@pytest.mark.parametrize("html", TABLES)
+def test_tables_with_spans(html):
+    assert visible_text(html) == TABLES[html]
+
+
+def plain_grid(groups):
+    """The table model cell by cell."""
+    out = []
+    for rows in groups:
+        taken = set()
+        for y, cells in enumerate(rows):
+            places, x = [], 0
+            for across, down in cells:
+                while (x, y) in taken:
+                    x += 1
+                places.append(x)
+                taken |= {(x + i, y + j) for i in range(across) for j in range(down)}
+                x += across
+            out.append(places)
+    return out
+
+
+def test_grid_against_cell_by_cell():
+    import random
+
+    from tieout.llm.html import grid
+
+    rng = random.Random(3)
+    for _ in range(400):
+        groups = []
+        for _ in range(rng.randrange(3)):
+            n = rng.randrange(1, 7)
+            rows = [[(rng.choice([1, 1, 2, 3]), min(rng.choice([1, 1, 2, 4]), n - y)) for _ in range(rng.randrange(5))] for y in range(n)]
+            groups.append(rows)
+        assert grid(groups) == plain_grid(groups)
+
+
+def test_hostile_attributes_and_nesting():
+    import random
+
+    rng = random.Random(5)
+    values = ["1", "0", "-3", "9" * 4400, "1e9", "٣", "", " 7 ", "x", "65535", "&#57;", "+2", "2.5", "\x00"]
+    for _ in range(300):
+        cells = "".join(
+            f"<{rng.choice(['td', 'th', 'tr', 'td', 'tbody', 'ol', 'li'])} {rng.choice(['colspan', 'rowspan', 'start', 'value'])}='{rng.choice(values)}'>w{i}"
+            for i in range(12)
+        )
+        text = visible_text(f"<table>{cells}</table>")
+        assert all(f"w{i}" in text for i in range(12))
+    deep = visible_text("<table><tr><td>x" * 3_000 + "<td>y")
+    assert deep.count("x") == 3_000 and deep.count("y") == 1
+    wide = "<table><tr>" + "<td colspan=1000 rowspan=60000>c" * 3_000 + "<tr><td>e" * 500 + "</table>"
+    text = visible_text(wide)
+    assert text.count("c") == 3_000 and text.count("e") == 500 and len(text) < 5_000_000

@@ -68,6 +68,10 @@ MARKUP = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 SPACE = re.compile(r"[ \t\r\n\f]+")
+DIGITS = re.compile(r"[ \t\r\n\f]*\+?([0-9]+)")
+#: Tables inside tables that are laid out as such, as deep as browsers nest elements, and the
+#: widest gap between cells.
+DEEPEST, WIDEST = 512, 1_000
 INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 
 
@@ -261,57 +265,148 @@ class Layout:
         return self.lines
 
 
-def _rows(table: Element) -> tuple[list[Element], list[list[Element]]]:
-    """Captions and rows of cells of a table, not of tables inside it."""
-    captions, rows = [], []
-    todo: list[Element | str] = list(reversed(table.children))
+def _rows(table: Element) -> tuple[list[Element], list[list[list[Element]]]]:
+    """Captions, and groups of rows of cells, of a table, not of tables inside it. A cell that
+    spans rows does so within its group: a head, body or foot, or rows that stand in none."""
+    captions: list[Element] = []
+    groups: list[list[list[Element]]] = [[]]
+    todo: list[Element | str | None] = list(reversed(table.children))
     while todo:
         e = todo.pop()
-        if isinstance(e, str) or e.hidden():
+        if e is None:  # a group ends
+            groups.append([])
+        elif isinstance(e, str) or e.hidden():
             continue
-        if e.tag == "caption":
+        elif e.tag == "caption":
             captions.append(e)
         elif e.tag == "tr":
-            rows.append([c for c in e.children if isinstance(c, Element) and not c.hidden()])
+            groups[-1].append([c for c in e.children if isinstance(c, Element) and not c.hidden()])
         elif e.tag in ("td", "th"):
-            rows.append([e])
+            groups[-1].append([e])
+        elif e.tag in ("thead", "tbody", "tfoot"):
+            groups.append([])
+            todo.append(None)
+            todo += reversed(e.children)
         elif e.tag != "table":
             todo += reversed(e.children)
-    return captions, rows
-
-
-def _aligned(rows: list[list[list[str]]], spans: list[list[int]]) -> list[str]:
-    """Cells side by side, each column as wide as its widest one-column cell."""
-    width: list[int] = []
-    for cells, own in zip(rows, spans, strict=True):
-        at = 0
-        for lines, n in zip(cells, own, strict=True):
-            width += [0] * (at + n - len(width))
-            if n == 1:
-                width[at] = max([width[at], *map(len, lines)])
-            at += n
+    return captions, [g for g in groups if g]
+
+
+def _span(cell: Element, name: str, most: int, none: int) -> int:
+    """The leading digits of an attribute as a span; ``none`` where it is 0."""
+    found = DIGITS.match(cell.attributes.get(name, "1"))
+    if not found:
+        return 1
+    digits = found[1].lstrip("0")
+    return (min(most, int(digits)) if len(digits) <= 6 else most) if digits else none
+
+
+def grid(groups: list[list[list[tuple[int, int]]]]) -> list[list[int]]:
+    """First columns of the cells, row by row, from their (columns, rows) in groups of rows.
+
+    A cell takes the first column that no cell from a row above reaches into. Places that cells
+    reach into are kept as intervals of columns, side by side ones of one end as one."""
+    out = []
+    for rows in groups:
+        taken: list[tuple[int, int, int]] = []  # columns from, to, and the row they are free in
+        for y, cells in enumerate(rows):
+            taken = [t for t in taken if t[2] > y] if cells else taken
+            places, at, i = [], 0, 0
+            fresh: list[tuple[int, int, int]] = []
+            for across, down in cells:
+                while i < len(taken) and taken[i][0] <= at:
+                    at = max(at, taken[i][1])
+                    i += 1
+                places.append(at)
+                if down > 1:
+                    last = fresh[-1] if fresh else (0, -1, 0)
+                    if last[1] == at and last[2] == y + down:
+                        fresh[-1] = (last[0], at + across, y + down)
+                    else:
+                        fresh.append((at, at + across, y + down))
+                at += across
+            out.append(places)
+            if fresh:
+                taken = sorted(taken + fresh)
+    return out
+
+
+def _aligned(rows: list[list[list[str]]], spans: list[list[int]], places: list[list[int]]) -> list[str]:
+    """Cells side by side, each column as wide as its widest one-column cell. Columns in which
+    no cell begins or ends take no room, and a gap has at most ``WIDEST`` blanks."""
+    edges = sorted({x for own, at in zip(spans, places, strict=True) for n, c in zip(own, at, strict=True) for x in (c, c + n)})
+    column = {x: i for i, x in enumerate(edges)}
+    width = [0] * len(edges)
+    for cells, own, at in zip(rows, spans, places, strict=True):
+        for lines, n, c in zip(cells, own, at, strict=True):
+            if column[c + n] == column[c] + 1:
+                width[column[c]] = max([width[column[c]], *map(len, lines)])
+    offset = [0]
+    for w in width:
+        offset.append(offset[-1] + w + 2)
     out = []
-    for cells, own in zip(rows, spans, strict=True):
+    for cells, at in zip(rows, places, strict=True):
         for i in range(max([len(lines) for lines in cells], default=0)):
-            parts, at = [], 0
-            for lines, n in zip(cells, own, strict=True):
-                room = sum(width[at : at + n]) + 2 * (n - 1)
-                parts.append((lines[i] if i < len(lines) else "").ljust(room))
-                at += n
-            out.append("  ".join(parts).rstrip())
+            parts, end = [], 0
+            for lines, c in zip(cells, at, strict=True):
+                text = lines[i] if i < len(lines) else ""
+                if text:
+                    start = max(offset[column[c]], end + 2 if end else 0)
+                    parts.append(" " * min(start - end, WIDEST))
+                    parts.append(text)
+                    end = start + len(text)
+            out.append("".join(parts).rstrip())
     return out
 
 
-def _span(cell: Element) -> int:
-    text = cell.attributes.get("colspan", "1").strip()
-    return min(1000, max(1, int(text))) if text.isascii() and text.isdigit() else 1
+def _tables(root: Element) -> list[Element]:
+    """Visible tables, outer ones before those inside them, not deeper than browsers nest."""
+    out, todo = [], [(root, 0)]
+    while todo:
+        e, depth = todo.pop()
+        if isinstance(e, str) or e.hidden():
+            continue
+        if e.tag == "table":
+            if depth == DEEPEST:
+                continue
+            out.append(e)
+            depth += 1
+        todo += [(c, depth) for c in reversed(e.children)]
+    return out
+
+
+def _table_lines(table: Element, done: dict[int, list[str]]) -> list[str]:
+    captions, groups = _rows(table)
+    lines = [line for c in captions for line in _flow(_as_div(c), done)]
+    rows = [row for group in groups for row in group]
+    spans = [[_span(c, "colspan", 1_000, 1) for c in row] for row in rows]
+    shape, at = [], 0
+    for group in groups:
+        own = []
+        for y, row in enumerate(group):
+            down = [_span(c, "rowspan", 65_534, 65_534) for c in row]
+            own.append([(n, min(d, len(group) - y)) for n, d in zip(spans[at], down, strict=True)])
+            at += 1
+        shape.append(own)
+    cells = [[_flow(_as_div(c), done) for c in row] for row in rows]
+    return lines + _aligned(cells, spans, grid(shape))
+
+
+def render(root: Element) -> list[str]:
+    """Lines of the visible text: inner tables first, then what they stand in, so that nesting
+    costs no stack. Tables deeper than ``DEEPEST`` run on like blocks."""
+    done: dict[int, list[str]] = {}
+    for table in reversed(_tables(root)):
+        done[id(table)] = _table_lines(table, done)
+    return _flow(root, done)
 
 
-def render(root: Element, depth: int = 0) -> list[str]:
-    """Lines of the visible text. Elements wait on a list, so nesting costs no stack; only
-    tables inside tables recurse, and beyond a depth of 20 their cells run on like blocks."""
+def _flow(root: Element, done: dict[int, list[str]]) -> list[str]:
+    """Lines of an element's text; those of its tables are taken from ``done``. Elements wait on
+    a list."""
     out = Layout()
     counters: list[int | None] = []
+    flat = 0
     todo: list[tuple[str, Element | str, bool]] = [("open", root, False)]
     while todo:
         step, e, pre = todo.pop()
@@ -326,6 +421,7 @@ def render(root: Element, depth: int = 0) -> list[str]:
                 out.end_line()
                 out.mark = ""
                 out.indent.pop()
+            flat -= tag == "table"
             out.block(tag in PARAGRAPH and not (tag in ("ul", "ol") and counters))
             continue
         if e.hidden():
@@ -339,18 +435,15 @@ def render(root: Element, depth: int = 0) -> list[str]:
                 out.text(alt, False)
         elif tag == "input":
             out.text(e.attributes.get("value", ""), False)
-        elif tag == "table" and depth < 20:
+        elif tag == "table" and id(e) in done:
             out.block(True)
-            captions, rows = _rows(e)
-            lines = [line for c in captions for line in render(_as_div(c), depth + 1)]
-            cells = [[render(_as_div(c), depth + 1) for c in row] for row in rows]
-            lines += _aligned(cells, [[_span(c) for c in row] for row in rows])
-            for line in lines:
+            for line in done.pop(id(e)):
                 out.put(line)
                 out.end_line(True)
             out.block(True)
         else:
-            is_block = tag in BLOCK or (tag in ("td", "th") and depth >= 20)
+            flat += tag == "table"
+            is_block = tag in BLOCK or (tag in ("td", "th") and flat > 0)
             if is_block:
                 out.block(tag in PARAGRAPH and not (tag in ("ul", "ol") and counters))
                 todo.append(("close", e, pre))
