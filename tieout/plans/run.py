@@ -2,9 +2,10 @@
 
 The result and the audit log are written once and read back, so everything after them reads
 stored columns instead of computing the joins again, and a lost executor costs only the
-stage it was in.
+stage it was in. A run's outputs are published together.
 """
 
+import uuid
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -18,9 +19,11 @@ from tieout.operators.cases import case_headers
 from tieout.operators.diagnosis import parse_diagnosis, resolve_attempts
 from tieout.operators.grading import agent_misses, grading_report, truth_lookup
 from tieout.operators.reconcile import reconcile
-from tieout.operators.selection import mark_selection
+from tieout.operators.selection import chosen_ids, mark_selection
 from tieout.operators.summary import run_summary
+from tieout.session import scratch_path
 from tieout.sources import sinks
+from tieout.sources.runs import CatalogRuns, RunStore
 from tieout.sources.sinks import stored
 from tieout.sources.tables import scan_table
 
@@ -76,7 +79,12 @@ def audit_of(
 
     ``totals`` are the stored batch totals of the lines, if there are any.
     """
-    marked = mark_selection(result, settings.controls, settings.seed, settings.cap)
+    # the choice is made once and written, since four parts of the plan read it
+    place = scratch_path(result.sparkSession, "chosen")
+    drawn, kept = chosen_ids(result, settings.controls, settings.seed, settings.cap)
+    drawn = stored(drawn, f"{place}/controls")
+    kept = stored(kept, f"{place}/flagged") if kept is not None else None
+    marked = mark_selection(result, chosen=(drawn, kept))
     opinions = None
     if inputs.responses is not None:
         selected = marked.filter(F.col("selection_reason") != NOT_SELECTED)
@@ -91,20 +99,20 @@ def run_reconciliation(
 ) -> dict[str, str]:
     """Run everything over files and return where each output is.
 
-    Tables: ``batch_totals``, ``reconciliation_result``, ``batch_check``, ``audit_log`` (partitioned by run, other
-    runs are kept). Files per run: audit documents, audit CSV, run summary and, given an answer
-    key, the grading document and its misses, apart from the audit.
+    Tables: ``batch_totals``, ``reconciliation_result``, ``batch_check``, ``audit_log`` (its
+    folder holds all runs, the others' this run's). Files: audit documents, audit CSV, run
+    summary and, given an answer key, the grading document and its misses, apart from the audit.
+
+    All of it is published at the end at once: ``RunStore(spark, out)`` reads the tables of
+    published runs only, and a rerun replaces the run it repeats.
     """
-    run = settings.run_id
-    paths = {
-        "reconciliation_result": f"{out}/reconciliation_result/{run}",
-        "batch_totals": f"{out}/batch_totals/{run}",
-        "batch_check": f"{out}/batch_check/{run}",
-        "audit_log": f"{out}/audit_log",
-        "audit_jsonl": f"{out}/audit_jsonl/{run}",
-        "audit_csv": f"{out}/audit_csv/{run}",
-        "run_summary": f"{out}/run_summary/{run}",
-    }
+    spark = inputs.ledger.sparkSession
+    attempt = RunStore(spark, out).begin(settings.run_id)
+    names = (
+        "reconciliation_result", "batch_totals", "batch_check", "audit_jsonl", "audit_csv", "run_summary",
+        *(("grading", "misses") if truth is not None else ()),
+    )
+    paths = {name: attempt.path(name) for name in names} | {"audit_log": f"{out.rstrip('/')}/audit_log"}
     verdicts = reconcile(
         inputs.ledger,
         inputs.lines,
@@ -112,23 +120,20 @@ def run_reconciliation(
         settings.strict,
         settings.repeated_orders,
     )
-    result = stored(verdicts, paths["reconciliation_result"])
-    totals = stored(batch_totals(inputs.lines), paths["batch_totals"])
-    checked = stored(
-        batch_check(inputs.bank_feed, inputs.lines, settings.tolerance, totals),
-        paths["batch_check"],
+    result = attempt.write(verdicts, "reconciliation_result")
+    totals = attempt.write(batch_totals(inputs.lines), "batch_totals")
+    checked = attempt.write(
+        batch_check(inputs.bank_feed, inputs.lines, settings.tolerance, totals), "batch_check"
     )
+    audit = attempt.write(flatten_audit(audit_of(result, inputs, settings, totals)), "audit_log")
+
+    def document(df: DataFrame, name: str) -> None:
+        sinks.sink_document(df, paths[name], mode="overwrite")
+        attempt.add(name, "json", df.schema)
 
-    flat = flatten_audit(audit_of(result, inputs, settings, totals))
-    sinks.sink_audit_table(flat, paths["audit_log"], replace_run=True)
-    audit = (
-        flat.sparkSession.read.schema(flat.schema)
-        .parquet(paths["audit_log"])
-        .filter(F.col("run_id") == run)
-        .select(*flat.columns)
-    )
     nested = nest_audit(audit)
     sinks.sink_audit_jsonl(nested, paths["audit_jsonl"])
+    attempt.add("audit_jsonl", "json", nested.schema)
     sinks.sink_audit_csv(nested, paths["audit_csv"])
     summary = run_summary(
         audit,
@@ -136,26 +141,30 @@ def run_reconciliation(
         data_source=settings.data_source,
         temperature=settings.temperature,
     )
-    sinks.sink_document(summary, paths["run_summary"], mode="overwrite")
-
+    document(summary, "run_summary")
     if truth is not None:
-        paths |= {"grading": f"{out}/grading/{run}", "misses": f"{out}/misses/{run}"}
         looked_up = truth_lookup(audit, truth)
-        sinks.sink_document(grading_report(looked_up), paths["grading"], mode="overwrite")
-        agent_misses(looked_up).write.mode("overwrite").json(paths["misses"])
+        document(grading_report(looked_up), "grading")
+        misses = agent_misses(looked_up)
+        misses.write.mode("overwrite").json(paths["misses"])
+        attempt.add("misses", "json", misses.schema)
+    attempt.commit()
     return paths
 
 
 def run_on_tables(
     spark: SparkSession, names: dict[str, str], settings: Settings, schema_name: str
 ) -> dict[str, str]:
-    """Run over catalog tables and leave catalog tables; returns the names of what was written.
+    """Run over catalog tables and leave catalog views; returns the names of these.
 
     ``names`` gives the tables of ``ledger``, ``lines``, ``bank_feed`` and, where there are
-    replies, ``responses``. The audit log is partitioned by run, and a rerun replaces its own
-    partition only; the other tables are those of the last run.
+    replies, ``responses``. The views show published runs only: ``audit_log`` and
+    ``run_summaries`` all of them, a rerun in place of the run it repeats, the others the run
+    published last.
     """
     inputs = Inputs(**{part: scan_table(spark, name) for part, name in names.items()})
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema_name}")
+    runs, run, attempt = CatalogRuns(spark, schema_name), settings.run_id, uuid.uuid4().hex
     verdicts = reconcile(
         inputs.ledger,
         inputs.lines,
@@ -165,22 +174,26 @@ def run_on_tables(
     )
 
     def written(df: DataFrame, table: str) -> DataFrame:
-        return scan_table(spark, sinks.sink_table(df, schema_name, table))
+        return runs.write(df, table, run, attempt)
 
     result = written(verdicts, "reconciliation_result")
     totals = written(batch_totals(inputs.lines), "batch_totals")
     checked = written(
         batch_check(inputs.bank_feed, inputs.lines, settings.tolerance, totals), "batch_check"
     )
-    flat = flatten_audit(audit_of(result, inputs, settings, totals))
-    audit_name = sinks.sink_audit_catalog(flat, schema_name, "audit_log")
-    audit = scan_table(spark, audit_name).filter(F.col("run_id") == settings.run_id)
+    audit = written(flatten_audit(audit_of(result, inputs, settings, totals)), "audit_log")
     summary = run_summary(
-        audit.select(*flat.columns),
+        audit,
         checked,
         data_source=settings.data_source,
         temperature=settings.temperature,
     )
     written(summary, "run_summary")
-    tables = ("reconciliation_result", "batch_totals", "batch_check", "run_summary")
-    return {t: f"{schema_name}.{t}" for t in tables} | {"audit_log": audit_name}
+    # views are made before the commit, so that what becomes visible does so with it
+    last = ("reconciliation_result", "batch_totals", "batch_check")
+    views = {t: runs.show(t, t, last_only=True, with_run=False) for t in last}
+    views["run_summary"] = runs.show("run_summary", "run_summary", last_only=True)
+    views["run_summaries"] = runs.show("run_summaries", "run_summary")
+    views["audit_log"] = runs.show("audit_log", "audit_log")
+    runs.commit(run, attempt)
+    return views

@@ -5,9 +5,6 @@ from pyspark.sql import functions as F
 
 from tieout.fixed_values import AUDIT_CSV_COLUMNS, SLICE_COLUMNS
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
 def sink_table(
     df: DataFrame,
     schema_name: str,
@@ -43,7 +40,9 @@ def sink_audit_table(audit: DataFrame, path: str, replace_run: bool = False) ->
     """Append a run, partitioned by ``run_id``.
 
     ``replace_run`` swaps only the partitions of the runs that are written, so a rerun of
-    one run leaves the others alone.
+    one run leaves the others alone. Runs may have other columns than earlier ones;
+    ``scan_audit_table`` reads them all. Where types change too, or a run has to appear at
+    once, write it with ``RunStore``.
     """
     mode = "overwrite" if replace_run else "append"
     (
@@ -54,28 +53,6 @@ def sink_audit_table(audit: DataFrame, path: str, replace_run: bool = False) ->
     )
 
 
-def sink_audit_catalog(audit: DataFrame, schema_name: str, table: str) -> str:
-    """Write a run into the table ``schema_name.table``, partitioned by ``run_id``.
-
-    The partitions of the runs that are written are replaced, other runs stay; returns the
-    table's name.
-    """
-    spark = audit.sparkSession
-    name = f"{schema_name}.{table}"
-    if not spark.catalog.tableExists(name):
-        empty = audit.limit(0)
-        empty.write.format("parquet").partitionBy("run_id").saveAsTable(name)
-    rows = audit.select(*spark.table(name).columns)
-    # inserts take the overwrite mode from the session, not from the writer
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        rows.write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
-    return name
-
-
 def sink_audit_jsonl(audit: DataFrame, path: str) -> None:
     """One object per order, evidence nested, nulls written out."""
     _iso_times(audit).write.mode("overwrite").option("ignoreNullFields", False).json(path)
@@ -107,6 +84,8 @@ def _quoted_csv(df: DataFrame, path: str) -> None:
         .option("nullValue", "")
         .option("emptyValue", '""')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
