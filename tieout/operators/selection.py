@@ -1,5 +1,7 @@
 """Which orders get a second opinion: all that were flagged, and a sample of the clean."""
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,14 @@ from tieout.fixed_values import (
     NOT_SELECTED,
 )
 
+#: Ranges that rows are counted in to find where the first n of them end.
+RANGES = 4_096
+#: Most rows that are taken as a top n, which one task brings together.
+TOP = 10_000
+#: Standard error of the sketch that counts ids.
+SKETCH_ERROR = 0.02
+
+
 def flagged(result: DataFrame) -> DataFrame:
     return result.filter(F.col("category") != CLEAN)
 
@@ -21,20 +31,62 @@ def clean(result: DataFrame) -> DataFrame:
 
 
 def cap_flagged(flagged_rows: DataFrame, cap: int | None) -> DataFrame:
-    """The first ``cap`` rows by order id; none or zero keeps them all.
+    """The first ``cap`` rows by order id; none or zero keeps them all."""
+    return first_rows(flagged_rows, cap) if cap else flagged_rows
+
+
+def first_rows(rows: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows by order id, whatever kind of id that is, without sorting all rows.
 
-    Rows are counted in buckets that rise with the id: runs of 65,536 numbers, or equal
-    first four characters.
+    A sample of the ids themselves gives the ends of ``RANGES`` ranges that hold about as many
+    rows each. Rows are counted by range; ranges before the one in which the n-th row lies pass
+    whole, and only the rows of that one are put in order. Rows of one id are told apart by the
+    hash of all their columns, and verbatim copies are counted before they are sent, so an id
+    that stands on very many rows doesn't make a range large.
     """
-    if not cap:
-        return flagged_rows
-    order_id = F.col("order_id")
-    if dict(flagged_rows.dtypes)["order_id"] == "string":
-        bucket = F.substring(order_id, 1, 4)
-    else:
-        bucket = F.shiftright(order_id.cast("bigint"), 16)
-    placed = flagged_rows.withColumn("_bucket", bucket)
-    return _first_by_rank(placed, cap, ["order_id"]).select(*flagged_rows.columns)
+    columns = rows.columns
+    key = F.struct("order_id", F.xxhash64(*columns).alias("row"))
+    hashed = F.xxhash64("order_id", F.xxhash64(*columns))
+    size = rows.agg(F.approx_count_distinct(hashed)).scalar()
+    drawn = rows.where(F.pmod(hashed, F.greatest(size, F.lit(1))) < RANGES).select(key.alias("_key")).distinct()
+    ends = drawn.agg(F.sort_array(F.collect_list("_key")).alias("all"))
+    # every 64th end, then the 64 behind it
+    coarse = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("all") - 1) / 64).cast("int")), lambda i: F.get("all", i * 64)
+    )
+    ends = ends.select(
+        F.struct("all", F.when(F.size("all") > 0, coarse).otherwise(F.col("all")).alias("coarse"))
+    ).scalar()
+    placed = rows.withColumn("_key", key).withColumn("_ends", ends)
+    step = F.size(F.filter("_ends.coarse", lambda e: e <= F.col("_key")))
+    near = F.slice("_ends.all", 64 * (F.col("_step") - 1) + 1, F.lit(64))
+    within = F.size(F.filter(near, lambda e: e <= F.col("_key")))
+    bucket = F.when(F.col("_step") > 0, 64 * (F.col("_step") - 1) + within).otherwise(F.lit(0))
+    placed = placed.withColumn("_step", step).withColumn("_bucket", bucket).drop("_ends", "_step")
+    return _first_by_range(placed, n, ["_key"], columns)
+
+
+def _first_by_range(placed: DataFrame, n: int, order: list[str], columns: list[str]) -> DataFrame:
+    """The first ``n`` rows by ``order``; ``_bucket`` rises with it and takes few values."""
+    sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    # a window without partitions, over one row per range
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    reach = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    last = reach.where(F.col("_before") < n).agg(F.max(F.struct("_bucket", "_before"))).scalar()
+    whole = placed.where(F.col("_bucket") < last["_bucket"]).select(*columns)
+    # copies are counted in the tasks that read them
+    copies = (
+        placed.where(F.col("_bucket") == last["_bucket"])
+        .withColumn("_task", F.spark_partition_id())
+        .groupBy("_bucket", *dict.fromkeys([*order, *columns]), "_task")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
+    so_far = Window.partitionBy("_bucket").orderBy(*order, "_task")
+    until = so_far.rowsBetween(Window.unboundedPreceding, 0)
+    room = n - last["_before"] - F.sum("_copies").over(until) + F.col("_copies")
+    cut = copies.withColumn("_kept", F.least("_copies", room)).where("_kept > 0")
+    cut = cut.select(*columns, F.explode(F.array_repeat(F.lit(0), F.col("_kept").cast("int"))))
+    return whole.unionByName(cut.select(*columns))
 
 
 def control_sample(clean_rows: DataFrame, n: int, seed: int = CONTROL_SAMPLE_SEED) -> DataFrame:
@@ -42,31 +94,27 @@ def control_sample(clean_rows: DataFrame, n: int, seed: int = CONTROL_SAMPLE_SEE
 
     Orders are ranked by the hash of their id and the seed, so neither row order nor
     partitioning matters. ``n`` at or above the number of orders returns all of them. An id
-    that stands on several clean rows is drawn once.
+    that stands on several clean rows is drawn once; rows without an id are not drawn.
+
+    The draws fall evenly, so a sketch of the number of ids says how far the n least ones reach,
+    with room to spare. Only rows within that reach leave their task. Should there be fewer ids
+    within it than asked for, all rows are looked at.
     """
-    ids = clean_rows.select("order_id")
+    ids = clean_rows.select("order_id").where("order_id is not null")
     if n <= 0:
         return ids.filter(F.lit(False))
-    draw = F.sha2(F.concat(F.col("order_id").cast("string"), F.lit(f"|{seed}")), 256)
-    # draws fall evenly into 65,536 buckets by their first four digits
-    placed = ids.distinct().withColumn("_draw", draw)
-    placed = placed.withColumn("_bucket", F.substring("_draw", 1, 4))
-    return _first_by_rank(placed, n, ["_draw", "order_id"]).select("order_id")
-
-
-def _first_by_rank(placed: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """The first ``n`` rows without sorting all of them, by the same plan for every ``n``.
-
-    ``_bucket`` rises with the order and takes far fewer values than there are rows. Buckets
-    are counted, those before the cut are kept, and rows are ranked within their bucket.
-    """
-    sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    # a window without partitions, over one row per bucket
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    reach = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    reached = placed.join(reach.filter(F.col("_before") < n), "_bucket")
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    return reached.withColumn("_rank", rank).filter(F.col("_rank") <= n - F.col("_before"))
+    drawn = ids.withColumn("_draw", F.sha2(F.concat(F.col("order_id").cast("string"), F.lit(f"|{seed}")), 256))
+    size = ids.agg(F.approx_count_distinct("order_id", SKETCH_ERROR)).scalar()
+    # 8 standard deviations of the draws and of the sketch
+    reach = (n + 8 * math.sqrt(n) + 64) * (1 + 8 * SKETCH_ERROR)
+    place = F.conv(F.substring("_draw", 1, 13), 16, 10).cast("double") / 16.0**13
+    near = place * size <= reach
+    enough = drawn.where(near).select("order_id").distinct().agg(F.count(F.lit(1)) >= n).scalar()
+    found = drawn.where(near | ~enough).distinct()
+    if n <= TOP:
+        return found.orderBy("_draw", "order_id").limit(n).select("order_id")
+    placed = found.withColumn("_bucket", F.floor(place * F.greatest(size, F.lit(reach)) / reach * RANGES))
+    return _first_by_range(placed, n, ["_draw", "order_id"], ["order_id"])
 
 
 def selection_union(flagged_ids: DataFrame, control_ids: DataFrame) -> DataFrame:
@@ -91,17 +139,18 @@ def mark_selection(
     controls: int = CONTROL_SAMPLE_SIZE,
     seed: int = CONTROL_SAMPLE_SEED,
     cap: int | None = None,
+    chosen: tuple[DataFrame, DataFrame | None] | None = None,
 ) -> DataFrame:
     """The result with ``selection_reason``; the same choice as :func:`select_for_diagnosis`.
 
     One row for each row of the result, also where an order id stands on several. Only the
-    drawn ids are joined; without a cap, being flagged is read off the row.
+    drawn ids are joined; without a cap, being flagged is read off the row. ``chosen`` are the
+    frames of :func:`chosen_ids`, where these have been stored.
     """
-    drawn = control_sample(clean(result), controls, seed).withColumn("_control", F.lit(True))
-    marked = result.join(drawn, "order_id", "left")
+    drawn, kept = chosen or chosen_ids(result, controls, seed, cap)
+    marked = result.join(drawn.withColumn("_control", F.lit(True)), "order_id", "left")
     reached = F.col("category") != CLEAN
-    if cap:
-        kept = cap_flagged(flagged(result), cap).select("order_id").distinct()
+    if kept is not None:
         marked = marked.join(kept.withColumn("_kept", F.lit(True)), "order_id", "left")
         reached = reached & F.col("_kept").isNotNull()
     drawn_clean = (F.col("category") == CLEAN) & F.col("_control").isNotNull()
@@ -113,6 +162,14 @@ def mark_selection(
     return marked.select(*result.columns, reason.alias("selection_reason"))
 
 
+def chosen_ids(
+    result: DataFrame, controls: int, seed: int, cap: int | None
+) -> tuple[DataFrame, DataFrame | None]:
+    """The ids drawn as controls, and the flagged ids under the cap, or None without one."""
+    kept = cap_flagged(flagged(result), cap).select("order_id").distinct() if cap else None
+    return control_sample(clean(result), controls, seed), kept
+
+
 def first_per_group(df: DataFrame, group: str, n: int) -> DataFrame:
     """The first ``n`` rows of each group by order id.
 
