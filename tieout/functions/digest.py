@@ -23,12 +23,19 @@ def _sixty_bits(text: Column, start: int) -> Column:
     return F.conv(piece, 16, 10).cast("decimal(20,0)")
 
 
-def row_set_sums(text: Column, prefix: str = "") -> list[Column]:
-    """Aggregates whose values together identify the bag of texts."""
+def row_set_sums(text: Column, prefix: str = "", copies: Column | None = None) -> list[Column]:
+    """Aggregates whose values together identify the bag of texts; ``copies`` says how often a
+    row's text is in it, once if not given."""
+    if copies is None:
+        number, first, second = F.count(text), _sixty_bits(text, 1), _sixty_bits(text, 16)
+    else:
+        often = F.when(text.isNotNull(), copies)
+        number = F.coalesce(F.sum(often), F.lit(0).cast("bigint"))
+        first, second = (_sixty_bits(text, at) * copies.cast("decimal(18,0)") for at in (1, 16))
     return [
-        F.count(text).alias(f"{prefix}n"),
-        F.sum(_sixty_bits(text, 1)).alias(f"{prefix}s1"),
-        F.sum(_sixty_bits(text, 16)).alias(f"{prefix}s2"),
+        number.alias(f"{prefix}n"),
+        F.sum(first).alias(f"{prefix}s1"),
+        F.sum(second).alias(f"{prefix}s2"),
     ]
 
 

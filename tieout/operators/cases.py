@@ -49,19 +49,32 @@ def batch_context(bank_feed: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def line_evidence(lines: DataFrame) -> DataFrame:
-    """Per order: line count, the batch of its least line, and a digest of all its lines.
+def folded_lines(selected: DataFrame, lines: DataFrame) -> DataFrame:
+    """The selected orders' lines, verbatim copies as one row; ``copies`` says how many it was."""
+    chosen = lines.join(selected.select("order_id"), "order_id", "left_semi")
+    return chosen.groupBy("order_id", *CASE_LINE).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def line_evidence(folded: DataFrame) -> DataFrame:
+    """Per order of :func:`folded_lines`: line count, the batch of its least line, a digest of
+    all its lines, and how many different ones there are.
 
     One aggregation that combines map-side; no order's lines are ever brought together.
     """
     text = canonical(**{c: F.col(c) for c in CASE_LINE})
     least = F.min(F.struct(*CASE_LINE)).alias("_least")
     return (
-        lines.groupBy("order_id")
-        .agg(F.count(F.lit(1)).alias("settlement_row_count"), least, *row_set_sums(text))
+        folded.groupBy("order_id")
+        .agg(
+            F.sum("copies").alias("settlement_row_count"),
+            F.count(F.lit(1)).alias("_different"),
+            least,
+            *row_set_sums(text, copies=F.col("copies")),
+        )
         .select(
             "order_id",
             "settlement_row_count",
+            "_different",
             F.col(f"_least.{BATCH}").alias(BATCH),
             row_set_text().alias("_lines_digest"),
         )
@@ -75,18 +88,21 @@ def case_headers(
     bank_feed: DataFrame,
     rows_per_slice: int = ROWS_PER_SLICE,
     totals: DataFrame | None = None,
+    evidence: DataFrame | None = None,
 ) -> DataFrame:
     """One row per ledger row of a selected order: facts, expected figures, batch context, line
     count, and a fingerprint that changes when any figure or line of the case changes.
 
     Only lines of selected orders are read for evidence; ``totals`` are the stored
-    :func:`batch_totals` of all lines, if there are any.
+    :func:`batch_totals` of all lines, if there are any, and ``evidence`` the orders'
+    :func:`line_evidence`, where that is at hand.
     """
     ids = selected.select("order_id")
     totals = batch_totals(lines) if totals is None else totals
     chosen = ledger.join(ids, "order_id", "left_semi")
     facts = expected_settlement(chosen, keep=("order_date", "refund_date", "expected_mdr_rate"))
-    evidence = line_evidence(lines.join(ids, "order_id", "left_semi"))
+    if evidence is None:
+        evidence = line_evidence(folded_lines(selected, lines))
     headers = facts.join(evidence, "order_id", "left").withColumn(
         "settlement_row_count", F.coalesce("settlement_row_count", F.lit(0).cast("bigint"))
     )
@@ -117,25 +133,25 @@ def case_lines(
     none are not counted, so parts run from 0 to ``n_parts`` - 1 and every line is in exactly
     one. The same holds for orders of any size: one with few lines has part 0 of 1.
     """
-    ids = selected.select("order_id")
-    folded = (
-        lines.join(ids, "order_id", "left_semi")
-        .groupBy("order_id", *CASE_LINE)
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    wanted = folded.groupBy("order_id").agg(
-        F.ceil(F.count(F.lit(1)) / lines_per_part).alias("_parts")
+    folded = folded_lines(selected, lines)
+    return _listed(folded, line_evidence(folded), lines_per_part)
+
+
+def _listed(folded: DataFrame, evidence: DataFrame, lines_per_part: int) -> DataFrame:
+    many = evidence.where(F.col("_different") > lines_per_part).select(
+        "order_id", F.ceil(F.col("_different") / lines_per_part).alias("_parts")
     )
-    part = F.pmod(F.xxhash64(*CASE_LINE), F.col("_parts"))
-    dealt = folded.join(wanted, "order_id").withColumn("_part", part)
+    part = F.pmod(F.xxhash64(*CASE_LINE), F.coalesce("_parts", F.lit(1).cast("bigint")))
+    dealt = folded.join(many, "order_id", "left").withColumn("_part", part)
     line = F.struct(*CASE_LINE, "copies")
     listed = dealt.groupBy("order_id", "_part").agg(
         F.sort_array(F.collect_list(line)).alias("settlement_lines")
     )
-    # parts are numbered without their lines, which stay where they are
+    # parts of the few orders that have several are numbered without their lines
     whole = Window.partitionBy("order_id")
     numbers = (
-        dealt.select("order_id", "_part")
+        dealt.where("_parts is not null")
+        .select("order_id", "_part")
         .distinct()
         .select(
             "order_id",
@@ -144,8 +160,11 @@ def case_lines(
             F.count(F.lit(1)).over(whole).cast("int").alias("n_parts"),
         )
     )
-    return listed.join(numbers, ["order_id", "_part"]).select(
-        "order_id", "part_no", "n_parts", "settlement_lines"
+    return listed.join(numbers, ["order_id", "_part"], "left").select(
+        "order_id",
+        F.coalesce("part_no", F.lit(0)).alias("part_no"),
+        F.coalesce("n_parts", F.lit(1)).alias("n_parts"),
+        "settlement_lines",
     )
 
 
@@ -157,9 +176,14 @@ def assemble_cases(
     lines_per_part: int = LINES_PER_PART,
     totals: DataFrame | None = None,
 ) -> DataFrame:
-    """Each selected order with its evidence and lines; one row unless it has very many lines."""
-    headers = case_headers(selected, ledger, lines, bank_feed, totals=totals)
-    parts = case_lines(selected, lines, lines_per_part)
+    """Each selected order with its evidence and lines; one row unless it has very many lines.
+
+    Lines are folded once, and counts, digest, least line and lists all come from that.
+    """
+    folded = folded_lines(selected, lines)
+    evidence = line_evidence(folded)
+    headers = case_headers(selected, ledger, lines, bank_feed, totals=totals, evidence=evidence)
+    parts = _listed(folded, evidence, lines_per_part)
     return headers.join(parts, "order_id", "left").withColumns(
         {
             "part_no": F.coalesce("part_no", F.lit(0)),
