@@ -25,7 +25,7 @@ from tieout.functions.money import percentage_of
 from tieout.operators.summary import side_by_side
 
 
-def _as_rows(counts: DataFrame, names: list[str]) -> DataFrame:
+def as_rows(counts: DataFrame, names: list[str]) -> DataFrame:
     """A one-row frame of bad-row counts as check rows."""
     rows = F.array(
         *[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("n_bad")) for n in names]
@@ -38,42 +38,47 @@ def _as_rows(counts: DataFrame, names: list[str]) -> DataFrame:
 def _check(df: DataFrame, bad: dict[str, Column]) -> DataFrame:
     """All checks of one table in one pass."""
     counted = df.agg(*[F.count_if(F.coalesce(c, F.lit(True))).alias(n) for n, c in bad.items()])
-    return _as_rows(counted, list(bad))
+    return as_rows(counted, list(bad))
 
 
 def check_counts(ledger: DataFrame, lines: DataFrame, truth: DataFrame) -> DataFrame:
-    """Ids are unique, every order has one answer, and required columns are filled."""
-    sides = ledger.select("order_id", F.lit(1).alias("o"), F.lit(0).alias("t")).unionByName(
-        truth.select("order_id", F.lit(0).alias("o"), F.lit(1).alias("t"))
+    """Ids are unique, every order has one answer, and required columns are filled.
+
+    Each table is read once: the rows of ledger and answer key meet by id with their gaps
+    already counted, so grain and gaps come out of one aggregate.
+    """
+    required = {
+        "ledger": ("order_id", "order_amount", "order_date", "expected_mdr_rate"),
+        "lines": ("transaction_id", "order_id", "mdr_fee", "gst_on_mdr", "net_amount"),
+        "truth": ("order_id", "exception_type"),
+    }
+
+    def gaps(table: str) -> dict[str, Column]:
+        return {f"{table}_{c}_filled": F.col(c).isNull() for c in required[table]}
+
+    sides = {"ledger": ledger, "truth": truth}
+    names = [n for side in sides for n in gaps(side)]
+    rows = None
+    for side, df in sides.items():
+        own = gaps(side)
+        counters = [F.lit(int(side == s)).alias(f"_{s}") for s in sides]
+        counters += [(own[n].cast("int") if n in own else F.lit(0)).alias(n) for n in names]
+        part = df.select("order_id", *counters)
+        rows = part if rows is None else rows.unionByName(part)
+    per_id = rows.groupBy("order_id").agg(
+        *[F.sum(f"_{s}").alias(f"_{s}") for s in sides], *[F.sum(n).alias(n) for n in names]
     )
-    per_id = sides.groupBy("order_id").agg(F.sum("o").alias("o"), F.sum("t").alias("t"))
-    grain = _check(
-        per_id,
-        {
-            "order_id_unique": F.col("o") > 1,
-            "one_truth_per_order": (F.col("o") > 0) & (F.col("t") != 1),
-            "truth_has_order": F.col("o") == 0,
-        },
-    )
-
-    def filled(df: DataFrame, table: str, columns: tuple) -> DataFrame:
-        return _check(df, {f"{table}_{c}_filled": F.col(c).isNull() for c in columns})
-
-    return (
-        grain.unionByName(
-            filled(
-                ledger, "ledger", ("order_id", "order_amount", "order_date", "expected_mdr_rate")
-            )
-        )
-        .unionByName(
-            filled(
-                lines,
-                "lines",
-                ("transaction_id", "order_id", "mdr_fee", "gst_on_mdr", "net_amount"),
-            )
-        )
-        .unionByName(filled(truth, "truth", ("order_id", "exception_type")))
+    o, t = F.col("_ledger"), F.col("_truth")
+    grain = {
+        "order_id_unique": o > 1,
+        "one_truth_per_order": (o > 0) & (t != 1),
+        "truth_has_order": o == 0,
+    }
+    counted = per_id.agg(
+        *[F.count_if(bad).alias(n) for n, bad in grain.items()],
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
     )
+    return as_rows(counted, [*grain, *names]).unionByName(_check(lines, gaps("lines")))
 
 
 def check_requested_labels(truth: DataFrame, asked: DataFrame) -> DataFrame:
@@ -105,15 +110,17 @@ def check_label_shares(truth: DataFrame) -> DataFrame:
     clean = F.count_if(F.col("exception_type") == CLEAN)
     total = F.count(F.lit(1))
     short = clean < total * F.lit(MIN_CLEAN_SHARE)
-    return _as_rows(truth.agg(short.cast("bigint").alias("clean_share")), ["clean_share"])
+    return as_rows(truth.agg(short.cast("bigint").alias("clean_share")), ["clean_share"])
 
 
 def check_labels(ledger: DataFrame, lines: DataFrame, truth: DataFrame) -> DataFrame:
     """Each label against the raw rows: line count, copies, refund, fee."""
+    # copies are told by the hash of their id: numbers, so that rows combine in place
+    transaction = F.xxhash64("transaction_id")
     seen = lines.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min("transaction_id").alias("t0"),
-        F.max("transaction_id").alias("t1"),
+        F.min(transaction).alias("t0"),
+        F.max(transaction).alias("t1"),
         F.min("mdr_fee").alias("fee"),
         F.min("refund_adjustment").alias("adjustment"),
     )
@@ -185,7 +192,7 @@ def check_governance(audit: DataFrame, result: DataFrame) -> DataFrame:
         result.agg(F.count(F.lit(1)).alias("orders")),
     )
     gap = counted.select(F.abs(F.col("records") - F.col("orders")).alias("one_record_per_order"))
-    return rules.unionByName(_as_rows(gap, ["one_record_per_order"]))
+    return rules.unionByName(as_rows(gap, ["one_record_per_order"]))
 
 
 def check_graded_all(result: DataFrame, graded: DataFrame) -> DataFrame:
@@ -199,4 +206,4 @@ def check_graded_all(result: DataFrame, graded: DataFrame) -> DataFrame:
         F.abs(F.col("orders") - F.col("graded")).alias("all_orders_graded"),
         (F.col("graded") - F.col("right")).alias("all_categories_right"),
     )
-    return _as_rows(bad, ["all_orders_graded", "all_categories_right"])
+    return as_rows(bad, ["all_orders_graded", "all_categories_right"])
