@@ -30,6 +30,8 @@ def _case_of(column: str, templates: dict, **figures: str) -> str:
     return f"CASE {column} {' '.join(whens)} ELSE '' END"
 
 
+_HOLIDAYS = "[DATE '1995-12-25', DATE '1996-01-01', DATE '1996-12-25', DATE '1997-01-01', DATE '1998-05-01']"
+
 _CTES = [
     (
         "keyed",
@@ -196,6 +198,14 @@ SELECT order_id,
        net_amount AS actual_net_amount, settlement_row_count, transaction_id, utr_number,
        settlement_batch_id FROM classified""",
     ),
+    (
+        "calendar",
+        f"""
+SELECT day, sum(CASE WHEN isodow(day) < 6 AND NOT list_contains({_HOLIDAYS}, day) THEN 1 ELSE 0 END)
+              OVER (ORDER BY day) AS nth
+FROM (SELECT CAST(unnest(generate_series(least((SELECT min(order_date) FROM ledger), (SELECT min(credit_date) FROM bank_feed)),
+             greatest((SELECT max(order_date) FROM ledger), (SELECT max(credit_date) FROM bank_feed)), INTERVAL 1 DAY)) AS DATE) AS day)""",
+    ),
     (
         "batch_net",
         """
@@ -632,6 +642,50 @@ FROM (SELECT bno, count(*) AS n,
              sum(CAST(('0x' || substr(h, 16, 15))::BIGINT AS HUGEINT)) AS s2
       FROM (SELECT bno, sha256(order_id::VARCHAR) AS h FROM ledger_x) GROUP BY bno)"""
 
+_RUNS = """
+SELECT 'run-0001' AS run_id, order_id, CAST(order_amount AS DECIMAL(24,4)) AS order_amount, settlement_row_count,
+       CAST(NULL AS VARCHAR) AS reasoning, CAST(NULL AS BOOLEAN) AS reviewed FROM result
+UNION ALL SELECT 'run-0002', order_id, order_amount, settlement_row_count, reasoning, NULL FROM result
+UNION ALL SELECT 'run-0003', order_id, order_amount, settlement_row_count, reasoning, order_id % 2 = 0
+FROM result"""
+
+# weekdays that are no holidays, counted day by day
+_LAGS = f"""
+SELECT l.order_id, l.transaction_id, l.settlement_batch_id, o.order_date, b.credit_date,
+       CAST(c2.nth - c1.nth AS INTEGER) AS settlement_days,
+       CASE WHEN b.credit_date IS NULL THEN 'no_credit' WHEN c2.nth - c1.nth < 1 THEN 'early'
+            WHEN c2.nth - c1.nth > 400 THEN 'late' ELSE 'on_time' END AS status
+FROM lines l JOIN ledger o ON l.order_id = o.order_id
+LEFT JOIN (SELECT settlement_batch_id, min(credit_date) AS credit_date FROM bank_feed GROUP BY 1) b
+  ON l.settlement_batch_id = b.settlement_batch_id
+LEFT JOIN calendar c1 ON c1.day = o.order_date LEFT JOIN calendar c2 ON c2.day = b.credit_date"""
+_GROSS = """
+SELECT order_id, transaction_id, gross_amount, order_amount
+FROM (SELECT l.* REPLACE (CAST(CASE WHEN l.order_id % 90 = 4 THEN l.gross_amount + 1
+                                    WHEN l.order_id % 90 <> 5 THEN l.gross_amount END AS DECIMAL(18,2)) AS gross_amount),
+             o.order_amount FROM lines l JOIN ledger o ON l.order_id = o.order_id)
+WHERE gross_amount IS NULL OR gross_amount <> order_amount"""
+_LEVELS = 6
+_TREE = (
+    """
+SELECT * FROM (WITH placed AS (
+    SELECT row_number() OVER (ORDER BY order_date, order_id) - 1 AS place, order_id FROM ledger),
+level_0 AS (
+    SELECT place // 64 AS node, CAST(count(*) AS BIGINT) AS n,
+           sha256(string_agg(place || ' =' || order_id, chr(10) ORDER BY place)) AS digest
+    FROM placed GROUP BY 1)"""
+    + "".join(
+        f""",
+level_{i} AS (
+    SELECT node // 64 AS node, CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(node || ' ' || digest, chr(10) ORDER BY node)) AS digest
+    FROM level_{i - 1} WHERE (SELECT count(*) FROM level_{i - 1}) > 1 GROUP BY 1)"""
+        for i in range(1, _LEVELS)
+    )
+    + "\n"
+    + " UNION ALL ".join(f"SELECT {i} AS level, node, n, digest FROM level_{i}" for i in range(_LEVELS))
+    + ")"
+)
+
 _EVIDENCE_ROWS = " UNION ALL ".join(
     f"SELECT order_id, '{label}' AS label, evidence_expected_{name} AS expected, "
     f"evidence_actual_{name} AS actual, "
@@ -775,6 +829,8 @@ _BODIES = {
     # sinks, read back
     "sink_table": "SELECT * FROM result",
     "sink_audit_table": "SELECT * FROM audit",
+    "published_runs": _RUNS,
+    "published_catalog_runs": _RUNS,
     "sink_audit_jsonl": "SELECT * FROM audit",
     "sink_audit_csv": f"SELECT {_AUDIT_CSV} FROM audit",
     "sink_table_csv": "SELECT * FROM lines",
@@ -976,6 +1032,14 @@ _BODIES = {
         "SELECT order_id, category FROM result WHERE category <> 'clean_match' "
         "ORDER BY order_id LIMIT 50"
     ),
+    "cap_flagged_text_ids": (
+        "SELECT printf('ORD-%012d', order_id) AS order_id, category FROM result "
+        "WHERE category <> 'clean_match' ORDER BY order_id LIMIT 700"
+    ),
+    "cap_flagged_sparse_ids": (
+        "SELECT CAST(CAST(order_id AS HUGEINT) * 1000003 * 1000003 AS DECIMAL(38,0)) AS order_id, category "
+        "FROM result WHERE category <> 'clean_match' ORDER BY order_id LIMIT 700"
+    ),
     "control_sample": "SELECT order_id FROM controls",
     "control_sample_large": (
         "SELECT order_id FROM result WHERE category = 'clean_match' "
@@ -1083,6 +1147,38 @@ _BODIES = {
         "UNION ALL SELECT 'all_categories_right', count(*) = 0, count(*) FROM "
         f"{_GRADED} WHERE category <> true_category"
     ),
+    # checks beyond the verdict
+    "check_gross_amounts": _GROSS,
+    "check_line_references": (
+        "SELECT order_id, transaction_id, settlement_batch_id, "
+        "CASE WHEN order_id % 80 = 6 THEN 'UTR-ELSE' ELSE utr_number END AS utr_number FROM lines "
+        "WHERE order_id % 80 = 6 AND settlement_batch_id IN (SELECT settlement_batch_id FROM bank_feed)"
+    ),
+    "check_refund_dates": (
+        "SELECT *, CASE WHEN refund_date < order_date THEN 'before_order' WHEN refund_date IS NULL THEN 'no_date' "
+        "ELSE 'no_amount' END AS problem FROM (SELECT order_id, order_date, "
+        "CASE WHEN order_id % 60 <> 9 THEN refund_amount END AS refund_amount, "
+        "CASE WHEN order_id % 60 = 7 THEN order_date - 3 WHEN order_id % 60 <> 8 THEN refund_date END AS refund_date "
+        "FROM ledger) WHERE coalesce(refund_date < order_date, false) OR (refund_date IS NULL) <> (refund_amount IS NULL)"
+    ),
+    "check_settlement_lags": _LAGS,
+    "check_strict": (
+        "SELECT 'gross_is_order_amount' AS check_name, true AS passed, CAST(0 AS BIGINT) AS n_bad "
+        "UNION ALL SELECT 'reference_was_credited', true, 0 "
+        "UNION ALL SELECT 'refund_dates_fit', true, 0 UNION ALL SELECT 'settled_in_time', count(*) = 0, count(*) "
+        f"FROM ({_LAGS}) WHERE status <> 'on_time'"
+    ),
+    "id_sequence_tree": _TREE,
+    "id_sequence_differences": (
+        "SELECT place // 64 * 64 AS first_place, place // 64 * 64 + 63 AS last_place, count(*) AS n_one, "
+        "count(*) - count(*) FILTER (place = 900) AS n_two FROM (SELECT order_id AS place FROM ledger) "
+        "GROUP BY 1, 2 HAVING count(*) FILTER (place IN (130, 700, 900)) > 0"
+    ),
+    "run_digest_as_pinned": (
+        "SELECT 'id_digest_as_pinned' AS check_name, true AS passed, CAST(0 AS BIGINT) AS n_bad "
+        "FROM (SELECT count(*) AS n FROM ledger) UNION ALL SELECT 'changed_ids_are_noticed', count(*) = 0, count(*) "
+        "FROM ledger WHERE order_id = 7"
+    ),
     # second opinions
     "parse_diagnosis": "SELECT * FROM parsed",
     "resolve_attempts": "SELECT * FROM resolved",

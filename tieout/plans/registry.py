@@ -5,6 +5,7 @@ they are built and return what reads back; the others start no job before they a
 """
 
 from collections.abc import Callable
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,12 +39,15 @@ from tieout.operators import quality as qu
 from tieout.operators import reconcile as re
 from tieout.operators import review as rv
 from tieout.operators import selection as se
+from tieout.operators import sequence as sq
+from tieout.operators import strict as st
 from tieout.operators import summary as su
 from tieout.plans.run import Inputs, Settings, audit_of
 from tieout.plans.tables import RUN_ID, RUN_STARTED_AT, Tables
 from tieout.session import scratch_path
 from tieout.sources import derived as de
 from tieout.sources import sinks, tables
+from tieout.sources.runs import CatalogRuns, RunStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,6 +158,56 @@ def sink_audit_table(t: Tables) -> DataFrame:
     return back.select(*t.flat_audit.columns)
 
 
+def _runs_with_changes(t: Tables) -> list[tuple[str, DataFrame]]:
+    """The result as three runs would leave it: without a column, whole, and with one column
+    more and a wider one."""
+    result = t.stored_result
+    return [
+        ("run-0001", result.drop("reasoning").withColumn("settlement_row_count", F.col("settlement_row_count").cast("int"))),
+        ("run-0002", result),
+        ("run-0003", result.withColumns({
+            "order_amount": F.col("order_amount").cast("decimal(24,4)"),
+            "reviewed": F.col("order_id") % 2 == 0,
+        })),
+    ]
+
+
+_RUN_COLUMNS = ("run_id", "order_id", "order_amount", "settlement_row_count", "reasoning", "reviewed")
+
+
+@query
+def published_runs(t: Tables) -> DataFrame:
+    """Runs whose schema changes, one that was repeated, and one that never came to an end."""
+    store = RunStore(t.spark, scratch_path(t.spark, "runs"))
+    for run, df in _runs_with_changes(t):
+        if run == "run-0002":  # an earlier attempt, which the later one replaces
+            earlier = store.begin(run)
+            earlier.write(df.where("order_id % 3 = 0"), "result")
+            earlier.commit()
+        attempt = store.begin(run)
+        attempt.write(df, "result")
+        attempt.commit()
+    store.begin("run-0004").write(t.stored_result, "result")
+    return store.read("result").select(*_RUN_COLUMNS)
+
+
+@query
+def published_catalog_runs(t: Tables) -> DataFrame:
+    """The same runs in the catalog, as the view over them shows them."""
+    place = scratch_path(t.spark, "schema")
+    schema = "tieout_" + place.rsplit("-", 1)[1]
+    t.spark.sql(f"CREATE SCHEMA {schema} LOCATION '{place}'")
+    runs = CatalogRuns(t.spark, schema)
+    for run, df in _runs_with_changes(t):
+        if run == "run-0002":
+            runs.write(df.where("order_id % 3 = 0"), "result", run, "first")
+            runs.commit(run, "first")
+        runs.write(df, "result", run, "second")
+        runs.commit(run, "second")
+    runs.write(t.stored_result, "result", "run-0004", "first")
+    return t.spark.table(runs.show("result_of_all", "result")).select(*_RUN_COLUMNS)
+
+
 @query
 def sink_audit_jsonl(t: Tables) -> DataFrame:
     documents = t.spark.read.schema(schemas.audit_schema(T.LongType())).json(_audit_documents(t))
@@ -603,6 +657,21 @@ def cap_flagged(t: Tables) -> DataFrame:
     return se.cap_flagged(se.flagged(t.result), 50).select("order_id", "category")
 
 
+@query
+def cap_flagged_text_ids(t: Tables) -> DataFrame:
+    """Ids of one common prefix, as text."""
+    rows = se.flagged(t.stored_result).withColumn("order_id", F.format_string("ORD-%012d", "order_id"))
+    return se.cap_flagged(rows, 700).select("order_id", "category")
+
+
+@query
+def cap_flagged_sparse_ids(t: Tables) -> DataFrame:
+    """Ids far apart, as decimals."""
+    wide = (F.col("order_id").cast("decimal(20,0)") * 1000003 * 1000003).cast("decimal(38,0)")
+    rows = se.flagged(t.stored_result).withColumn("order_id", wide)
+    return se.cap_flagged(rows, 700).select("order_id", "category")
+
+
 @query
 def control_sample(t: Tables) -> DataFrame:
     return se.control_sample(se.clean(t.result), 5)
@@ -847,6 +916,85 @@ def check_graded_all(t: Tables) -> DataFrame:
     return qu.check_graded_all(t.result, t.graded)
 
 
+# --- checks beyond the verdict -------------------------------------------------
+def _off_gross(t: Tables) -> DataFrame:
+    """Lines of which some state another gross amount, or none."""
+    k = F.col("order_id")
+    gross = F.when(k % 90 == 4, F.col("gross_amount") + 1).when(k % 90 != 5, F.col("gross_amount"))
+    return t.lines.withColumn("gross_amount", gross.cast("decimal(18,2)"))
+
+
+def _off_reference(t: Tables) -> DataFrame:
+    """Lines of which some carry the reference of another batch."""
+    other = F.when(F.col("order_id") % 80 == 6, F.lit("UTR-ELSE")).otherwise(F.col("utr_number"))
+    return t.lines.withColumn("utr_number", other)
+
+
+def _off_refunds(t: Tables) -> DataFrame:
+    """Orders of which some were refunded too early, without a date, or without an amount."""
+    k = F.col("order_id")
+    day = F.when(k % 60 == 7, F.date_sub("order_date", 3)).when(k % 60 != 8, F.col("refund_date"))
+    amount = F.when(k % 60 != 9, F.col("refund_amount"))
+    return t.ledger.withColumns({"refund_date": day, "refund_amount": amount})
+
+
+HOLIDAYS = [date(1995, 12, 25), date(1996, 1, 1), date(1996, 12, 25), date(1997, 1, 1), date(1998, 5, 1)]
+
+
+@query
+def check_gross_amounts(t: Tables) -> DataFrame:
+    return st.gross_breaks(t.ledger, _off_gross(t))
+
+
+@query
+def check_line_references(t: Tables) -> DataFrame:
+    return st.reference_breaks(_off_reference(t), t.bank_feed)
+
+
+@query
+def check_refund_dates(t: Tables) -> DataFrame:
+    return st.refund_date_breaks(_off_refunds(t))
+
+
+@query
+def check_settlement_lags(t: Tables) -> DataFrame:
+    return st.settlement_lags(t.ledger, t.lines, t.bank_feed, 1, 400, HOLIDAYS)
+
+
+@query
+def check_strict(t: Tables) -> DataFrame:
+    return st.check_strict(t.ledger, t.lines, t.bank_feed, 1, 400, HOLIDAYS)
+
+
+@query
+def id_sequence_tree(t: Tables) -> DataFrame:
+    """The hash tree over order ids in the order of their dates."""
+    rows = sq.numbered(t.ledger.select("order_id", "order_date"), "order_date", "order_id")
+    return sq.sequence_tree(rows, fanout=64)
+
+
+@query
+def id_sequence_differences(t: Tables) -> DataFrame:
+    """Where the sequence differs from one in which two ids changed places and one is gone."""
+    place = F.col("order_id").alias("place")
+    swapped = F.when(F.col("order_id") == 130, 700).when(F.col("order_id") == 700, 130).otherwise(F.col("order_id"))
+    one = t.ledger.select(place, "order_id")
+    two = t.ledger.where("order_id <> 900").select(place, swapped.alias("order_id"))
+    return sq.differing_ranges(sq.sequence_tree(one, fanout=64), sq.sequence_tree(two, fanout=64), 64)
+
+
+@query
+def run_digest_as_pinned(t: Tables) -> DataFrame:
+    """The run's id digest against one that was pinned when the ledger was loaded."""
+    keyed = t.keyed_ledger.withColumn(ba.BATCH, F.format_string("BATCH-%06d", "_batch_no"))
+    pinned = ca.run_id_digest(keyed, ba.BATCH).first()["run_digest"]
+    again = ca.run_id_digest(keyed.repartition(3), ba.BATCH)
+    changed = ca.run_id_digest(keyed.where("order_id <> 7"), ba.BATCH)
+    return qu.check_run_digest(again, pinned).unionByName(
+        qu.check_run_digest(changed, pinned).withColumn("check_name", F.lit("changed_ids_are_noticed"))
+    )
+
+
 # --- second opinions ----------------------------------------------------------
 @query
 def parse_diagnosis(t: Tables) -> DataFrame:
