@@ -77,3 +77,11 @@ def test_blocks_do_not_change_the_result(spark, monkeypatch):
 def test_tiles_prefer_the_longest():
     assert tiles([(5, 0, 0), (9, 3, 10)], 5) == [(9, 3, 10)]
     assert tokens("A_b-c É1") == ["a_b", "c", "é1"]
+
+
+def test_short_items_need_enough_marked_words(spark):
+    bench = spark.createDataFrame([(1, "yes"), (2, "one two three four five six"), (3, "a b c d")], "item_id long, text string")
+    docs = docs_df(spark, (1, "yes it is"), (2, "one two three four five"), (3, "a b c d"), (4, "no"))
+    got = {r.doc_id: r["items"] for r in decontaminated(docs, bench, marked=5).collect()}
+    assert got == {1: [], 2: [2], 3: [], 4: []}
+    assert {r.doc_id for r in decontaminated(docs, bench).where("contaminated").collect()} == {1, 2, 3}

@@ -1,7 +1,7 @@
 import random
 
 from tests.llm.frames import docs_df
-from tieout.llm.licenses import TEMPLATES, Template, best_alignment, chain, find_licenses, patience, words
+from tieout.llm.licenses import TEMPLATES, Template, best_alignment, chain, find_licenses, patience, stretches, words
 
 
 def longest(pairs):
@@ -75,3 +75,30 @@ def test_an_edited_licence_is_found_wherever_it_stands():
             got.add((coverage, first - 5 * at, end - 5 * at))
         assert len(got) == 1, got
         assert got.pop()[0] >= 0.8
+
+
+def test_every_template_is_found_whole(spark):
+    rows = [(i, f"some words before {text.upper()} and some after") for i, text in enumerate(TEMPLATES.values())]
+    got = {(r.doc_id, r.license): r for r in find_licenses(docs_df(spark, *rows)).collect()}
+    for i, name in enumerate(TEMPLATES):
+        assert got[i, name].coverage == 1.0 and got[i, name].first_word == 3
+
+
+def test_scans_find_what_a_plain_alignment_covers():
+    rng = random.Random(6)
+    templates = [Template(n, t) for n, t in TEMPLATES.items()]
+    seen = 0
+    for _ in range(300):
+        t = rng.choice(templates)
+        own = [w for w in t.words if rng.random() > 0.12]
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(own) + 1)
+            own[at:at] = words("the of and filler words in a text")[: rng.randrange(1, min(6, len(t.words)))]
+        own = ["x"] * rng.randrange(5) + own + ["the", "y"] * rng.randrange(5)
+        plain = len(patience(own, t.words)) / len(t.words)
+        found = best_alignment(own, t, 0.8)
+        if plain >= 0.8 and len(list(stretches(own, t))) == 1:  # no break longer than the template
+            seen += 1
+            assert found is not None and found[0] >= plain - 1e-9
+            assert own[found[1]] in t.counts and own[found[2] - 1] in t.counts
+    assert seen > 100

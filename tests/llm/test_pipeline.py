@@ -84,3 +84,21 @@ def test_one_row_of_each_group_stays_where_ids_repeat(spark, sf):
         assert {t[:1] for _, t in kept} == {"a", "b", "c", ""}
         assert want in (None, kept)
         want = kept
+
+
+def test_lettered_texts_stay_where_no_language_is_known(spark, sf):
+    docs = docs_df(spark, (1, "words"), (2, "12"), (3, None), (4, "été"), (5, "日本")).withColumn("lang", cp.F.lit(None).cast("string"))
+    assert set(rows(cp.in_known_language(spark, docs, sf))) == {1, 4, 5}
+
+
+def test_short_benchmark_items_reject_no_document(spark, tmp_path):
+    spark.createDataFrame([(1, "yes"), (2, "a b c d e f")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = docs_df(spark, (1, "yes indeed"), (2, "x a b c d e f y"))
+    assert set(rows(cp.without_benchmark(spark, docs, str(tmp_path)))) == {1}
+
+
+def test_many_overlapping_secrets_are_blotted_in_order(spark, sf):
+    text = "﻿a token=abcdef0123 " + " ".join(f"é{i} " + "0a" * 14 for i in range(3_000)) + " ﻿secret:token:abcdefg"
+    got = rows(cp.without_secrets(spark, docs_df(spark, (1, text)), sf))[1].text
+    assert got.count("[SECRET]") == 3_002 and got.startswith("﻿a [SECRET] é0 [SECRET] é1 ")
+    assert got.endswith(" ﻿[SECRET]")

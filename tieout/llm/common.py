@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from pathlib import Path
 
 import numpy as np
@@ -17,14 +19,22 @@ MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 
 
+_SHIPPED: set[str] = set()
+
+
 def found_by_tasks(spark: SparkSession) -> None:
-    """Put the folder this package was imported from on the module path of the Python workers,
-    so that tasks find it whatever folder the application was started in."""
-    root = str(Path(tieout.__file__).resolve().parents[1])
-    environment = spark.sparkContext.environment
-    known = environment.get("PYTHONPATH", "")
-    if root not in known.split(":"):
-        environment["PYTHONPATH"] = f"{known}:{root}".lstrip(":")
+    """Have Spark bring this package to the Python workers, once in an application, wherever
+    that was started. Every operator that runs Python in tasks calls this first."""
+    context = spark.sparkContext
+    root = Path(tieout.__file__).resolve().parent
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="run-"), "tieout.zip")  # Spark serves it from here
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tieout.llm.common import GOLDEN, WordHashes, stored
+from tieout.llm.common import GOLDEN, WordHashes, found_by_tasks, stored
 
 TOKEN = re.compile(r"\w+")
 #: Bytes of benchmark text that are set against all documents at a time.
@@ -129,7 +129,7 @@ class Benchmark:
         return out
 
 
-def _scan(block, threshold: float) -> Callable:
+def _scan(block, threshold: float, marked: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench, hashes = block.value, WordHashes()
         for batch in batches:
@@ -141,12 +141,12 @@ def _scan(block, threshold: float) -> Callable:
                     continue
                 encoded = [w.encode("utf-8", "replace") for w in words]
                 own = np.fromiter(map(hashes.__getitem__, encoded), np.uint64, len(words))
-                for item_id, coverage, marked in bench.found(own):
-                    if coverage >= threshold:
+                for item_id, coverage, found in bench.found(own):
+                    if coverage >= threshold and sum(n for n, _, _ in found) >= marked:
                         doc.append(doc_id)
                         item.append(item_id)
                         share.append(coverage)
-                        n_tiles.append(len(marked))
+                        n_tiles.append(len(found))
                         place.append(at)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -166,17 +166,21 @@ def leaks(
     least: int = 5,
     threshold: float = 0.5,
     text_key: str | None = None,
+    marked: int = 0,
 ) -> DataFrame:
     """(doc_id, item_id, coverage, n_tiles) of documents that hold ``threshold`` of an item or
     more. Tokens are runs of letters, digits and underscores in lower case; tiles have at least
     ``least`` tokens, or the whole item if it is shorter. Null and empty texts hold nothing,
-    empty items are held by nothing. Rows without doc_id are reported with a null id. Repeated
+    empty items are held by nothing. ``marked`` is the least number of tokens that must be marked
+    besides, so that items of a word or two, which any text may hold, are left out. Rows without doc_id are reported with a null id. Repeated
     rows and items give repeated results; other columns are not looked at, the column
     ``text_key`` of text is carried along.
 
     The benchmark is the stated query set: it is set against all documents in blocks of
-    bounded size, and documents are never shuffled.
+    bounded size, one after the other, each block's rows being written before the next block is
+    sent out; documents are never shuffled.
     """
+    found_by_tasks(docs.sparkSession)
     spark = docs.sparkSession
     own_key = [text_key] if text_key else []
     texts = docs.select(F.col("doc_id").cast("long"), "text", *own_key)
@@ -192,22 +196,25 @@ def leaks(
         rows = sorted(((r[0], r[1]) for r in own.where("text is not null and item_id is not null").collect()))
         block = spark.sparkContext.broadcast(Benchmark(rows, least))
         found = texts.mapInArrow(
-            _scan(block, threshold),
+            _scan(block, threshold, marked),
             "doc_id long, item_id long, coverage double, n_tiles long"
             + "".join(f", {c} string" for c in own_key),
         )
+        if n_blocks > 1:
+            found = stored(found, "block")
+            block.unpersist()
         out = found if out is None else out.union(found)
     return out
 
 
 def decontaminated(
-    docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.5
+    docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.5, marked: int = 0
 ) -> DataFrame:
     """Per doc_id: contaminated, coverage (largest, 0 if below the threshold), items found.
 
     One row for each doc_id, null included. See ``leaks`` for what counts.
     """
-    found = stored(leaks(docs, benchmark, least, threshold), "leaks")
+    found = stored(leaks(docs, benchmark, least, threshold, marked=marked), "leaks")
     per_doc = found.groupBy("doc_id").agg(
         F.max("coverage").alias("coverage"), F.array_sort(F.collect_set("item_id")).alias("items")
     )

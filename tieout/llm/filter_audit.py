@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tieout.llm.common import mixed, salt, stored
+from tieout.llm.common import found_by_tasks, mixed, salt, stored
 
 # White space that parts words, and signs that count as symbols.
 SPACE, SYMBOLS = b"\x20\x09\x0a\x0b\x0c\x0d", b"#$%&*|"
@@ -183,6 +183,7 @@ def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
 def text_facts(docs: DataFrame) -> DataFrame:
     """doc_id, part, text_key (of the whole text), words, distinct_words, code_points, capitals
     and symbols of every row; a null text counts as empty, a null source as the empty string."""
+    found_by_tasks(docs.sparkSession)
     names = ["words", "distinct_words", "code_points", "capitals", "symbols"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

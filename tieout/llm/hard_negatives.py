@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tieout.llm.common import stored
+from tieout.llm.common import found_by_tasks, stored
 
 #: Dimensions of one group of posting lists.
 GROUP = 8
@@ -294,6 +294,7 @@ def hard_negatives(rows: DataFrame, anchor: Column, settings: Settings | None =
     them, but is never its own positive. Copies of one vector and label are searched once,
     however many. No rows give no rows.
     """
+    found_by_tasks(rows.sparkSession)
     s = settings or Settings()
     n_own = s.positives + 1  # the anchor itself is among them
     squares = F.aggregate(

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tieout.llm.common import found_by_tasks
+
 # Element names by their role in the rendering.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes iframe noembed".split())
@@ -501,6 +503,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     table holds outside its cells is shown before it, as browsers do. Null ids
     and addresses stay null, repeated rows give repeated rows, extra columns are not looked at.
     """
+    found_by_tasks(pages.sparkSession)
     return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(
         _extract, "page_id long, url string, text string"
     )

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tieout.llm.common import fold, mixed, salt, stored
+from tieout.llm.common import fold, found_by_tasks, mixed, salt, stored
 
 #: Families of related languages; a language that is not named is a family of its own.
 FAMILIES = {
@@ -263,6 +263,7 @@ def identify_language(
     rows without lang are predicted only. Repeated rows get equal results. Extra columns are
     not looked at; those named in ``carry`` are handed on with their row.
     """
+    found_by_tasks(docs.sparkSession)
     settings = settings or Settings()
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, settings))
     rows = docs.select(

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tieout.llm.common import found_by_tasks
+
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 #: Notices as their licences word them.
@@ -50,6 +52,91 @@ TEMPLATES = {
         " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for"
         " more details."
     ),
+    "mit-warranty": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT"
+        " NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND"
+        " NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM,"
+        " DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,"
+        " OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without"
+        " fee is hereby granted, provided that the above copyright notice and this permission notice appear"
+        " in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH"
+        " REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO"
+        " EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR"
+        " ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF"
+        " CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR"
+        " PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "bsd-2-clause-conditions": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted"
+        " provided that the following conditions are met: 1. Redistributions of source code must retain the"
+        " above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions"
+        " in binary form must reproduce the above copyright notice, this list of conditions and the"
+        " following disclaimer in the documentation and/or other materials provided with the distribution."
+    ),
+    "bsd-3-clause-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse"
+        " or promote products derived from this software without specific prior written permission."
+    ),
+    "bsd-disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR"
+        " IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND"
+        " FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR"
+        " CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL"
+        " DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE,"
+        " DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER"
+        " IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT"
+        " OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the"
+        " authors be held liable for any damages arising from the use of this software. Permission is"
+        " granted to anyone to use this software for any purpose, including commercial applications, and to"
+        " alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this"
+        " software must not be misrepresented; you must not claim that you wrote the original software. If"
+        " you use this software in a product, an acknowledgment in the product documentation would be"
+        " appreciated but is not required. 2. Altered source versions must be plainly marked as such, and"
+        " must not be misrepresented as being the original software. 3. This notice may not be removed or"
+        " altered from any source distribution."
+    ),
+    "gpl-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " General Public License as published by the Free Software Foundation; either version 2 of the"
+        " License, or (at your option) any later version. This program is distributed in the hope that it"
+        " will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or"
+        " FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should"
+        " have received a copy of the GNU General Public License along with this program; if not, write to"
+        " the Free Software Foundation, Inc."
+    ),
+    "lgpl-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " Lesser General Public License as published by the Free Software Foundation; either version 2.1 of"
+        " the License, or (at your option) any later version. This library is distributed in the hope that"
+        " it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY"
+        " or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "agpl-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
+        " Affero General Public License as published by the Free Software Foundation, either version 3 of"
+        " the License, or (at your option) any later version. This program is distributed in the hope that"
+        " it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY"
+        " or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."
+    ),
+    "mpl-2.0-notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of"
+        " the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy,"
+        " modify, publish, use, compile, sell, or distribute this software, either in source code form or"
+        " as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
 }
 
 
@@ -161,7 +248,8 @@ def best_alignment(own: list[str], template: Template, least: float) -> tuple[fl
     """Largest coverage of the template, with the first and the end word; ties to the first.
 
     Each core is aligned with a template's length on both sides, and with more as long as that
-    aligns more words. If no core of a stretch is covered, the whole stretch is aligned.
+    aligns more words. If no core of a stretch is covered, or the stretch is not much longer than
+    the template, the whole stretch is aligned as well.
     """
     size, best = len(template.words), None
     for hits in stretches(own, template):
@@ -181,8 +269,9 @@ def best_alignment(own: list[str], template: Template, least: float) -> tuple[fl
                 if len(aligned) == size or (start, end) == (first, last):
                     break
             found.append(aligned)
-        if parts and max(map(len, found)) / size < least:
-            found = [[(first + i, j) for i, j in patience(own[first:last], template.words)]]
+        short = last - first <= 4 * size  # then the whole is cheap to align too
+        if short or (parts and max(map(len, found)) / size < least):
+            found.append([(first + i, j) for i, j in patience(own[first:last], template.words)])
         for aligned in found:
             coverage = len(aligned) / size
             if coverage >= least and (best is None or coverage > best[0]):
@@ -216,13 +305,16 @@ def find_licenses(
     docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8
 ) -> DataFrame:
     """(doc_id, license, coverage, first_word, end_word) for each template that a document
-    covers to ``least``; the best place, ties to the first. Words are runs of letters and
+    covers to ``least``; the best place, ties to the first. A text is cut where words that the
+    template lacks run on for longer than the template is, so a licence with so long an insertion
+    counts as its parts. Words are runs of letters and
     digits, joined by inner dots and hyphens, in lower case.
 
     Null and empty texts and empty templates give no row. A row without doc_id gives rows with
     a null id, repeated rows give repeated rows. Extra columns are not looked at. Templates are
     a parameter of a size fixed by the caller; documents are never shuffled.
     """
+    found_by_tasks(docs.sparkSession)
     own = [Template(n, t) for n, t in (templates or TEMPLATES).items()]
     own = [t for t in own if t.words]
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tieout.llm.common import (
     WordHashes,
     ascii_words,
+    found_by_tasks,
     mixed,
     salt,
     shingle_hashes,
@@ -361,6 +362,7 @@ def grouped(
     ``component`` is one number for each group, also where one id is the smallest of several
     groups; null for rows that join none. The column ``text_key`` of text is carried along.
     """
+    found_by_tasks(docs.sparkSession)
     bands = bands_for(num, den)
     own = [text_key] if text_key else []
     rows = stored(

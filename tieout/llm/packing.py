@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tieout.llm.common import stored
+from tieout.llm.common import found_by_tasks, stored
 
 #: A text of these characters alone can be tokenized word by word; others go whole.
 PLAIN = re.compile("[^\t\n\r\x20-\x7eÀ-ÿ]")
@@ -107,6 +107,7 @@ def token_pieces(
     """The documents' ids, each document's followed by ``end_id``, cut where longer than
     ``size``; ``ids=True`` adds the ids themselves. ``part`` and ``nth`` number the pieces of
     one length within a task."""
+    found_by_tasks(docs.sparkSession)
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tieout.llm.common import fold, stored
+from tieout.llm.common import fold, found_by_tasks, stored
 
 TOKEN = re.compile(r"[^\W\d_]+")
 #: Distinct tokens a task counts before it passes its counts on.
@@ -298,6 +298,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings | None = Non
     the largest counts. Without toxic labels every score is near 0, without others near 1.
     Repeated rows get equal scores. Other columns, extra ones included, are not looked at.
     """
+    found_by_tasks(docs.sparkSession)
     settings = settings or Settings()
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, settings))
     rows = docs.select(

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tieout.llm.common import stored
+from tieout.llm.common import found_by_tasks, stored
 from tieout.session import scratch_path
 
 # Fixed values of the seekable format: skippable-frame magic, seek table magic, entry layout.
@@ -192,6 +192,7 @@ def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
     The join brings one row per repeated payload to the pages: where that is small Spark
     broadcasts it, else both sides are plain exchanges that adaptive execution can split.
     """
+    found_by_tasks(pages.sparkSession)
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select(
         F.col("page_id").cast("long"), "url", "html", F.sha1(payload).alias("digest")
@@ -250,6 +251,7 @@ RECORDS = (
 def read_bundles(index: DataFrame) -> DataFrame:
     """Every record of the bundles an index names, frame by frame. ``intact`` says that a
     response's payload has the length and digest its headers give."""
+    found_by_tasks(index.sparkSession)
     bundles = index.select("bundle").distinct()
     n = max(1, int(np.ceil(bundles.count())))
     return bundles.repartition(min(n, 4096), "bundle").mapInArrow(_read, RECORDS)
