@@ -72,7 +72,8 @@ def main() -> None:
     result = stored(re.reconcile(ledger, lines), f"{base}/result")
     settings = Settings(RUN_ID, RUN_STARTED_AT, temperature=0.0)
     inputs = Inputs(ledger, lines, bank, tables["responses"])
-    audit = stored(flatten_audit(audit_of(result, inputs, settings)), f"{base}/audit")
+    totals = stored(ba.batch_totals(lines), f"{base}/totals")  # as a run leaves them
+    audit = stored(flatten_audit(audit_of(result, inputs, settings, totals)), f"{base}/audit")
     selected = stored(se.select_for_diagnosis(result), f"{base}/selected")
     checked = stored(ba.batch_check(bank, lines), f"{base}/checked")
 
@@ -82,7 +83,7 @@ def main() -> None:
         graded["n"], graded["ok"] = reconcile_step(spark, tables)
 
     def audit_log():
-        noop(flatten_audit(audit_of(result, inputs, settings)))
+        noop(flatten_audit(audit_of(result, inputs, settings, totals)))
 
     queries = {
         "reconcile": reconcile,
@@ -92,7 +93,9 @@ def main() -> None:
         "outcome_counts": lambda: noop(su.outcome_counts(result)),
         "check_labels": lambda: noop(qu.check_labels(ledger, lines, tables["truth"])),
         "select_for_diagnosis": lambda: noop(se.select_for_diagnosis(result)),
-        "assemble_cases": lambda: noop(ca.assemble_cases(selected, ledger, lines, bank)),
+        "assemble_cases": lambda: noop(
+            ca.assemble_cases(selected, ledger, lines, bank, totals=totals)
+        ),
         "resolve_attempts": lambda: noop(
             di.resolve_attempts(di.parse_diagnosis(tables["responses"]))
         ),

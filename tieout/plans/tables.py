@@ -1,5 +1,6 @@
 """All tables of one data folder, each built from the ones before it. All are lazy but for
-``stored_result`` and what rests on it, which write the result when they are first used."""
+``stored_result``, ``selection`` and what rests on them, which are written when they are first
+used."""
 
 from functools import cached_property
 
@@ -76,7 +77,8 @@ class Tables:
 
     @cached_property
     def selection(self) -> DataFrame:
-        return se.select_for_diagnosis(self.result)
+        """The chosen orders as a written table, which cases read several times."""
+        return stored(se.select_for_diagnosis(self.stored_result), scratch_path(self.spark, "selection"))
 
     @cached_property
     def resolved(self) -> DataFrame:
@@ -103,7 +105,7 @@ class Tables:
     @cached_property
     def audit(self) -> DataFrame:
         inputs = Inputs(self.ledger, self.lines, self.bank_feed, self.responses)
-        return audit_of(self.stored_result, inputs, Settings(RUN_ID, RUN_STARTED_AT))
+        return audit_of(self.stored_result, inputs, Settings(RUN_ID, RUN_STARTED_AT), self.totals)
 
     @cached_property
     def flat_audit(self) -> DataFrame:
