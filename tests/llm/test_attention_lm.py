@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.frames import docs_df
@@ -174,6 +175,38 @@ def test_the_model_learns_order(spark):
     assert sum(r.score for r in held) > 0.5 * sum(r.base_score for r in held)
 
 
+def test_every_training_document_is_learned_from(spark, monkeypatch):
+    """Ids are counted in all of them, and each is read in one of the rounds."""
+    counted, read = [], []
+    id_counts, one_round = lm._id_counts, lm._round
+
+    def counts(texts, n_ids):
+        counted.append(id_counts(texts, n_ids))
+        return counted[-1]
+
+    def rounds(texts, *more):
+        read.append(texts.count())
+        return one_round(texts, *more)
+
+    monkeypatch.setattr(lm, "_id_counts", counts)
+    monkeypatch.setattr(lm, "_round", rounds)
+    docs = [(i, f"one text of words w{i}") for i in range(300)] + [(None, "of no fold"), (4, "twice"), (5, None)]
+    scores(spark, docs)
+    training = sum(i is not None and zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in docs)
+    assert counted[0][-1] == training == sum(read) and min(read) > 0
+
+
+def test_stored_ids_are_read_in_lots(monkeypatch):
+    monkeypatch.setattr(lm, "IDS", 5)
+    texts = [[1, 2], [], [3] * 9, [4], [5, 6, 7, 40_000], []]
+    column = pa.array([np.array(t, np.uint16).tobytes() for t in texts], pa.binary())
+    lots = [(rows, ids.tolist(), n.tolist()) for rows, ids, n in lm._id_lots(column, np.uint16)]
+    assert [i for _, ids, _ in lots for i in ids] == sum(texts, []) and len(lots) > 2
+    assert [n for *_, lengths in lots for n in lengths] == [len(t) for t in texts]
+    assert [i for rows, *_ in lots for i in range(6)[rows]] == [0, 1, 2, 3, 4, 5]
+    assert lm._code(65_535) is np.uint16 and lm._code(65_536) is np.uint32
+
+
 def test_held_out_texts_of_the_given_table(spark):
     rows = op11_attention_lm(spark, "/root/testdata/sf0.01").collect()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()

@@ -5,10 +5,11 @@ with a bias for each distance, passes a small hidden layer and predicts the next
 a class of items and an item of the class. Windows overlap, so every id has context, and each id
 is scored in exactly one window. Windows are computed in batches under a causal mask.
 
-Training runs where the texts are. In each round every task takes steps of its own through a
-share of the training documents that is fixed as a part of all of them, so what is learned from
-grows with the corpus; then the tasks' parameters are averaged, chunk by chunk, in Spark. Word
-counts, for the plain score beside the model's, are those of all training documents.
+Training runs where the texts are, over every window of every training document once. Documents
+are dealt to the rounds by the hash of their id. In each round every task takes steps of its own
+through its part of the round's documents; then the tasks' parameters are averaged, chunk by
+chunk, in Spark. Counts of ids and of words, these for the plain score beside the model's, are
+those of all training documents. Texts are cut into ids once, and kept as such.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -31,10 +33,14 @@ from tieout.llm.common import ascii_words, fold, found_by_tasks, stored
 REMEMBERED = 500_000
 #: Documents of a batch of texts, and bytes of one.
 DOCS, BYTES = 400, 1 << 20
+#: Ids of a batch of texts that are already cut into ids.
+IDS = 1 << 19
 #: Floats of one chunk of parameters.
 CHUNK = 8_192
 #: Windows whose attention is computed at once, and rows of the output layer.
 BATCH, ROWS = 128, 2_048
+#: Windows whose items are predicted at once.
+OUTPUT = 1_024
 #: Scores and logits are held below this; what is not to be seen gets a score without weight.
 LARGEST, NEVER = np.float32(60), np.float32(-1e9)
 
@@ -50,13 +56,17 @@ class Settings:
     #: Classes and items of a class; all ids beyond the most frequent ones share one item.
     classes: int = 32
     members: int = 32
-    #: Rounds of training; each reads its own part of the training documents, one in so many.
+    #: Parts that the training documents are dealt to, and rounds of training, which read these
+    #: parts in turn: each document is in one round.
     rounds: int = 4
     part: int = 96
-    #: Rate of learning in the first round and the last, and windows of a step.
+    #: Rate of learning in the first round and the last.
     first_rate: float = 0.02
     last_rate: float = 0.004
+    #: Windows of a task's first steps in a round; later ones take one in 64 of those it has seen,
+    #: up to the most.
     step: int = 64
+    most: int = 512
     #: Windows that one task trains on at least, as far as there are as many.
     per_task: int = 16_384
     #: A word of at least one in so many tokens is looked up in tasks, at most so many words.
@@ -187,10 +197,11 @@ def flat(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in sorted(p)]).astype(np.float32)
 
 
-def shaped(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+def shaped(values: np.ndarray, like: dict[str, np.ndarray], views: bool = False) -> dict[str, np.ndarray]:
+    """Parameters out of their row; with ``views`` they stay parts of it."""
     out, at = {}, 0
     for k in sorted(like):
-        out[k] = values[at : at + like[k].size].reshape(like[k].shape).astype(np.float32)
+        out[k] = values[at : at + like[k].size].reshape(like[k].shape).astype(np.float32, copy=not views)
         at += like[k].size
     return out
 
@@ -227,21 +238,12 @@ class Model:
         )
         return np.lib.stride_tricks.sliding_window_view(line, s.context + s.block + 1)[first]
 
-    def hidden(self, x: np.ndarray) -> dict[str, np.ndarray]:
-        """All that the backward pass needs of the forward pass up to the output layer."""
-        p, s = self.p, self.s
-        seen = x[:, :-1]
-        e = p["embed"][seen]  # what stands for nothing is masked below
-        own = e[:, s.context :]
-        q, k, v = own @ p["query"], e @ p["key"], e @ p["value"]
-        a = q @ k.transpose(0, 2, 1)
-        a *= np.float32(s.width**-0.5)
-        a = self._weights(a, p["distance"], seen)
-        a /= a.sum(axis=2, keepdims=True)
-        h = (own + a @ v).reshape(-1, s.width)
-        inner = np.maximum(h @ p["enter"] + p["enter_bias"], 0)
-        z = h + inner @ p["leave"]
-        return {"seen": seen, "e": e, "own": own, "q": q, "k": k, "v": v, "a": a, "h": h, "inner": inner, "z": z}
+    def tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each item its embedding and query, and its key and value: one product for each item
+        instead of one for each place. Queries are scaled."""
+        embed, p = self.p["embed"], self.p
+        query = (embed @ p["query"]) * np.float32(self.s.width**-0.5)
+        return np.hstack([embed, query]), np.hstack([embed @ p["key"], embed @ p["value"]])
 
     def _weights(self, scores: np.ndarray, distance: np.ndarray, seen: np.ndarray) -> np.ndarray:
         """Weights of attention, not yet divided by their sums; 0 for later ids and for nothing."""
@@ -255,113 +257,126 @@ class Model:
         np.minimum(scores, LARGEST, out=scores)
         return np.exp(scores, out=scores)
 
+    def _states(self, x: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> dict[str, np.ndarray]:
+        """The states ``z`` that the output layer reads, and what the backward pass needs of them.
+        What stands for nothing has the rows of ``start``, and no weight."""
+        p, s = self.p, self.s
+        seen, w = x[:, :-1], s.width
+        mine = tables[0].take(seen[:, s.context :], axis=0, mode="wrap")
+        theirs = tables[1].take(seen, axis=0, mode="wrap")
+        e, q, k, v = mine[..., :w], mine[..., w:], theirs[..., :w], theirs[..., w:]
+        weights = self._weights(q @ k.transpose(0, 2, 1), p["distance"], seen)
+        total = weights @ np.ones(s.context + s.block, weights.dtype)
+        mean = weights @ v
+        mean /= total[..., None]
+        h = (mean + e).reshape(-1, w)
+        inner = h @ p["enter"]
+        inner += p["enter_bias"]
+        np.maximum(inner, 0, out=inner)
+        return {
+            "q": q, "k": k, "v": v, "weights": weights, "total": total, "mean": mean,
+            "h": h, "inner": inner, "z": h + inner @ p["leave"],
+        }
+
     def log_probabilities(self, x: np.ndarray) -> np.ndarray:
         """Natural logarithms of the predicted items, in a row; 0 where there is none."""
-        p, s = self.p, self.s
-        # one product for each item instead of one for each place
-        query = (p["embed"] @ p["query"]) * np.float32(s.width**-0.5)
-        key, value = p["embed"] @ p["key"], p["embed"] @ p["value"]
-        ones = np.ones(s.context + s.block, np.float32)
-
-        def rows(table: np.ndarray, items: np.ndarray) -> np.ndarray:
-            return table.take(items, axis=0, mode="wrap")
-
-        z = np.empty((len(x) * s.block, s.width), np.float32)
-        for at in range(0, len(x), BATCH):
-            seen = x[at : at + BATCH, :-1]
-            own = seen[:, s.context :]
-            scores = rows(query, own) @ rows(key, seen).transpose(0, 2, 1)
-            weights = self._weights(scores, p["distance"], seen)
-            h = weights @ rows(value, seen)
-            h /= (weights @ ones)[..., None]
-            h += rows(p["embed"], own)
-            h = h.reshape(-1, s.width)
-            inner = h @ p["enter"]
-            inner += p["enter_bias"]
-            np.maximum(inner, 0, out=inner)
-            z[at * s.block : at * s.block + len(h)] = h + inner @ p["leave"]
-        y = x[:, -s.block :].ravel()
-        out = np.zeros(len(y), np.float32)
-        there = np.flatnonzero(y >= 0)
-        out[there] = self._output(z[there], y[there])
+        s, tables = self.s, self.tables()
+        out = np.zeros(len(x) * s.block, np.float32)
+        for begin in range(0, len(x), OUTPUT):
+            lot = x[begin : begin + OUTPUT]
+            parts = range(0, len(lot), BATCH)
+            z = np.concatenate([self._states(lot[at : at + BATCH], tables)["z"] for at in parts])
+            y = lot[:, -s.block :].ravel()
+            there = np.flatnonzero(y >= 0)
+            out[begin * s.block + there] = self._output(z, y, there)
         return out
 
-    def _output(self, z: np.ndarray, y: np.ndarray) -> np.ndarray:
+    def _by_class(self, y: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        """Places of the items to be predicted, class by class, the classes and members of these
+        items, and where each class begins."""
+        t = y[there]
+        kind = t // self.s.members
+        order = np.argsort(kind.astype(np.int16), kind="stable")
+        kind = kind[order]
+        edges = np.searchsorted(kind, np.arange(self.s.classes + 1)).tolist()
+        return order, kind, t[order] % self.s.members, edges
+
+    def _output(self, z: np.ndarray, y: np.ndarray, there: np.ndarray) -> np.ndarray:
         """Log probability of each item's class, plus that of the item within its class."""
         p, s = self.p, self.s
-        kind, member = y // s.members, y % s.members
-        found = np.empty(len(y), np.float32)
-        for at in range(0, len(y), ROWS):
+        order, kind, member, edges = self._by_class(y, there)
+        z = z.take(there[order], axis=0)
+        found = np.empty(len(order), np.float32)
+        for at in range(0, len(order), ROWS):
             to = at + ROWS
             found[at:to] = _log_chosen(z[at:to] @ p["classes"].T + p["class_bias"], kind[at:to])
-        order = np.argsort(kind.astype(np.int16), kind="stable")
-        z, member = z.take(order, axis=0), member[order]
-        edges = np.searchsorted(kind[order], np.arange(s.classes + 1)).tolist()
-        within = np.empty(len(y), np.float32)
         for c in range(s.classes):
             for at in range(edges[c], edges[c + 1], ROWS):
                 to = min(at + ROWS, edges[c + 1])
-                within[at:to] = _log_chosen(z[at:to] @ p["items"][c].T + p["item_bias"][c], member[at:to])
-        found[order] += within
-        return found
+                found[at:to] += _log_chosen(z[at:to] @ p["items"][c].T + p["item_bias"][c], member[at:to])
+        out = np.empty_like(found)
+        out[order] = found
+        return out
 
     def gradients(self, x: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss of the predicted items, and its gradient in every parameter."""
-        p, s = self.p, self.s
-        f = self.hidden(x)
+        p, s, w = self.p, self.s, self.s.width
+        tables = self.tables()
+        f = self._states(x, tables)
         y = x[:, -s.block :].ravel()
         there = np.flatnonzero(y >= 0)
-        g = {k: np.zeros_like(v) for k, v in p.items()}
-        n = np.float32(max(len(there), 1))
-        z, t = f["z"][there], y[there]
-        kind, member = t // s.members, t % s.members
-        logits = z @ p["classes"].T + p["class_bias"]
-        d = _shares(logits)
-        loss = -float(np.log(d[np.arange(len(t)), kind]).sum())
-        d[np.arange(len(t)), kind] -= 1
-        d /= n
-        g["classes"], g["class_bias"] = d.T @ z, d.sum(axis=0)
+        order, kind, member, edges = self._by_class(y, there)
+        places = there[order]
+        z = f["z"].take(places, axis=0)
+        g = {}
+        # sums over the items; all are divided by their number in the end
+        d = z @ p["classes"].T
+        d += p["class_bias"]
+        loss = _shares_less_chosen(d, kind)
+        g["classes"], g["class_bias"] = d.T @ z, _sums(d)
         dz = d @ p["classes"]
-        order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(s.classes + 1))
-        for c in np.flatnonzero(np.diff(edges)):
-            rows = order[edges[c] : edges[c + 1]]
-            logits = z[rows] @ p["items"][c].T + p["item_bias"][c]
-            at = np.arange(len(rows))
-            d = _shares(logits)
-            loss -= float(np.log(d[at, member[rows]]).sum())
-            d[at, member[rows]] -= 1
-            d /= n
-            g["items"][c], g["item_bias"][c] = d.T @ z[rows], d.sum(axis=0)
+        g["items"], g["item_bias"] = np.zeros_like(p["items"]), np.zeros_like(p["item_bias"])
+        for c in np.flatnonzero(np.diff(edges)).tolist():
+            rows = slice(edges[c], edges[c + 1])
+            d = z[rows] @ p["items"][c].T
+            d += p["item_bias"][c]
+            loss += _shares_less_chosen(d, member[rows])
+            g["items"][c], g["item_bias"][c] = d.T @ z[rows], _sums(d)
             dz[rows] += d @ p["items"][c]
         whole = np.zeros_like(f["z"])
-        whole[there] = dz
+        whole[places] = dz
         # hidden layer
         g["leave"] = f["inner"].T @ whole
-        d = (whole @ p["leave"].T) * (f["inner"] > 0)
-        g["enter"], g["enter_bias"] = f["h"].T @ d, d.sum(axis=0)
-        dh = (whole + d @ p["enter"].T).reshape(len(x), s.block, s.width)
-        # attention
-        a = f["a"]
-        da = dh @ f["v"].transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dh
-        ds = a * (da - (a * da).sum(axis=2, keepdims=True))
+        d = whole @ p["leave"].T
+        d *= f["inner"] > 0
+        g["enter"], g["enter_bias"] = f["h"].T @ d, _sums(d)
+        whole += d @ p["enter"].T
+        dh = whole.reshape(len(x), s.block, w)
+        # attention: weights were not divided by their sums, so what they are multiplied with is
+        weights = f["weights"]
+        part = dh / f["total"][..., None]
+        ds = part @ f["v"].transpose(0, 2, 1)
+        ds -= (part * f["mean"]).sum(axis=2, keepdims=True)
+        ds *= weights
         g["distance"] = np.bincount(
             self.apart.ravel(), ds.sum(axis=0).ravel(), minlength=len(p["distance"])
-        ).astype(np.float32)
-        ds *= s.width**-0.5
-        dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
-        w = s.width
-        g["query"] = f["own"].reshape(-1, w).T @ dq.reshape(-1, w)
-        g["key"] = f["e"].reshape(-1, w).T @ dk.reshape(-1, w)
-        g["value"] = f["e"].reshape(-1, w).T @ dv.reshape(-1, w)
-        de = dk @ p["key"].T + dv @ p["value"].T
-        de[:, s.context :] += dh + dq @ p["query"].T
-        seen = f["seen"].ravel()
-        rows = np.flatnonzero(seen >= 0)
-        rows = rows[np.argsort(seen[rows], kind="stable")]
-        found, first = np.unique(seen[rows], return_index=True)
-        g["embed"][found] = np.add.reduceat(de.reshape(-1, w)[rows], first, axis=0)
+        ).astype(p["distance"].dtype)
+        mine = np.empty((*dh.shape[:2], 2 * w), dh.dtype)
+        mine[..., :w], mine[..., w:] = dh, ds @ f["k"]
+        theirs = np.empty((len(x), s.context + s.block, 2 * w), dh.dtype)
+        np.matmul(ds.transpose(0, 2, 1), f["q"], out=theirs[..., :w])
+        np.matmul(weights.transpose(0, 2, 1), part, out=theirs[..., w:])
+        # from places to items; no weight of what stands for nothing comes to any row
+        seen = np.where(x[:, :-1] < 0, s.items, x[:, :-1])
+        mine = _sums_by(seen[:, s.context :].ravel(), mine.reshape(-1, 2 * w), s.items + 1)
+        theirs = _sums_by(seen.ravel(), theirs.reshape(-1, 2 * w), s.items + 1)
+        dq, dk, dv = mine[:, w:] * np.float32(w**-0.5), theirs[:, :w], theirs[:, w:]
+        embed = p["embed"]
+        g["query"], g["key"], g["value"] = embed.T @ dq, embed.T @ dk, embed.T @ dv
+        g["embed"] = mine[:, :w] + dq @ p["query"].T + dk @ p["key"].T + dv @ p["value"].T
+        n = np.float32(max(len(there), 1))
+        for d in g.values():
+            d /= n
         return loss / float(n), g
 
 
@@ -373,10 +388,33 @@ def _log_chosen(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return own - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
 
-def _shares(logits: np.ndarray) -> np.ndarray:
-    shares = np.exp(np.minimum(logits, LARGEST))
-    shares /= shares.sum(axis=1, keepdims=True)
-    return shares
+def _shares_less_chosen(logits: np.ndarray, chosen: np.ndarray) -> float:
+    """Turn logits into shares of the exponentials in each row, less 1 for the chosen one; returns
+    the sum of the chosen ones' negative logarithms."""
+    np.minimum(logits, LARGEST, out=logits)
+    np.exp(logits, out=logits)
+    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
+    flat_shares = logits.reshape(-1)
+    at = np.arange(0, logits.size, logits.shape[1]) + chosen
+    own = flat_shares[at]
+    flat_shares[at] = own - 1
+    return -float(np.log(own).sum())
+
+
+def _sums(rows: np.ndarray) -> np.ndarray:
+    return np.ones(len(rows), rows.dtype) @ rows
+
+
+def _sums_by(numbers: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of each number below ``n``."""
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    if n <= 1 << 15:  # short numbers are sorted by digits
+        numbers = numbers.astype(np.int16)
+    order = np.argsort(numbers, kind="stable")
+    numbers = numbers[order]
+    first = np.flatnonzero(np.diff(numbers, prepend=-1))
+    out[numbers[first]] = np.add.reduceat(rows.take(order, axis=0), first, axis=0)
+    return out
 
 
 class Adam:
@@ -443,35 +481,34 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def subword_texts(docs: DataFrame, path: str) -> DataFrame:
-    """(round, ids) of documents: the subword ids of each text's words in turn."""
-    found_by_tasks(docs.sparkSession)
+def _code(n_ids: int) -> type:
+    """Type of the ids in stored texts, ends of texts included."""
+    return np.uint16 if n_ids < 1 << 16 else np.uint32
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(tokenizer_at(path))
-        for batch in batches:
-            for at, lot in _lots(batch.column(1).to_pylist()):
-                if len(lexicon) > REMEMBERED:
-                    lexicon.restart()
-                ids, n = lexicon.ids(lexicon.numbers([w for words in lot for w in words]))
-                ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum([0] + [len(words) for words in lot])]
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(lot)), lists], names=["round", "ids"]
-                )
 
-    return docs.select("round", "text").mapInArrow(run, "round int, ids array<int>")
+def _id_lots(column: pa.Array, code: type) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Texts stored as ids, some at a time: (which ones, all their ids in a row, ids of each)."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lengths = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(code).itemsize
+    ends = np.cumsum(lengths)
+    at, before = 0, 0
+    while at < len(lengths):
+        to = max(at + 1, int(np.searchsorted(ends, before + IDS, "right")))
+        yield slice(at, to), np.frombuffer(b"".join(column[at:to].to_pylist()), code), lengths[at:to]
+        at, before = to, ends[to - 1]
 
 
 def _id_counts(texts: DataFrame, n_ids: int) -> np.ndarray:
     """Counts of all ids of the tokenizer and, last, of texts; summed in tasks first."""
+    code = _code(n_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(n_ids + 1, np.int64)
         for batch in batches:
-            flat_ids = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            counts += np.bincount(flat_ids, minlength=n_ids + 1)
-            counts[n_ids] += batch.num_rows
+            for _, ids, lengths in _id_lots(batch.column(0), code):
+                counts += np.bincount(ids, minlength=n_ids + 1)
+                counts[n_ids] += len(lengths)
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(found, pa.int32()), pa.array(counts[found])], names=["id", "n"]
@@ -487,31 +524,34 @@ def _id_counts(texts: DataFrame, n_ids: int) -> np.ndarray:
 def _round(texts: DataFrame, p: dict[str, np.ndarray], v: Vocabulary, s: Settings, rate: float) -> dict:
     """One round: tasks train from ``p`` on, and their parameters are averaged by windows."""
 
+    code = _code(len(v.slots) - 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model({k: x.copy() for k, x in p.items()}, s)
+        whole = {"all": flat(p)}
+        model = Model(shaped(whole["all"], p, views=True), s)  # a step on the whole moves them all
         adam, seen, left = Adam(rate), 0, np.empty((0, s.context + s.block + 1), np.int32)
         rng = np.random.default_rng(TaskContext.get().partitionId())
-        for whole in batches:
-            for at in range(0, whole.num_rows, DOCS):
-                column = whole.column(0).slice(at, DOCS)
-                lengths = np.diff(column.offsets.to_numpy()).astype(np.int64) + 1
-                ids = v.slots[column.flatten().to_numpy(zero_copy_only=False)]
-                items = np.insert(ids, np.cumsum(lengths - 1), v.slots[-1])
-                windows = model.windows(items, lengths)
-                windows = np.concatenate([left, windows])
+
+        def step(windows: np.ndarray) -> None:
+            _, g = model.gradients(windows)
+            adam.step(whole, {"all": flat(g)})
+
+        for batch in batches:
+            for _, ids, lengths in _id_lots(batch.column(0), code):
+                items = np.insert(v.slots[ids], np.cumsum(lengths), v.slots[-1])
+                windows = np.concatenate([left, model.windows(items, lengths + 1)])
                 windows = windows[rng.permutation(len(windows))]
-                full = len(windows) // s.step * s.step
-                for i in range(0, full, s.step):
-                    _, g = model.gradients(windows[i : i + s.step])
-                    adam.step(model.p, g)
-                left = windows[full:]
-                seen += full
+                at = 0
+                while at + (size := min(max(seen // 64, s.step), max(s.most, s.step))) <= len(windows):
+                    step(windows[at : at + size])
+                    at += size
+                    seen += size
+                left = windows[at:]
         if len(left):
-            _, g = model.gradients(left)
-            adam.step(model.p, g)
+            step(left)
             seen += len(left)
         if seen:
-            values = flat(model.p)
+            values = whole["all"]
             parts = [values[i : i + CHUNK] for i in range(0, len(values), CHUNK)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(parts)), pa.int32()), pa.array([seen] * len(parts), pa.int64()),
@@ -543,16 +583,11 @@ class Language:
     tokenizer: str
 
 
-def train(docs: DataFrame, settings: Settings | None = None, tokenizer: str | None = None) -> Language:
-    """Train on ``docs(doc_id, text)``: each round reads one document in ``part``, drawn by the
-    hash of its id, other ones in each round. No documents leave the untrained model."""
+def train(texts: DataFrame, settings: Settings | None = None, tokenizer: str | None = None) -> Language:
+    """Train on stored ``texts(round, ids)``: all of them, each in its round. No texts leave the
+    untrained model, no rounds one that knows how frequent ids are."""
     s, path = settings or Settings(), tokenizer or default_tokenizer()
-    n_ids = tokenizer_at(path).get_piece_size()
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(s.part)).cast("int")
-    texts = stored(
-        subword_texts(docs.withColumn("round", draw).where(F.col("round") < s.rounds), path), "subwords"
-    )
-    counts = _id_counts(texts, n_ids)
+    counts = _id_counts(texts, tokenizer_at(path).get_piece_size())
     v = Vocabulary.of(counts, s)
     tasks = max(1, int(counts.sum()) // (s.block * s.rounds * s.per_task)) if s.rounds else 1
     p = first_parameters(v, s)
@@ -563,28 +598,24 @@ def train(docs: DataFrame, settings: Settings | None = None, tokenizer: str | No
     return Language(p, v, s, path)
 
 
-def _scored(docs: DataFrame, language: Language, known: dict[int, float]) -> DataFrame:
-    """Model scores, sums over the looked-up words, and the other words' hashes and counts."""
-    s, v = language.settings, language.vocabulary
+def _texts(docs: DataFrame, path: str, known: dict[int, float]) -> DataFrame:
+    """Each text's subword ids, sums over the looked-up words, and the other words' hashes and
+    counts."""
+    code = _code(tokenizer_at(path).get_piece_size())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, model = Lexicon(tokenizer_at(language.tokenizer), known=known), Model(language.parameters, s)
+        lexicon = Lexicon(tokenizer_at(path), known=known)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for at, lot in _lots(batch.column(2).to_pylist()):
+            for at, lot in _lots(batch.column(3).to_pylist()):
                 if len(lexicon) > REMEMBERED:
                     lexicon.restart()
                 sizes = np.array([len(words) for words in lot], np.int64)
                 numbers = lexicon.numbers([w for words in lot for w in words])
                 text = np.repeat(np.arange(len(lot)), sizes)
                 ids, n = lexicon.ids(numbers)
-                lengths = np.bincount(text, n, len(lot)).astype(np.int64) + 1
-                ids = np.insert(ids, np.cumsum(lengths - 1), len(v.slots) - 1)
-                windows = model.windows(v.slots[ids], lengths)
-                logs = model.log_probabilities(windows)
-                score = np.bincount(
-                    np.repeat(np.arange(len(lot)), -(-lengths // s.block) * s.block), logs, len(lot)
-                ) + np.bincount(np.repeat(np.arange(len(lot)), lengths), v.rare[ids], len(lot))
+                id_ends = np.cumsum(np.bincount(text, n, len(lot)).astype(np.int64)).tolist()
+                ids = ids.astype(code)
                 own = lexicon.logs[numbers]
                 looked_up = ~np.isnan(own)
                 base = np.bincount(text[looked_up], own[looked_up], len(lot))
@@ -599,20 +630,46 @@ def _scored(docs: DataFrame, language: Language, known: dict[int, float]) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row + np.arange(len(lot)), pa.int64()),
-                        batch.column(0).slice(at, len(lot)), batch.column(1).slice(at, len(lot)),
-                        pa.array(sizes + 1), pa.array(score / math.log(10), pa.float64()),
-                        pa.array(base, pa.float64()), pa.array(n_known, pa.int64()),
+                        *(batch.column(i).slice(at, len(lot)) for i in range(3)),
+                        pa.array(sizes + 1), pa.array(base, pa.float64()), pa.array(n_known, pa.int64()),
+                        pa.array([ids[a:b].tobytes() for a, b in zip([0, *id_ends], id_ends)], pa.binary()),
                         pa.ListArray.from_arrays(offsets, keys),
                         pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
                     ],
-                    names=["row", "doc_id", "held_out", "n_tokens", "score", "base", "known", "keys", "times"],
+                    names=["row", "doc_id", "held_out", "round", "n_tokens", "base", "known", "ids", "keys", "times"],
                 )
                 row += len(lot)
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(
+    return docs.select("doc_id", "held_out", "round", "text").mapInArrow(
         run,
-        "row long, doc_id long, held_out boolean, n_tokens long, score double, base double, known long, "
-        "keys array<long>, times array<int>",
+        "row long, doc_id long, held_out boolean, round int, n_tokens long, base double, known long, "
+        "ids binary, keys array<long>, times array<int>",
+    )
+
+
+def _scored(texts: DataFrame, language: Language) -> DataFrame:
+    """The model's log10 probability of every row's ids and end, in place of the ids."""
+    s, v = language.settings, language.vocabulary
+    code = _code(len(v.slots) - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(language.parameters, s)
+        for batch in batches:
+            out = [np.empty(0)]
+            for _, ids, lengths in _id_lots(batch.column(batch.num_columns - 1), code):
+                ids = np.insert(ids, np.cumsum(lengths), len(v.slots) - 1)
+                text, lengths = np.arange(len(lengths)), lengths + 1
+                logs = model.log_probabilities(model.windows(v.slots[ids], lengths))
+                places = np.repeat(text, -(-lengths // s.block) * s.block)
+                out.append(
+                    np.bincount(places, logs, len(text))
+                    + np.bincount(np.repeat(text, lengths), v.rare[ids], len(text))
+                )
+            score = pa.array(np.concatenate(out) / math.log(10), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], score], names=[*batch.schema.names[:-1], "score"])
+
+    return texts.select("row", "doc_id", "held_out", "n_tokens", "base", "known", "ids").mapInArrow(
+        run, "row long, doc_id long, held_out boolean, n_tokens long, base double, known long, score double"
     )
 
 
@@ -647,10 +704,16 @@ def language_scores(
     often = F.col("n") * s.frequent >= total
     known = {r["key"]: math.log10(r["n"] + 1) for r in counts.where(often).collect()}
 
-    language = train(training, s, path)
-    found = stored(
-        _scored(docs.withColumn("held_out", F.coalesce("held_out", F.lit(False))), language, known), "scored"
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(s.part)) % max(s.rounds, 1)
+    dealt = docs.withColumns(
+        {
+            "round": F.when(_learned_from(F.col("held_out")), draw.cast("int")),
+            "held_out": F.coalesce("held_out", F.lit(False)),
+        }
     )
+    found = stored(_texts(dealt, path, known), "texts", compression="zstd")
+    language = train(found.where("round is not null").select("round", "ids"), s, path)
+    scored = stored(_scored(found, language), "scored")
     words = found.select("row", F.explode(F.arrays_zip("keys", "times")).alias("w"))
     words = words.select("row", F.col("w.keys").alias("key"), F.col("w.times").alias("times"))
     rest = (
@@ -661,7 +724,7 @@ def language_scores(
             F.sum(F.col("times").cast("long")).alias("more_known"),
         )
     )
-    rows = found.drop("keys", "times").join(rest, "row", "left")
+    rows = scored.join(rest, "row", "left")
     base = (
         F.col("base") + F.coalesce("more", F.lit(0.0)) + math.log10(n_texts + 1)
         - F.col("n_tokens") * math.log10(total + distinct + 1)
