@@ -231,3 +231,15 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tables):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert sorted(result.collect()) == sorted(tables.result.collect())
+
+
+def test_a_small_cap_computes_its_rows_once(spark, tables):
+    plan = plan_of(se.cap_flagged(se.flagged(tables.stored_result), 50))
+    assert "TakeOrderedAndProject" in plan and plan.count("FileScan") == 1 and "Subquery" not in plan
+
+
+def test_ties_under_a_small_cap_keep_copies(spark):
+    rows = spark.createDataFrame(
+        [(2, "b"), (1, "a"), (1, "a"), (None, "n"), (1, "c")], "order_id bigint, category string"
+    )
+    assert [sum(1 for r in se.cap_flagged(rows, n).collect() if r.order_id == 1) for n in (1, 4, 5)] == [0, 3, 3]

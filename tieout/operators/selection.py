@@ -38,13 +38,16 @@ def cap_flagged(flagged_rows: DataFrame, cap: int | None) -> DataFrame:
 def first_rows(rows: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows by order id, whatever kind of id that is, without sorting all rows.
 
-    A sample of the ids themselves gives the ends of ``RANGES`` ranges that hold about as many
+    Up to ``TOP`` rows, each task keeps its first ``n``, and one task those of all; the rows are
+    computed once. For more, they are read several times and should be a stored table. A sample of the ids themselves gives the ends of ``RANGES`` ranges that hold about as many
     rows each. Rows are counted by range; ranges before the one in which the n-th row lies pass
     whole, and only the rows of that one are put in order. Rows of one id are told apart by the
     hash of all their columns, and verbatim copies are counted before they are sent, so an id
     that stands on very many rows doesn't make a range large.
     """
     columns = rows.columns
+    if n <= TOP:
+        return rows.orderBy("order_id", F.xxhash64(*columns)).limit(n)
     key = F.struct("order_id", F.xxhash64(*columns).alias("row"))
     hashed = F.xxhash64("order_id", F.xxhash64(*columns))
     size = rows.agg(F.approx_count_distinct(hashed)).scalar()
