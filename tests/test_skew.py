@@ -13,6 +13,7 @@ from tieout.operators import reconcile as re
 from tieout.operators import selection as se
 from tieout.operators.lines import lines_per_order
 from tieout.operators.skew import hot_keys, join_many_to_one
+from tieout.plans.registry import QUERIES
 from tieout.plans.run import Inputs, Settings, run_reconciliation
 from tieout.sources.sinks import sink_table
 from tieout.session import scratch_path
@@ -243,3 +244,10 @@ def test_ties_under_a_small_cap_keep_copies(spark):
         [(2, "b"), (1, "a"), (1, "a"), (None, "n"), (1, "c")], "order_id bigint, category string"
     )
     assert [sum(1 for r in se.cap_flagged(rows, n).collect() if r.order_id == 1) for n in (1, 4, 5)] == [0, 3, 3]
+
+
+def test_choices_read_stored_verdicts(spark):
+    """What reads the result several times reads written columns, not the joins behind it."""
+    for name in ("skip_reason", "select_for_diagnosis", "control_sample"):
+        plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert "tieout-verdicts" in plan and "o_orderkey" not in plan, name

@@ -674,12 +674,12 @@ def cap_flagged_sparse_ids(t: Tables) -> DataFrame:
 
 @query
 def control_sample(t: Tables) -> DataFrame:
-    return se.control_sample(se.clean(t.result), 5)
+    return se.control_sample(se.clean(t.verdicts), 5)
 
 
 @query
 def control_sample_large(t: Tables) -> DataFrame:
-    return se.control_sample(se.clean(t.result), 12_000)
+    return se.control_sample(se.clean(t.verdicts), 12_000)
 
 
 def _first_labels(t: Tables, n: int) -> DataFrame:
@@ -1008,7 +1008,7 @@ def resolve_attempts(t: Tables) -> DataFrame:
 
 @query
 def select_for_diagnosis(t: Tables) -> DataFrame:
-    return se.select_for_diagnosis(t.result)
+    return se.select_for_diagnosis(t.verdicts)
 
 
 @query
@@ -1019,7 +1019,7 @@ def agreement(t: Tables) -> DataFrame:
 @query
 def skip_reason(t: Tables) -> DataFrame:
     """Why each order outside a capped selection has no second opinion."""
-    marked = se.mark_selection(t.result, cap=50)
+    marked = se.mark_selection(t.verdicts, cap=50)
     reason = au.skip_reason(
         F.col("selection_reason") != "not_selected",
         F.col("selection_reason"),

@@ -1,5 +1,5 @@
 """All tables of one data folder, each built from the ones before it. All are lazy but for
-``stored_result``, ``selection`` and what rests on them, which are written when they are first
+``stored_result``, ``verdicts``, ``selection`` and what rests on them, which are written when they are first
 used."""
 
 from functools import cached_property
@@ -98,6 +98,12 @@ class Tables:
         """The result as a written table, which the audit reads several times."""
         return stored(self.result, scratch_path(self.spark, "result"))
 
+    @cached_property
+    def verdicts(self) -> DataFrame:
+        """Ids and categories of the result as a written table, for choices that read them
+        several times and need no more."""
+        return stored(self.result.select("order_id", "category"), scratch_path(self.spark, "verdicts"))
+
     @cached_property
     def totals(self) -> DataFrame:
         return ba.batch_totals(self.lines)
