@@ -134,3 +134,11 @@ def test_amount_texts(spark):
     assert [r[0] for r in labels.select(category_label("c")).collect()] == [
         "Missing payout", "new_code",
     ]
+
+
+def test_audit_documents_are_written_compressed(spark, tables):
+    path = scratch_path(spark, "documents")
+    sinks.sink_audit_jsonl(tables.audit, path)
+    files = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    plain = spark.read.text(path).agg(F.count("*"), F.sum(F.octet_length("value"))).first()
+    assert plain[0] == 1500 and files < plain[1] / 4

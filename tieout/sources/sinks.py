@@ -54,8 +54,10 @@ def sink_audit_table(audit: DataFrame, path: str, replace_run: bool = False) ->
 
 
 def sink_audit_jsonl(audit: DataFrame, path: str) -> None:
-    """One object per order, evidence nested, nulls written out."""
-    _iso_times(audit).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    """One object per order, evidence nested, nulls written out; gzip, as names and fixed texts
+    are most of a document and stand in each. Readers of JSON open these files as they are."""
+    writer = _iso_times(audit).write.mode("overwrite").option("compression", "gzip")
+    writer.option("ignoreNullFields", False).json(path)
 
 
 def sink_audit_csv(audit: DataFrame, path: str) -> None:
