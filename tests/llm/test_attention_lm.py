@@ -207,6 +207,77 @@ def test_stored_ids_are_read_in_lots(monkeypatch):
     assert lm._code(65_535) is np.uint16 and lm._code(65_536) is np.uint32
 
 
+def test_words_of_a_lot_are_looked_up_once(spark, monkeypatch):
+    """Whatever stands often in a lot is split and told apart by Arrow, not word by word."""
+    asked = []
+    numbers = lm.Lexicon.numbers
+
+    def recorded(self, words):
+        asked.append(list(words))
+        return numbers(self, words)
+
+    monkeypatch.setattr(lm.Lexicon, "numbers", recorded)
+    monkeypatch.setattr(lm, "found_by_tasks", lambda spark: None)
+    texts = [" The the\t\x0bTHE cat ", None, "", " \n", "x\x85Y\xa0Z\x1cq É é", "the cat\x0c"] * 3
+    lots = list(lm._lots(pa.array(texts)))
+    lexicon = lm.Lexicon()
+    words = [lexicon.numbers(found)[places] for _, found, places, _ in lots]
+    back = {number: word for word, number in lexicon.items()}
+    plain = [(t or "").encode().lower().split() for t in texts]
+    assert [back[i] for i in np.concatenate(words).tolist()] == sum(plain, [])
+    assert [n for *_, sizes in lots for n in sizes.tolist()] == [len(x) for x in plain]
+    assert asked and all(len(set(x)) == len(x) for x in asked) and b"" not in lexicon
+    counts = {r["key"]: r["n"] for r in lm.word_counts(docs_df(spark, *enumerate(texts))).collect()}
+    assert counts == {h: sum(plain, []).count(w) for w, h in zip(lexicon, lexicon.hashes.tolist(), strict=True)}
+
+
+def test_lots_of_texts_end_where_they_are_full(monkeypatch):
+    texts = pa.array(["", "ab cd", None, "e" * 50, "f", "g", "h i"])
+    whole = list(lm._lots(texts))
+    assert [x[0] for x in whole] == [slice(0, 7)] and not list(lm._lots(texts[:0]))
+    monkeypatch.setattr(lm, "BYTES", 6)
+    assert [x[0] for x in lm._lots(texts)] == [slice(0, 3), slice(3, 4), slice(4, 7)]
+    monkeypatch.setattr(lm, "DOCS", 2)
+    lots = list(lm._lots(texts[1:]))
+    assert [x[0] for x in lots] == [slice(0, 2), slice(2, 3), slice(3, 5), slice(5, 6)]
+    assert [[x[1][i] for i in x[2]] for x in lots] == [[b"ab", b"cd"], [b"e" * 50], [b"f", b"g"], [b"h", b"i"]]
+
+
+def test_gradients_in_lots_are_those_of_the_whole(monkeypatch):
+    model, rng = tiny_model(), random.Random(6)
+    lengths = [rng.choice([1, 3, 9, 30]) for _ in range(40)]
+    items = [min(rng.randrange(TINY.items), rng.randrange(TINY.items)) for _ in range(sum(lengths))]
+    windows = model.windows(np.array(items, np.int32), np.array(lengths))
+    model.p = {k: x.astype(np.float64) for k, x in model.p.items()}
+    loss, g = model.gradients(windows)
+    logs = model.log_probabilities(windows)
+    assert loss == pytest.approx(-logs.sum() / len(items), rel=1e-5)
+    monkeypatch.setattr(lm, "BATCH", 7)
+    monkeypatch.setattr(lm, "ROWS", 5)
+    again, parts = model.gradients(windows)
+    assert again == pytest.approx(loss) and all(np.allclose(g[k], parts[k]) for k in g)
+    assert np.allclose(model.log_probabilities(windows), logs, atol=1e-6)
+
+
+def test_large_logits_are_held():
+    logits = np.array([[500, 0, 60], [1, 2, 3]], np.float32)
+    want = [-math.log(2), -math.log(1 + math.exp(-1) + math.exp(-2))]
+    assert np.allclose(lm._log_chosen(logits.copy(), np.array([0, 2])), want)
+    assert lm._shares_less_chosen(logits, np.array([0, 2])) == pytest.approx(-sum(want))
+    assert np.allclose(logits[0], [-0.5, 0, 0.5])
+
+
+def test_sums_by_number(monkeypatch):
+    rng = np.random.default_rng(7)
+    numbers, rows = rng.integers(0, 9, 200) ** 2, rng.normal(size=(200, 6)).astype(np.float32)
+    want = np.zeros((70, 6))
+    np.add.at(want, numbers, rows)
+    for size in (1, 16, 1_024):
+        monkeypatch.setattr(lm, "ROWS", size)
+        assert np.allclose(lm._sums_by(numbers, rows, 70), want, atol=1e-4)
+    assert not lm._sums_by(numbers[:0], rows[:0], 70).any()
+
+
 def test_held_out_texts_of_the_given_table(spark):
     rows = op11_attention_lm(spark, "/root/testdata/sf0.01").collect()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()

@@ -27,18 +27,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tieout.llm.common import ascii_words, fold, found_by_tasks, stored
+from tieout.llm.common import fold, found_by_tasks, stored
 
 #: Words a task remembers at a time; a limit of memory only.
 REMEMBERED = 500_000
 #: Documents of a batch of texts, and bytes of one.
-DOCS, BYTES = 400, 1 << 20
+DOCS, BYTES = 2_000, 1 << 22
 #: Ids of a batch of texts that are already cut into ids.
 IDS = 1 << 19
 #: Floats of one chunk of parameters.
 CHUNK = 8_192
 #: Windows whose attention is computed at once, and rows of the output layer.
-BATCH, ROWS = 128, 2_048
+BATCH, ROWS = 128, 1_024
 #: Windows whose items are predicted at once.
 OUTPUT = 1_024
 #: Scores and logits are held below this; what is not to be seen gets a score without weight.
@@ -102,7 +102,7 @@ class Lexicon(dict):
         out = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if not self.fresh:
             return out
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.fresh], np.uint64).view(np.int64)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.fresh), np.uint64, len(self.fresh)).view(np.int64)
         self.hashes = np.concatenate([self.hashes, hashes])
         if self.known is not None:
             get = self.known.get
@@ -239,43 +239,47 @@ class Model:
         return np.lib.stride_tricks.sliding_window_view(line, s.context + s.block + 1)[first]
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """Of each item its embedding and query, and its key and value: one product for each item
-        instead of one for each place. Queries are scaled."""
+        """Of each item its query, and its key and value: one product for each item instead of one
+        for each place. Queries are scaled."""
         embed, p = self.p["embed"], self.p
         query = (embed @ p["query"]) * np.float32(self.s.width**-0.5)
-        return np.hstack([embed, query]), np.hstack([embed @ p["key"], embed @ p["value"]])
+        return query, embed @ np.hstack([p["key"], p["value"]])
 
-    def _weights(self, scores: np.ndarray, distance: np.ndarray, seen: np.ndarray) -> np.ndarray:
-        """Weights of attention, not yet divided by their sums; 0 for later ids and for nothing."""
-        scores += np.where(self.later, NEVER, distance[self.apart])
+    def _weights(self, q: np.ndarray, k: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """Weights of attention, not yet divided by their sums; 0 for later ids and for nothing.
+        A row for each place that is seen, so that no product runs along the rows of both."""
+        scores = k @ np.ascontiguousarray(q.transpose(0, 2, 1))
+        scores += np.where(self.later.T, NEVER, self.p["distance"][self.apart.T])
         # only a text's first window begins with nothing; what follows a text is later than all of it
         begun = np.flatnonzero(seen[:, 0] < 0)
         if len(begun):
-            part = scores[begun]
-            np.copyto(part, NEVER, where=(seen[begun] < 0)[:, None, :])
-            scores[begun] = part
-        np.minimum(scores, LARGEST, out=scores)
-        return np.exp(scores, out=scores)
+            window, place = np.nonzero(seen[begun] < 0)
+            scores[begun[window], place] = NEVER
+        return _exponentials(scores)
 
     def _states(self, x: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> dict[str, np.ndarray]:
         """The states ``z`` that the output layer reads, and what the backward pass needs of them.
         What stands for nothing has the rows of ``start``, and no weight."""
         p, s = self.p, self.s
         seen, w = x[:, :-1], s.width
-        mine = tables[0].take(seen[:, s.context :], axis=0, mode="wrap")
+        e = p["embed"].take(seen[:, s.context :], axis=0, mode="wrap")
+        q = tables[0].take(seen[:, s.context :], axis=0, mode="wrap")
         theirs = tables[1].take(seen, axis=0, mode="wrap")
-        e, q, k, v = mine[..., :w], mine[..., w:], theirs[..., :w], theirs[..., w:]
-        weights = self._weights(q @ k.transpose(0, 2, 1), p["distance"], seen)
-        total = weights @ np.ones(s.context + s.block, weights.dtype)
-        mean = weights @ v
-        mean /= total[..., None]
-        h = (mean + e).reshape(-1, w)
+        k, v = theirs[..., :w], theirs[..., w:]
+        weights = self._weights(q, k, seen)
+        share = 1 / (np.ones(weights.shape[1], weights.dtype) @ weights)[..., None]
+        mean = weights.transpose(0, 2, 1) @ v
+        mean *= share
+        e += mean
+        h = e.reshape(-1, w)
         inner = h @ p["enter"]
         inner += p["enter_bias"]
         np.maximum(inner, 0, out=inner)
+        z = inner @ p["leave"]
+        z += h
         return {
-            "q": q, "k": k, "v": v, "weights": weights, "total": total, "mean": mean,
-            "h": h, "inner": inner, "z": h + inner @ p["leave"],
+            "q": q, "k": k, "v": v, "weights": weights, "share": share, "mean": mean,
+            "h": h, "inner": inner, "z": z,
         }
 
     def log_probabilities(self, x: np.ndarray) -> np.ndarray:
@@ -301,99 +305,164 @@ class Model:
         edges = np.searchsorted(kind, np.arange(self.s.classes + 1)).tolist()
         return order, kind, t[order] % self.s.members, edges
 
+    def _with_biases(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of classes and of items, the biases in a last column."""
+        p = self.p
+        return (
+            np.concatenate([p["classes"], p["class_bias"][:, None]], axis=1),
+            np.concatenate([p["items"], p["item_bias"][..., None]], axis=2),
+        )
+
+    def _spans(self, edges: list[int]) -> Iterator[tuple[slice, list[tuple[int, slice, slice]]]]:
+        """Some classes at a time: their rows, and each one's number with its rows among all and
+        among these."""
+        span, begin = [], 0
+        for c in range(self.s.classes):
+            a, b = edges[c], edges[c + 1]
+            if a < b:
+                span.append((c, slice(a, b), slice(a - begin, b - begin)))
+            if span and (b - begin >= ROWS or c + 1 == self.s.classes):
+                yield slice(begin, b), span
+                span, begin = [], b
+
     def _output(self, z: np.ndarray, y: np.ndarray, there: np.ndarray) -> np.ndarray:
         """Log probability of each item's class, plus that of the item within its class."""
-        p, s = self.p, self.s
         order, kind, member, edges = self._by_class(y, there)
-        z = z.take(there[order], axis=0)
+        z = _with_ones(z, there[order])
+        classes, items = self._with_biases()
         found = np.empty(len(order), np.float32)
         for at in range(0, len(order), ROWS):
             to = at + ROWS
-            found[at:to] = _log_chosen(z[at:to] @ p["classes"].T + p["class_bias"], kind[at:to])
-        for c in range(s.classes):
-            for at in range(edges[c], edges[c + 1], ROWS):
-                to = min(at + ROWS, edges[c + 1])
-                found[at:to] += _log_chosen(z[at:to] @ p["items"][c].T + p["item_bias"][c], member[at:to])
+            found[at:to] = _log_chosen(z[at:to] @ classes.T, kind[at:to])
+        for rows, span in self._spans(edges):
+            d = np.empty((rows.stop - rows.start, self.s.members), z.dtype)
+            for c, among_all, here in span:
+                np.matmul(z[among_all], items[c].T, out=d[here])
+            found[rows] += _log_chosen(d, member[rows])
         out = np.empty_like(found)
         out[order] = found
         return out
 
+    def _output_gradients(
+        self, z: np.ndarray, y: np.ndarray, there: np.ndarray, g: dict[str, np.ndarray]
+    ) -> tuple[float, np.ndarray]:
+        """Loss of the predicted items, and its gradient in the states; that in the output layer's
+        parameters goes to ``g``. All are sums over the items."""
+        w, m = self.s.width, self.s.members
+        order, kind, member, edges = self._by_class(y, there)
+        places = there[order]
+        whole = np.zeros_like(z)
+        z = _with_ones(z, places)
+        classes, items = self._with_biases()
+        of_classes, of_items = np.zeros_like(classes), np.zeros_like(items)
+        dz = np.empty((len(z), w), z.dtype)
+        loss = 0.0
+        for at in range(0, len(z), ROWS):
+            rows = slice(at, at + ROWS)
+            d = z[rows] @ classes.T
+            loss += _shares_less_chosen(d, kind[rows])
+            of_classes += d.T @ z[rows]
+            np.matmul(d, self.p["classes"], out=dz[rows])
+        for rows, span in self._spans(edges):
+            d = np.empty((rows.stop - rows.start, m), z.dtype)
+            for c, among_all, here in span:
+                np.matmul(z[among_all], items[c].T, out=d[here])
+            loss += _shares_less_chosen(d, member[rows])
+            more = np.empty((len(d), w), z.dtype)
+            for c, among_all, here in span:
+                np.matmul(d[here].T, z[among_all], out=of_items[c])
+                np.matmul(d[here], self.p["items"][c], out=more[here])
+            dz[rows] += more
+        g["classes"], g["class_bias"] = of_classes[:, :w], of_classes[:, w]
+        g["items"], g["item_bias"] = of_items[..., :w], of_items[..., w]
+        whole[places] = dz
+        return loss, whole
+
     def gradients(self, x: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss of the predicted items, and its gradient in every parameter."""
         p, s, w = self.p, self.s, self.s.width
         tables = self.tables()
-        f = self._states(x, tables)
+        lots = [slice(at, at + BATCH) for at in range(0, len(x), BATCH)]
+        states = [self._states(x[lot], tables) for lot in lots]
         y = x[:, -s.block :].ravel()
         there = np.flatnonzero(y >= 0)
-        order, kind, member, edges = self._by_class(y, there)
-        places = there[order]
-        z = f["z"].take(places, axis=0)
-        g = {}
         # sums over the items; all are divided by their number in the end
-        d = z @ p["classes"].T
-        d += p["class_bias"]
-        loss = _shares_less_chosen(d, kind)
-        g["classes"], g["class_bias"] = d.T @ z, _sums(d)
-        dz = d @ p["classes"]
-        g["items"], g["item_bias"] = np.zeros_like(p["items"]), np.zeros_like(p["item_bias"])
-        for c in np.flatnonzero(np.diff(edges)).tolist():
-            rows = slice(edges[c], edges[c + 1])
-            d = z[rows] @ p["items"][c].T
-            d += p["item_bias"][c]
-            loss += _shares_less_chosen(d, member[rows])
-            g["items"][c], g["item_bias"][c] = d.T @ z[rows], _sums(d)
-            dz[rows] += d @ p["items"][c]
-        whole = np.zeros_like(f["z"])
-        whole[places] = dz
-        # hidden layer
-        g["leave"] = f["inner"].T @ whole
-        d = whole @ p["leave"].T
-        d *= f["inner"] > 0
-        g["enter"], g["enter_bias"] = f["h"].T @ d, _sums(d)
-        whole += d @ p["enter"].T
-        dh = whole.reshape(len(x), s.block, w)
-        # attention: weights were not divided by their sums, so what they are multiplied with is
-        weights = f["weights"]
-        part = dh / f["total"][..., None]
-        ds = part @ f["v"].transpose(0, 2, 1)
-        ds -= (part * f["mean"]).sum(axis=2, keepdims=True)
-        ds *= weights
+        g = {k: np.zeros_like(p[k]) for k in ("leave", "enter", "enter_bias", "query")}
+        loss, dz = self._output_gradients(np.concatenate([f["z"] for f in states]), y, there, g)
+        dz = dz.reshape(len(x), s.block, w)
+        distance = np.zeros(self.apart.shape[::-1], dz.dtype)
+        of_theirs = np.zeros((w, 2 * w), dz.dtype)
+        from_theirs = np.concatenate([p["key"], p["value"]], axis=1).T
+        # no weight of what stands for nothing comes to any row
+        seen = np.where(x[:, :-1] < 0, s.items, x[:, :-1])
+        embedded = np.empty((*seen.shape, w), dz.dtype)
+        for lot, f in zip(lots, states, strict=True):
+            # hidden layer
+            whole = dz[lot].reshape(-1, w)
+            g["leave"] += f["inner"].T @ whole
+            d = whole @ p["leave"].T
+            d *= f["inner"] > 0
+            g["enter"] += f["h"].T @ d
+            g["enter_bias"] += _sums(d)
+            dh = dz[lot]
+            dh += (d @ p["enter"].T).reshape(dh.shape)
+            # attention: weights were not divided by their sums, so what they are multiplied with is
+            part = dh * f["share"]
+            ds = f["v"] @ np.ascontiguousarray(part.transpose(0, 2, 1))
+            ds -= ((part * f["mean"]).reshape(-1, w) @ np.ones(w, dz.dtype)).reshape(-1, 1, s.block)
+            ds *= f["weights"]
+            distance += ds.sum(axis=0)
+            dq = ds.transpose(0, 2, 1) @ f["k"]
+            dq *= np.float32(w**-0.5)
+            theirs = np.empty((*ds.shape[:2], 2 * w), dz.dtype)
+            np.matmul(ds, f["q"], out=theirs[..., :w])
+            np.matmul(f["weights"], part, out=theirs[..., w:])
+            # embeddings
+            e = p["embed"].take(seen[lot], axis=0)
+            theirs = theirs.reshape(-1, 2 * w)
+            of_theirs += e.reshape(-1, w).T @ theirs
+            g["query"] += e[:, s.context :].reshape(-1, w).T @ dq.reshape(-1, w)
+            np.matmul(theirs, from_theirs, out=embedded[lot].reshape(-1, w))
+            dh += (dq.reshape(-1, w) @ p["query"].T).reshape(dh.shape)
+            embedded[lot, s.context :] += dh
+        g["key"], g["value"] = of_theirs[:, :w], of_theirs[:, w:]
         g["distance"] = np.bincount(
-            self.apart.ravel(), ds.sum(axis=0).ravel(), minlength=len(p["distance"])
+            self.apart.T.ravel(), distance.ravel(), minlength=len(p["distance"])
         ).astype(p["distance"].dtype)
-        mine = np.empty((*dh.shape[:2], 2 * w), dh.dtype)
-        mine[..., :w], mine[..., w:] = dh, ds @ f["k"]
-        theirs = np.empty((len(x), s.context + s.block, 2 * w), dh.dtype)
-        np.matmul(ds.transpose(0, 2, 1), f["q"], out=theirs[..., :w])
-        np.matmul(weights.transpose(0, 2, 1), part, out=theirs[..., w:])
-        # from places to items; no weight of what stands for nothing comes to any row
-        seen = np.where(x[:, :-1] < 0, s.items, x[:, :-1])
-        mine = _sums_by(seen[:, s.context :].ravel(), mine.reshape(-1, 2 * w), s.items + 1)
-        theirs = _sums_by(seen.ravel(), theirs.reshape(-1, 2 * w), s.items + 1)
-        dq, dk, dv = mine[:, w:] * np.float32(w**-0.5), theirs[:, :w], theirs[:, w:]
-        embed = p["embed"]
-        g["query"], g["key"], g["value"] = embed.T @ dq, embed.T @ dk, embed.T @ dv
-        g["embed"] = mine[:, :w] + dq @ p["query"].T + dk @ p["key"].T + dv @ p["value"].T
+        g["embed"] = _sums_by(seen.ravel(), embedded.reshape(-1, w), s.items + 1)
         n = np.float32(max(len(there), 1))
         for d in g.values():
             d /= n
         return loss / float(n), g
 
 
+def _with_ones(z: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The states at these places, with a 1 that biases are multiplied with."""
+    out = np.ones((len(places), z.shape[1] + 1), z.dtype)
+    out[:, :-1] = z.take(places, axis=0)
+    return out
+
+
+def _exponentials(x: np.ndarray) -> np.ndarray:
+    """Exponentials, in place, of what is held below the largest."""
+    if x.max(initial=0) > LARGEST:
+        np.minimum(x, LARGEST, out=x)
+    return np.exp(x, out=x)
+
+
 def _log_chosen(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Logarithm of the chosen one's share of the exponentials in each row."""
-    np.minimum(logits, LARGEST, out=logits)
-    own = logits.ravel().take(np.arange(0, logits.size, logits.shape[1]) + chosen)
-    np.exp(logits, out=logits)
+    at = np.arange(0, logits.size, logits.shape[1]) + chosen
+    own = np.minimum(logits.reshape(-1).take(at), LARGEST)
+    _exponentials(logits)
     return own - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
 
 def _shares_less_chosen(logits: np.ndarray, chosen: np.ndarray) -> float:
     """Turn logits into shares of the exponentials in each row, less 1 for the chosen one; returns
     the sum of the chosen ones' negative logarithms."""
-    np.minimum(logits, LARGEST, out=logits)
-    np.exp(logits, out=logits)
-    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
+    _exponentials(logits)
+    logits *= 1 / (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
     flat_shares = logits.reshape(-1)
     at = np.arange(0, logits.size, logits.shape[1]) + chosen
     own = flat_shares[at]
@@ -406,14 +475,22 @@ def _sums(rows: np.ndarray) -> np.ndarray:
 
 
 def _sums_by(numbers: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the rows of each number below ``n``."""
+    """Sums of the rows of each number below ``n``; rows are of an even width, and two of their
+    values are added as one complex number."""
     out = np.zeros((n, rows.shape[1]), rows.dtype)
-    if n <= 1 << 15:  # short numbers are sorted by digits
-        numbers = numbers.astype(np.int16)
-    order = np.argsort(numbers, kind="stable")
-    numbers = numbers[order]
-    first = np.flatnonzero(np.diff(numbers, prepend=-1))
-    out[numbers[first]] = np.add.reduceat(rows.take(order, axis=0), first, axis=0)
+    pairs = np.result_type(rows.dtype, np.complex64)
+    # short numbers are sorted by digits
+    order = np.argsort(numbers.astype(np.int16) if n <= 1 << 15 else numbers, kind="stable")
+    counts = np.bincount(numbers, minlength=n)
+    found = np.flatnonzero(counts)
+    first = np.append(0, np.cumsum(counts[found]))
+    # some rows at a time, which the processor has at hand
+    at = 0
+    while at < len(found):
+        to = max(at + 1, int(np.searchsorted(first, first[at] + ROWS, "right")) - 1)
+        lot = rows.take(order[first[at] : first[to]], axis=0).view(pairs)
+        out.view(pairs)[found[at:to]] = np.add.reduceat(lot, first[at:to] - first[at], axis=0)
+        at = to
     return out
 
 
@@ -436,16 +513,29 @@ class Adam:
             p[k] -= np.float32(scale) * m / (np.sqrt(v) + np.float32(1e-8))
 
 
-def _lots(texts: list[str | None]) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """The texts' words, some texts at a time: (place of the first, words of each)."""
-    at = 0
+def _lots(texts: pa.Array) -> Iterator[tuple[slice, list[bytes], np.ndarray, np.ndarray]]:
+    """The texts' words, some texts at a time: (which texts, different words in lower case, the
+    word at each place, words of each text)."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, before = 0, 0
     while at < len(texts):
-        lot, size, begin = [], 0, at
-        while at < len(texts) and len(lot) < DOCS and size < BYTES:
-            lot.append(ascii_words(texts[at]))
-            size += len(texts[at] or "")
-            at += 1
-        yield begin, lot
+        to = min(max(at + 1, int(np.searchsorted(ends, before + BYTES, "right"))), at + DOCS)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts[at:to]))
+        sizes = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        encoded = split.flatten().dictionary_encode()
+        words = encoded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        places = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        if b"" in words:  # before white space that a text begins with, and after its last
+            nothing = words.index(b"")
+            there = places != nothing
+            sizes = np.bincount(np.repeat(np.arange(to - at), sizes)[there], minlength=to - at)
+            places = places[there]
+            places -= places > nothing
+            del words[nothing]
+        yield slice(at, to), words, places, sizes
+        at, before = to, ends[to - 1]
 
 
 def _learned_from(held_out: Column) -> Column:
@@ -467,11 +557,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for _, lot in _lots(batch.column(0).to_pylist()):
-                numbers = lexicon.numbers([w for words in lot for w in words])
-                more = np.bincount(numbers, minlength=len(lexicon))
-                more[: len(counts)] += counts
-                counts = more
+            for _, words, places, _ in _lots(batch.column(0)):
+                numbers = lexicon.numbers(words)
+                counts = np.append(counts, np.zeros(len(lexicon) - len(counts), np.int64))
+                counts[numbers] += np.bincount(places, minlength=len(words))
                 if len(lexicon) > REMEMBERED:
                     yield out()
                     lexicon.restart()
@@ -607,30 +696,29 @@ def _texts(docs: DataFrame, path: str, known: dict[int, float]) -> DataFrame:
         lexicon = Lexicon(tokenizer_at(path), known=known)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for at, lot in _lots(batch.column(3).to_pylist()):
+            for rows, words, places, sizes in _lots(batch.column(3)):
                 if len(lexicon) > REMEMBERED:
                     lexicon.restart()
-                sizes = np.array([len(words) for words in lot], np.int64)
-                numbers = lexicon.numbers([w for words in lot for w in words])
-                text = np.repeat(np.arange(len(lot)), sizes)
+                numbers = lexicon.numbers(words)[places]
+                text = np.repeat(np.arange(len(sizes)), sizes)
                 ids, n = lexicon.ids(numbers)
-                id_ends = np.cumsum(np.bincount(text, n, len(lot)).astype(np.int64)).tolist()
+                id_ends = np.cumsum(np.bincount(text, n, len(sizes)).astype(np.int64)).tolist()
                 ids = ids.astype(code)
                 own = lexicon.logs[numbers]
                 looked_up = ~np.isnan(own)
-                base = np.bincount(text[looked_up], own[looked_up], len(lot))
-                n_known = np.bincount(text[looked_up], minlength=len(lot))
+                base = np.bincount(text[looked_up], own[looked_up], len(sizes))
+                n_known = np.bincount(text[looked_up], minlength=len(sizes))
                 others = np.flatnonzero(~looked_up)
                 pairs, times = np.unique(
                     text[others] * np.int64(len(lexicon)) + numbers[others], return_counts=True
                 )
-                ends = np.searchsorted(pairs, np.arange(len(lot) + 1) * np.int64(len(lexicon)))
+                ends = np.searchsorted(pairs, np.arange(len(sizes) + 1) * np.int64(len(lexicon)))
                 offsets = pa.array(ends, pa.int32())
                 keys = pa.array(lexicon.hashes[pairs % max(len(lexicon), 1)], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(row + np.arange(len(lot)), pa.int64()),
-                        *(batch.column(i).slice(at, len(lot)) for i in range(3)),
+                        pa.array(row + np.arange(len(sizes)), pa.int64()),
+                        *(batch.column(i)[rows] for i in range(3)),
                         pa.array(sizes + 1), pa.array(base, pa.float64()), pa.array(n_known, pa.int64()),
                         pa.array([ids[a:b].tobytes() for a, b in zip([0, *id_ends], id_ends)], pa.binary()),
                         pa.ListArray.from_arrays(offsets, keys),
@@ -638,7 +726,7 @@ def _texts(docs: DataFrame, path: str, known: dict[int, float]) -> DataFrame:
                     ],
                     names=["row", "doc_id", "held_out", "round", "n_tokens", "base", "known", "ids", "keys", "times"],
                 )
-                row += len(lot)
+                row += len(sizes)
 
     return docs.select("doc_id", "held_out", "round", "text").mapInArrow(
         run,
